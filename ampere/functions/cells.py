@@ -48,7 +48,7 @@ def cell_text(name: str, dtype: T.DataType) -> Column:
     if name in TEXT_COLUMNS:
         text = F.concat(F.lit("'"), c.cast("string"))
     elif isinstance(dtype, T.BooleanType):
-        text = F.when(c, F.lit("TRUE")).otherwise(F.lit("FALSE"))
+        text = F.when(c.isNull(), F.lit(None)).when(c, F.lit("TRUE")).otherwise(F.lit("FALSE"))
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         text = float_text(c)
     elif isinstance(dtype, T.DateType):

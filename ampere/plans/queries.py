@@ -134,3 +134,257 @@ QUERIES = {
     "fact_rto_regional": q_fact_rto_regional,
     "fact_anomaly_leaderboard": q_fact_anomaly_leaderboard,
 }
+
+
+# ---------------------------------------------------------------- more registered queries
+# (imports kept local to this section so the first slice above reads on its own)
+
+from datetime import date  # noqa: E402
+from functools import reduce  # noqa: E402
+
+from ampere.functions.payload import DEMAND_FIELDS, field, with_fields  # noqa: E402
+from ampere.functions.periods import hour_period, month_window  # noqa: E402
+from ampere.operators.quality import count_report  # noqa: E402
+from ampere.plans import checks, exports, legacy, measures  # noqa: E402
+from ampere.session import scratch_path  # noqa: E402
+from ampere.sources import landing  # noqa: E402
+from ampere.sources.bindings import (LOAD_TIMES, LOOKBACK_MONTHS, RECORDS,  # noqa: E402
+                                     payload_records)
+
+DATASETS = ("retail", "generation", "demand")
+
+
+def current_marts(spark, sf_dir) -> dict:
+    stg_r = current_staging(spark, sf_dir, "retail")
+    stg_g = current_staging(spark, sf_dir, "generation")
+    stg_d = current_staging(spark, sf_dir, "demand")
+    fact_r = marts.fact_retail_prices(stg_r)
+    return {
+        "fact_retail_prices": fact_r,
+        "fact_generation": marts.fact_generation(stg_g),
+        "dim_state": marts.dim_state(stg_r),
+        "fact_rto_heatmap": marts.fact_rto_heatmap(stg_d),
+        "fact_rto_regional": marts.fact_rto_regional(stg_d),
+        "fact_anomaly_leaderboard": marts.fact_anomaly_leaderboard(fact_r),
+    }
+
+
+def q_json_extract_rto(spark, sf_dir):
+    raw = raw_load(spark, sf_dir, "demand", "backfill")
+    j = with_fields(raw, DEMAND_FIELDS)
+    from ampere.functions.casts import safe_double
+    return j.select(field("period").alias("period_text"), field("respondent").alias("region_id"),
+                    field("respondent-name").alias("region_name"),
+                    safe_double(field("value")).alias("value"), field("type").alias("type"))
+
+
+def q_parse_period(spark, sf_dir):
+    raw = raw_load(spark, sf_dir, "demand", "backfill")
+    j = with_fields(raw, DEMAND_FIELDS)
+    return (j.select(field("period").alias("period_text"))
+            .groupBy("period_text").agg(F.count(F.lit(1)).alias("n_rows"))
+            .select("period_text", hour_period("period_text").alias("period"), "n_rows"))
+
+
+def _records(spark, sf_dir, dataset, load="backfill"):
+    configure(spark)
+    return RECORDS[dataset](spark, sf_dir, load)
+
+
+def q_split_by_month(spark, sf_dir):
+    parts = [landing.month_counts(_records(spark, sf_dir, d)).select(F.lit(d).alias("dataset"), "*")
+             for d in DATASETS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _landing_root(spark, sf_dir):
+    """Land the full-history pull of all three datasets in a fresh shared folder."""
+    root = scratch_path(spark, "landing")
+    for d in DATASETS:
+        landing.write_landing(payload_records(_records(spark, sf_dir, d), d), root, d)
+    return root
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    root = _landing_root(spark, sf_dir)
+    parts = [landing.landed_months(spark, root, d).select(
+        F.lit(d).alias("dataset"), "year", "month", "n_records") for d in DATASETS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _anchor(records: DataFrame) -> date:
+    latest = records.select(F.max(F.substring("period", 1, 7))).first()[0]
+    return date(int(latest[:4]), int(latest[5:7]), 1)
+
+
+def q_raw_window(spark, sf_dir):
+    """Raw load of the re-pull window (anchor month and the 3 before) from landing."""
+    root = _landing_root(spark, sf_dir)
+    parts = []
+    for d in DATASETS:
+        months = month_window(_anchor(_records(spark, sf_dir, d)), LOOKBACK_MONTHS)
+        raw = landing.load_raw(spark, root, d, months, LOAD_TIMES["revision"])
+        parts.append(raw.groupBy(F.regexp_extract("source_file", r"year=(\d{4})/month=(\d{2})", 0)
+                                 .alias("partition")).agg(
+            F.count(F.lit(1)).alias("n_records"), F.max("ingested_at").alias("ingested_at"))
+            .select(F.lit(d).alias("dataset"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_generation_by_category(spark, sf_dir):
+    return published(exports.generation_by_category(fact_generation(spark, sf_dir)))
+
+
+def q_headline(spark, sf_dir):
+    m = current_marts(spark, sf_dir)
+    return published(measures.headline(m["fact_retail_prices"], m["fact_generation"],
+                                       current_staging(spark, sf_dir, "demand")))
+
+
+def q_avg_price_by_state(spark, sf_dir):
+    return published(measures.avg_price_by_state(fact_retail(spark, sf_dir)))
+
+
+def q_spikes_by_state(spark, sf_dir):
+    return measures.spikes_by_state(fact_retail(spark, sf_dir))
+
+
+def q_fuel_mix(spark, sf_dir):
+    return published(measures.fuel_mix(fact_generation(spark, sf_dir)))
+
+
+def q_fossil_nuclear_renewable(spark, sf_dir):
+    return published(measures.source_group_shares(fact_generation(spark, sf_dir)))
+
+
+def q_zscore_series(spark, sf_dir):
+    return published(measures.zscore_series(fact_retail(spark, sf_dir)))
+
+
+def q_demand_by_operator(spark, sf_dir):
+    return published(measures.demand_by_operator(current_staging(spark, sf_dir, "demand")))
+
+
+def q_validate_marts(spark, sf_dir):
+    return checks.validate_marts(current_marts(spark, sf_dir))
+
+
+def q_health_report(spark, sf_dir):
+    stg = {d: current_staging(spark, sf_dir, d) for d in DATASETS}
+    return checks.health_report(stg, current_marts(spark, sf_dir))
+
+
+def q_coverage_months(spark, sf_dir):
+    parts = [checks.month_coverage(_records(spark, sf_dir, d), d) for d in DATASETS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_demand_coverage(spark, sf_dir):
+    return checks.demand_coverage(current_staging(spark, sf_dir, "demand"))
+
+
+def q_type_histogram(spark, sf_dir):
+    configure(spark)
+    return checks.type_histogram(raw_load(spark, sf_dir, "demand", "backfill"))
+
+
+def q_parse_rates(spark, sf_dir):
+    configure(spark)
+    return checks.parse_rates(raw_load(spark, sf_dir, "demand", "backfill"))
+
+
+def q_top_regions(spark, sf_dir):
+    return checks.top_regions(current_staging(spark, sf_dir, "demand"))
+
+
+def q_staging_guard(spark, sf_dir):
+    configure(spark)
+    parts = []
+    for d, table_name in (("retail", "retail_prices"), ("generation", "generation"),
+                          ("demand", "rto_demand")):
+        parts.append(checks.staging_guard(raw_load(spark, sf_dir, d, "backfill"),
+                                          staged(spark, sf_dir, d, "backfill"), table_name))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_row_counts(spark, sf_dir):
+    tables = {f"staging.{d}": current_staging(spark, sf_dir, d) for d in DATASETS}
+    tables.update({f"marts.{k}": v for k, v in current_marts(spark, sf_dir).items()})
+    return count_report(tables)
+
+
+def _tab(spark, sf_dir, tab):
+    frames = exports.tab_frames(current_marts(spark, sf_dir))
+    return exports.sheet_tab(frames[tab], exports.TAB_ORDER[tab])
+
+
+def q_export_chunks(spark, sf_dir):
+    return exports.all_chunk_ranges(exports.tab_frames(current_marts(spark, sf_dir)))
+
+
+def q_reconcile_export(spark, sf_dir):
+    m = current_marts(spark, sf_dir)
+    frames = exports.tab_frames(m)
+    mart_n = count_report(m).withColumnRenamed("n_rows", "mart_rows")
+    tab_n = count_report(frames).withColumnRenamed("n_rows", "export_rows")
+    joined = mart_n.join(tab_n, "table_name", "full_outer")
+    return joined.select("table_name", "mart_rows", "export_rows",
+                         F.col("mart_rows").eqNullSafe(F.col("export_rows")).alias("counts_equal"))
+
+
+def q_fact_with_state(spark, sf_dir):
+    stg = current_staging(spark, sf_dir, "retail")
+    fact = marts.fact_retail_prices(stg)
+    dim = marts.dim_state(stg).withColumnRenamed("state_name", "dim_state_name")
+    return published(fact.join(dim, "state_id", "left"))
+
+
+def q_legacy_distinct_dedup(spark, sf_dir):
+    configure(spark)
+    return published(legacy.retail_distinct(raw_history(spark, sf_dir, "retail")))
+
+
+def q_legacy_all_series_demand(spark, sf_dir):
+    configure(spark)
+    return published(legacy.demand_all_series(raw_load(spark, sf_dir, "demand", "backfill")))
+
+
+def q_hourly_export(spark, sf_dir):
+    return published(legacy.hourly_export(current_staging(spark, sf_dir, "demand")))
+
+
+QUERIES.update({
+    "json_extract_rto": q_json_extract_rto,
+    "parse_period": q_parse_period,
+    "split_by_month": q_split_by_month,
+    "landing_roundtrip": q_landing_roundtrip,
+    "raw_window": q_raw_window,
+    "generation_by_category": q_generation_by_category,
+    "headline": q_headline,
+    "avg_price_by_state": q_avg_price_by_state,
+    "spikes_by_state": q_spikes_by_state,
+    "fuel_mix": q_fuel_mix,
+    "fossil_nuclear_renewable": q_fossil_nuclear_renewable,
+    "zscore_series": q_zscore_series,
+    "demand_by_operator": q_demand_by_operator,
+    "validate_marts": q_validate_marts,
+    "health_report": q_health_report,
+    "coverage_months": q_coverage_months,
+    "demand_coverage": q_demand_coverage,
+    "type_histogram": q_type_histogram,
+    "parse_rates": q_parse_rates,
+    "top_regions": q_top_regions,
+    "staging_guard": q_staging_guard,
+    "row_counts": q_row_counts,
+    **{f"export_{short}": (lambda tab: (lambda spark, sf_dir: _tab(spark, sf_dir, tab)))(tab)
+       for short, tab in (("prices", "fact_retail_prices"), ("generation", "fact_generation"),
+                          ("dim_state", "dim_state"), ("heatmap", "fact_rto_heatmap"),
+                          ("regional", "fact_rto_regional"),
+                          ("leaderboard", "fact_anomaly_leaderboard"))},
+    "export_chunks": q_export_chunks,
+    "reconcile_export": q_reconcile_export,
+    "fact_with_state": q_fact_with_state,
+    "legacy_distinct_dedup": q_legacy_distinct_dedup,
+    "legacy_all_series_demand": q_legacy_all_series_demand,
+    "hourly_export": q_hourly_export,
+})
