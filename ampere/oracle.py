@@ -127,13 +127,17 @@ GEN_COLS = ("period", "state_id", "fuel_type_code", "fuel_type_desc", "generatio
 
 # name -> (sql, dependencies)
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
-    "r_b": (_retail_rec("b") + "\n    HAVING period IS NOT NULL", ()),
-    "r_v": (_retail_rec("v") + "\n    HAVING period IS NOT NULL", ()),
+    "r_raw_b": (_retail_rec("b"), ()),
+    "r_raw_v": (_retail_rec("v"), ()),
+    "r_b": ("SELECT * FROM r_raw_b WHERE period IS NOT NULL", ("r_raw_b",)),
+    "r_v": ("SELECT * FROM r_raw_v WHERE period IS NOT NULL", ("r_raw_v",)),
     "r_stg": (_upsert("r_b", "r_v", ("period", "state_id", "sector_id")), ("r_b", "r_v")),
     "r_hist": (_keep_latest("(SELECT * FROM r_b UNION ALL SELECT * FROM r_v)",
                             ("period", "state_id", "sector_id"), RETAIL_COLS), ("r_b", "r_v")),
-    "g_b": (_generation_rec("b") + "\n    HAVING period IS NOT NULL", ()),
-    "g_v": (_generation_rec("v") + "\n    HAVING period IS NOT NULL", ()),
+    "g_raw_b": (_generation_rec("b"), ()),
+    "g_raw_v": (_generation_rec("v"), ()),
+    "g_b": ("SELECT * FROM g_raw_b WHERE period IS NOT NULL", ("g_raw_b",)),
+    "g_v": ("SELECT * FROM g_raw_v WHERE period IS NOT NULL", ("g_raw_v",)),
     "g_stg": (_upsert("g_b", "g_v", ("period", "state_id", "fuel_type_code")), ("g_b", "g_v")),
     "g_hist": (_keep_latest("(SELECT * FROM g_b UNION ALL SELECT * FROM g_v)",
                             ("period", "state_id", "fuel_type_code"), GEN_COLS), ("g_b", "g_v")),
@@ -241,3 +245,255 @@ ORACLE = {
     "fact_anomaly_leaderboard": with_ctes(["f_lead"], """SELECT * FROM f_lead
         ORDER BY anomaly_count DESC, state_id, state_name"""),
 }
+
+
+# ---------------------------------------------------------------- second batch
+
+_SHAPE_TEXT = """CASE ((event_id % 4) + 4) % 4
+      WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M')
+      WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%dT%HZ') END"""
+_TYPE = "CASE kmod WHEN 0 THEN 'D' WHEN 1 THEN 'DF' WHEN 2 THEN 'NG' WHEN 3 THEN 'TI' END"
+_CLEAN = "('Hydro', 'Wind', 'Solar & Geothermal', 'Nuclear')"
+_GROUP = """CASE WHEN fuel_category IN ('Coal', 'Natural Gas') THEN 'Fossil'
+      WHEN fuel_category = 'Nuclear' THEN 'Nuclear'
+      WHEN fuel_category IN ('Hydro', 'Wind', 'Solar & Geothermal') THEN 'Renewable'
+      ELSE 'Other' END"""
+
+CTES.update({
+    "d_text_b": (f"SELECT {_SHAPE_TEXT} AS period_text, * FROM d_rows_b", ("d_rows_b",)),
+    "f_roll": ("""
+    SELECT *, generation_mwh / NULLIF(sum(generation_mwh) OVER (PARTITION BY period, state_id), 0)
+             AS generation_share
+    FROM (SELECT period, period_date, state_id, fuel_category, sum(generation_mwh) AS generation_mwh
+          FROM f_gen GROUP BY 1, 2, 3, 4)""", ("f_gen",)),
+    "f_dim_sorted": ("SELECT * FROM f_dim", ("f_dim",)),
+    "recs": ("""
+    SELECT 'retail' AS dataset, substr(period, 1, 7) AS ym FROM r_raw_b WHERE length(period) >= 7
+    UNION ALL
+    SELECT 'generation', substr(period, 1, 7) FROM g_raw_b WHERE length(period) >= 7
+    UNION ALL
+    SELECT 'demand', strftime(ts, '%Y-%m') FROM d_rows_b WHERE ts IS NOT NULL""",
+             ("r_raw_b", "g_raw_b", "d_rows_b")),
+})
+
+
+def _float_cell(c: str) -> str:
+    t = (f"regexp_replace(regexp_replace(CAST(CAST(round({c}, 6) AS DECIMAL(38,6)) AS VARCHAR),"
+         f" '0+$', ''), '\\.$', '')")
+    return f"CASE WHEN {t} = '-0' THEN '0' ELSE {t} END"
+
+
+def _cells(spec) -> str:
+    out = []
+    for name, kind in spec:
+        if name in ("period", "state_id", "sector_id", "region_id"):
+            e = f"'''' || CAST({name} AS VARCHAR)"
+        elif kind == "bool":
+            e = f"CASE WHEN {name} THEN 'TRUE' WHEN NOT {name} THEN 'FALSE' END"
+        elif kind == "double":
+            e = _float_cell(name)
+        elif kind == "date":
+            e = f"strftime({name}, '%Y-%m-%d')"
+        else:
+            e = f"CAST({name} AS VARCHAR)"
+        out.append(f"coalesce({e}, '') AS \"{name.upper()}\"")
+    return ", ".join(out)
+
+
+_RETAIL_SPEC = (("period", "s"), ("period_date", "date"), ("state_id", "s"), ("state_name", "s"),
+                ("sector_id", "s"), ("sector_name", "s"), ("price_cents_kwh", "double"),
+                ("sales_mwh", "double"), ("customers", "int"), ("rolling_avg_12m", "double"),
+                ("rolling_std_12m", "double"), ("z_score", "double"), ("is_anomaly", "bool"))
+_ROLL_SPEC = (("period", "s"), ("period_date", "date"), ("state_id", "s"),
+              ("fuel_category", "s"), ("generation_mwh", "double"), ("generation_share", "double"))
+_HEAT_SPEC = (("month", "date"), ("hour_of_day", "int"), ("region_id", "s"),
+              ("region_name", "s"), ("avg_demand_mwh", "double"))
+_REG_SPEC = (("month", "date"), ("region_id", "s"), ("region_name", "s"),
+             ("avg_demand_mwh", "double"), ("peak_demand_mwh", "double"))
+
+_TABS = (("fact_retail_prices", "f_retail", "M"), ("fact_generation", "f_roll", "F"),
+         ("dim_state", "f_dim", "B"), ("fact_rto_heatmap", "f_heat", "E"),
+         ("fact_rto_regional", "f_reg", "E"), ("fact_anomaly_leaderboard", "f_lead", "C"))
+_MARTS = (("fact_retail_prices", "f_retail"), ("fact_generation", "f_gen"),
+          ("dim_state", "f_dim"), ("fact_rto_heatmap", "f_heat"),
+          ("fact_rto_regional", "f_reg"), ("fact_anomaly_leaderboard", "f_lead"))
+
+
+def _window_counts(dataset: str, cte: str, period: str) -> str:
+    return f"""
+    SELECT '{dataset}' AS dataset,
+           'year=' || substr({period}, 1, 4) || '/month=' || substr({period}, 6, 2) AS partition,
+           count(*) AS n_records, TIMESTAMP '{REVISION_AT}' AS ingested_at
+    FROM {cte}
+    WHERE {period} IS NOT NULL AND {_month_idx(period)} >=
+          (SELECT max({_month_idx(period)}) FROM {cte}) - {LOOKBACK_MONTHS}
+    GROUP BY 1, 2"""
+
+
+_HEALTH = (("staging.retail_prices", "r_stg", "max(period)"),
+           ("staging.generation", "g_stg", "max(period)"),
+           ("staging.rto_demand", "d_stg", "CAST(max(period) AS VARCHAR)"),
+           ("marts.fact_retail_prices", "f_retail", "max(period)"),
+           ("marts.fact_generation", "f_gen", "max(period)"),
+           ("marts.fact_rto_heatmap", "f_heat", "CAST(max(month) AS VARCHAR)"),
+           ("marts.fact_rto_regional", "f_reg", "CAST(max(month) AS VARCHAR)"),
+           ("marts.fact_anomaly_leaderboard", "f_lead", "'-'"),
+           ("marts.dim_state", "f_dim", "'-'"))
+
+ORACLE.update({
+    "json_extract_rto": with_ctes(["d_text_b"], f"""
+    SELECT period_text, region_id, region_name, value, {_TYPE} AS type FROM d_text_b"""),
+    "parse_period": with_ctes(["d_text_b"], """
+    SELECT period_text, min(date_trunc('hour', ts)) AS period, count(*) AS n_rows
+    FROM d_text_b GROUP BY period_text"""),
+    "split_by_month": with_ctes(["recs"], """
+    SELECT dataset, ym, count(*) AS n_records FROM recs GROUP BY 1, 2"""),
+    "landing_roundtrip": with_ctes(["recs"], """
+    SELECT dataset, substr(ym, 1, 4) AS year, substr(ym, 6, 2) AS month, count(*) AS n_records
+    FROM recs GROUP BY 1, 2, 3"""),
+    "raw_window": with_ctes(["r_raw_b", "g_raw_b", "d_text_b"],
+                            _window_counts("retail", "r_raw_b", "period") + " UNION ALL "
+                            + _window_counts("generation", "g_raw_b", "period") + " UNION ALL "
+                            + _window_counts("demand", "d_text_b", "period_text")),
+    "generation_by_category": with_ctes(["f_roll"], f"""
+    SELECT {rounded(("period", "period_date", "state_id", "fuel_category", "generation_mwh",
+                     "generation_share"))} FROM f_roll"""),
+    "headline": with_ctes(["f_gen", "f_retail", "d_stg"], f"""
+    SELECT round((SELECT sum(CASE WHEN fuel_category IN {_CLEAN} THEN generation_mwh END)
+                         / NULLIF(sum(generation_mwh), 0) FROM f_gen), 6) AS clean_share,
+           round((SELECT avg(price_cents_kwh) FROM f_retail), 6) AS avg_price_cents_kwh,
+           (SELECT count_if(z_score > 2.0) FROM f_retail) AS price_spikes,
+           round((SELECT avg(demand_mwh) FROM d_stg), 6) AS avg_hourly_demand_mwh"""),
+    "avg_price_by_state": with_ctes(["f_retail"], """
+    SELECT state_id, state_name, round(avg(price_cents_kwh), 6) AS avg_price_cents_kwh
+    FROM f_retail WHERE length(state_id) = 2 GROUP BY 1, 2"""),
+    "spikes_by_state": with_ctes(["f_retail"], """
+    SELECT state_id, state_name, count_if(z_score > 2.0) AS spike_months
+    FROM f_retail WHERE length(state_id) = 2 GROUP BY 1, 2"""),
+    "fuel_mix": with_ctes(["f_gen"], """
+    SELECT period, fuel_category, round(mwh, 6) AS mwh,
+           round(mwh / NULLIF(sum(mwh) OVER (PARTITION BY period), 0), 6) AS share
+    FROM (SELECT period, fuel_category, sum(generation_mwh) AS mwh FROM f_gen GROUP BY 1, 2)"""),
+    "fossil_nuclear_renewable": with_ctes(["f_gen"], f"""
+    SELECT period, source_group, round(mwh, 6) AS mwh,
+           round(mwh / NULLIF(sum(mwh) OVER (PARTITION BY period), 0), 6) AS share
+    FROM (SELECT period, {_GROUP} AS source_group, sum(generation_mwh) AS mwh
+          FROM f_gen GROUP BY 1, 2)"""),
+    "zscore_series": with_ctes(["f_retail"], """
+    SELECT state_id, period, period_date, round(z_score, 6) AS z_score, 2.0::DOUBLE AS threshold,
+           z_score > 2.0 AS above_threshold FROM f_retail"""),
+    "demand_by_operator": with_ctes(["d_stg"], """
+    SELECT region_id, max(region_name) AS region_name, round(avg(demand_mwh), 6) AS avg_demand_mwh
+    FROM d_stg GROUP BY region_id ORDER BY avg(demand_mwh) DESC NULLS LAST, region_id LIMIT 7"""),
+    "validate_marts": with_ctes(["f_retail", "f_gen", "f_reg", "f_heat"], """
+    SELECT 'fact_retail_prices' AS table_name, count(*) AS n_rows, max(period) AS latest FROM f_retail
+    UNION ALL SELECT 'fact_generation', count(*), max(period) FROM f_gen
+    UNION ALL SELECT 'fact_rto_regional', count(*), CAST(max(month) AS VARCHAR) FROM f_reg
+    UNION ALL SELECT 'fact_rto_heatmap', count(*), CAST(max(month) AS VARCHAR) FROM f_heat"""),
+    "health_report": with_ctes([c for _, c, _ in _HEALTH], "SELECT check_name, CASE WHEN n > 0 "
+        "THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS VARCHAR) || ' rows, latest ' || "
+        "coalesce(latest, 'None') AS detail FROM (" + " UNION ALL ".join(
+            f"SELECT '{name}' AS check_name, count(*) AS n, {latest} AS latest FROM {cte}"
+            for name, cte, latest in _HEALTH) + ")"),
+    "coverage_months": with_ctes(["recs"], """
+    SELECT dataset, count(DISTINCT ym) AS n_months, max(ym) AS latest,
+           CASE WHEN count(DISTINCT ym) >= 70 THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM recs GROUP BY dataset"""),
+    "demand_coverage": with_ctes(["d_stg"], """
+    SELECT count(DISTINCT region_id) AS regions, min(period) AS first_hour,
+           CASE WHEN count(DISTINCT region_id) >= 50 AND year(min(period)) = 2020
+                THEN 'PASS' ELSE 'FAIL' END AS status FROM d_stg"""),
+    "type_histogram": with_ctes(["d_rows_b"], f"""
+    SELECT {_TYPE} AS type, count(*) AS n FROM d_rows_b GROUP BY 1 ORDER BY n DESC, type"""),
+    "parse_rates": with_ctes(["d_rows_b"], """
+    SELECT count(*) AS raw_rows,
+           count_if(ts IS NOT NULL AND ((event_id % 4) + 4) % 4 = 0) AS parsed_strict,
+           count_if(region_id IS NOT NULL) AS has_respondent,
+           count_if(value IS NOT NULL) AS has_value FROM d_rows_b"""),
+    "top_regions": with_ctes(["d_stg"], """
+    SELECT region_id, count(*) AS n, round(avg(demand_mwh)) AS avg_mwh FROM d_stg
+    GROUP BY region_id ORDER BY avg_mwh DESC NULLS LAST, region_id LIMIT 5"""),
+    "staging_guard": with_ctes(["r_raw_b", "r_b", "g_raw_b", "g_b", "d_rows_b", "d_b"], """
+    SELECT table_name, raw_rows, staging_rows,
+           CASE WHEN raw_rows > 0 AND staging_rows = 0 THEN 'FAIL' ELSE 'PASS' END AS status
+    FROM (SELECT 'retail_prices' AS table_name, (SELECT count(*) FROM r_raw_b) AS raw_rows,
+                 (SELECT count(*) FROM r_b) AS staging_rows
+          UNION ALL SELECT 'generation', (SELECT count(*) FROM g_raw_b), (SELECT count(*) FROM g_b)
+          UNION ALL SELECT 'rto_demand', (SELECT count(*) FROM d_rows_b),
+                           (SELECT count(*) FROM d_b))"""),
+    "row_counts": with_ctes(["r_stg", "g_stg", "d_stg"] + [c for _, c in _MARTS],
+        " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {c}" for n, c in
+                           (("staging.retail", "r_stg"), ("staging.generation", "g_stg"),
+                            ("staging.demand", "d_stg"))
+                           + tuple((f"marts.{m}", c) for m, c in _MARTS))),
+    "export_prices": with_ctes(["f_retail"], f"SELECT {_cells(_RETAIL_SPEC)} FROM f_retail"),
+    "export_generation": with_ctes(["f_roll"], f"SELECT {_cells(_ROLL_SPEC)} FROM f_roll"),
+    "export_dim_state": with_ctes(["f_dim"], f"""SELECT {_cells((("state_id", "s"),
+        ("state_name", "s")))} FROM f_dim"""),
+    "export_heatmap": with_ctes(["f_heat"], f"SELECT {_cells(_HEAT_SPEC)} FROM f_heat"),
+    "export_regional": with_ctes(["f_reg"], f"SELECT {_cells(_REG_SPEC)} FROM f_reg"),
+    "export_leaderboard": with_ctes(["f_lead"], f"""SELECT {_cells((("state_id", "s"),
+        ("state_name", "s"), ("anomaly_count", "int")))} FROM f_lead"""),
+    "export_chunks": with_ctes([c for _, c, _ in _TABS], """
+    SELECT tab, chunk, chunk * 20000 + 1 AS first_line,
+           least((chunk + 1) * 20000, n + 1) AS last_line,
+           '''' || tab || '''!A' || CAST(chunk * 20000 + 1 AS VARCHAR) || ':' || letter
+             || CAST(least((chunk + 1) * 20000, n + 1) AS VARCHAR) AS a1_range
+    FROM (""" + " UNION ALL ".join(f"SELECT '{t}' AS tab, '{letter}' AS letter, count(*) AS n "
+                                  f"FROM {c}" for t, c, letter in _TABS) + """) t,
+         range(0, n // 20000 + 1) r(chunk)"""),
+    "reconcile_export": with_ctes([c for _, c in _MARTS] + ["f_roll"], """
+    SELECT m.table_name, m.mart_rows, e.export_rows,
+           m.mart_rows IS NOT DISTINCT FROM e.export_rows AS counts_equal
+    FROM (""" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS mart_rows FROM {c}"
+                                  for t, c in _MARTS) + """) m
+    FULL OUTER JOIN (""" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS export_rows FROM {c}" for t, c, _ in _TABS)
+        + ") e USING (table_name)"),
+    "fact_with_state": with_ctes(["f_retail", "f_dim"], f"""
+    SELECT {rounded(F_RETAIL_COLS)}, dim_state_name
+    FROM f_retail LEFT JOIN (SELECT state_id AS d_id, state_name AS dim_state_name FROM f_dim) d
+      ON f_retail.state_id = d.d_id"""),
+    "legacy_distinct_dedup": with_ctes(["r_b", "r_v"], f"""
+    SELECT {rounded(RETAIL_COLS[:-1])}, max(ingested_at) AS ingested_at
+    FROM (SELECT * FROM r_b UNION ALL SELECT * FROM r_v)
+    GROUP BY {", ".join(RETAIL_COLS[:-1])}"""),
+    "legacy_all_series_demand": with_ctes(["d_rows_b"], f"""
+    SELECT {rounded(D_COLS)} FROM ({_demand_stage("d_rows_b", all_series=True)})"""),
+    "hourly_export": with_ctes(["d_stg"], """
+    SELECT date_trunc('hour', period) AS hour, CAST(hour(period) AS INTEGER) AS hour_of_day,
+           CAST(month(period) AS INTEGER) AS month, CAST(dayofweek(period) AS INTEGER) AS day_of_week,
+           region_id, region_name, round(demand_mwh, 6) AS demand_mwh
+    FROM d_stg WHERE demand_mwh IS NOT NULL"""),
+})
+
+
+def spark_round(sql: str) -> str:
+    """Rewrite ``round(expr, d)`` to round half-up on the shortest decimal text of the
+    double, which is how Spark rounds (DuckDB rounds the binary value, so a decimal
+    tie such as 0.0640625 would go the other way)."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        cut = inner.rfind(",")
+        expr, digits = (inner[:cut], inner[cut + 1:].strip()) if cut >= 0 else (inner, "0")
+        expr = spark_round(expr)
+        out.append(sql[i:j])
+        out.append(f"CAST(round(TRY_CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) "
+                   f"AS DECIMAL(38,18)), {digits}) AS DOUBLE)")
+        i = k
+
+
+ORACLE = {name: spark_round(sql) for name, sql in ORACLE.items()}

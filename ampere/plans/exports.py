@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ampere.functions.cells import CHUNK_ROWS, col_letter, format_cells
 from ampere.operators.ordering import ordered_index
+from ampere.operators.shares import share_of_total
 
 TAB_ORDER = {
     "fact_retail_prices": ("state_id", "period"),
@@ -26,11 +27,16 @@ RETAIL_EXPORT_COLUMNS = ("period", "period_date", "state_id", "state_name", "sec
 
 
 def generation_by_category(fact_generation: DataFrame) -> DataFrame:
-    """Roll fuel codes up to one row per (month, state, category) before export."""
-    return (fact_generation
-            .groupBy("period", "period_date", "state_id", "fuel_category")
-            .agg(F.sum("generation_mwh").alias("generation_mwh"),
-                 F.sum("generation_share").alias("generation_share")))
+    """Roll fuel codes up to one row per (month, state, category) before export.
+
+    The category share is SUM(code shares); it is computed as category total / state
+    total, the same number without adding up rounded ratios (so it does not depend
+    on the order the code rows are summed in).
+    """
+    rolled = (fact_generation
+              .groupBy("period", "period_date", "state_id", "fuel_category")
+              .agg(F.sum("generation_mwh").alias("generation_mwh")))
+    return share_of_total(rolled, ["period", "state_id"], "generation_mwh", "generation_share")
 
 
 def tab_frames(marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
