@@ -21,20 +21,25 @@ def string_schema(fields: Sequence[str]) -> T.StructType:
 
 
 def parse_fields(payload: Column | str, fields: Sequence[str]) -> Column:
-    """One ``from_json`` per record into an all-string struct (JSON_VALUE per field).
-
-    Numbers come back as their text, JSON null and missing keys as NULL. Parsing once
-    replaces the 5-8 separate path extractions per row of the SQL original.
-    """
+    """Struct-valued parse (JSON_VALUE per field) for use inside larger expressions."""
     col = F.col(payload) if isinstance(payload, str) else payload
     return F.from_json(col, string_schema(fields), {"mode": "PERMISSIVE"})
 
 
-def with_fields(raw: DataFrame, fields: Sequence[str], keep: Sequence[str] = (),
-                struct_name: str = "j") -> DataFrame:
-    """Project ``raw`` to the parsed struct plus the listed pass-through columns."""
-    return raw.select(parse_fields("payload", fields).alias(struct_name), *keep)
+def _name(f: str) -> str:
+    return f"_f_{f}"
+
+
+def with_fields(raw: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Parse each payload once into one string column per field (JSON_VALUE semantics:
+    numbers as text, JSON null and missing keys as NULL, malformed text all NULL).
+
+    ``json_tuple`` is a generator, so filters on the extracted fields stay above it:
+    with a plain ``from_json`` projection, Catalyst pushes such filters below the
+    projection and inlines the parse into every predicate, parsing a row many times.
+    """
+    return raw.select(*keep, F.json_tuple("payload", *fields).alias(*[_name(f) for f in fields]))
 
 
-def field(name: str, struct_name: str = "j") -> Column:
-    return F.col(struct_name).getField(name)
+def field(name: str) -> Column:
+    return F.col(f"`{_name(name)}`")

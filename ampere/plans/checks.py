@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampere.functions.casts import safe_double
-from ampere.functions.payload import field, with_fields, DEMAND_FIELDS
+from ampere.functions.payload import DEMAND_FIELDS, field, with_fields
+from ampere.functions.periods import strict_hour
 from ampere.operators.quality import (FAIL, PASS, freshness, freshness_report,
                                       nonempty_report, status)
 
@@ -84,8 +85,7 @@ def parse_rates(raw_demand: DataFrame) -> DataFrame:
     j = _demand_fields(raw_demand)
     return j.agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.try_to_timestamp(field("period"), F.lit("yyyy-MM-dd'T'HH")).isNotNull())
-         .alias("parsed_strict"),
+        F.count_if(strict_hour(field("period")).isNotNull()).alias("parsed_strict"),
         F.count_if(field("respondent").isNotNull()).alias("has_respondent"),
         F.count_if(safe_double(field("value")).isNotNull()).alias("has_value"))
 

@@ -18,7 +18,8 @@ Two loads exist per dataset: the full history (``backfill``) and a re-pull of th
 latest ``lookback + 1`` months with revised numbers (``revision``), ingested a month
 later. Revised retail prices are net of discount and revised generation is net of
 discount; revised demand is the same readings pulled again.
-Money is summed as DECIMAL so every engine derives bit-identical records.
+Money is summed exactly as integers (cents, basis points) on ``long`` (codegen'd,
+no BigDecimal per row), so every engine derives bit-identical records.
 """
 
 from __future__ import annotations
@@ -45,12 +46,24 @@ PERIOD_SHAPES = ("yyyy-MM-dd'T'HH", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd HH:mm:ss",
                  "yyyy-MM-dd'T'HH'Z'")
 
 
-def _money(c: str) -> Column:
-    return F.col(c).cast("decimal(18,2)")
+def _hundredths(c: str) -> Column:
+    """A 2-decimal value as an exact integer count of hundredths."""
+    return F.rint(F.col(c) * 100).cast("long")
 
 
-def _net(price: str, discount: str) -> Column:
-    return _money(price) * (F.lit(1) - F.col(discount).cast("decimal(4,2)"))
+def _gross(c: str) -> Column:
+    """Value in units of 1e-4 (same scale as the net value)."""
+    return _hundredths(c) * 100
+
+
+def _net(c: str, discount: str) -> Column:
+    """value * (1 - discount) in units of 1e-4, exact."""
+    return _hundredths(c) * (F.lit(100) - _hundredths(discount))
+
+
+def _from_units(c: Column) -> Column:
+    """1e-4 units -> double (one correctly rounded division)."""
+    return c.cast("double") / F.lit(10000.0)
 
 
 def _state_code(c: str) -> Column:
@@ -72,7 +85,12 @@ def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
         orders = orders.filter(in_month_window("period", anchor, lookback))
     line = table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount",
                  "l_quantity")
-    amount = _money("l_extendedprice") if load == "backfill" else _net("l_extendedprice",
+    if load == "revision":
+        # Only lines of the window's orders are re-pulled; the semi-join keeps the
+        # lineitem side hash-partitioned on the order key for the aggregate below.
+        line = line.join(orders.select("o_orderkey"),
+                         line.l_orderkey == orders.o_orderkey, "left_semi")
+    amount = _gross("l_extendedprice") if load == "backfill" else _net("l_extendedprice",
                                                                        "l_discount")
     # Pre-aggregate lines to one row per order (map-side combine); the aggregate is
     # hash-partitioned on the order key, which the join with orders then reuses.
@@ -98,7 +116,7 @@ def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
         F.when(is_all, F.lit("ALL")).otherwise(F.col("o_orderpriority")).alias("sectorid"),
         F.when(is_all, F.lit("all sectors"))
          .otherwise(F.concat(F.lit("priority "), F.col("o_orderpriority"))).alias("sectorName"),
-        F.try_divide(F.col("amount").cast("double"), F.col("qty")).alias("price"),
+        F.try_divide(_from_units(F.col("amount")), F.col("qty")).alias("price"),
         F.col("qty").alias("sales"),
         F.col("customers"),
     )
@@ -117,7 +135,7 @@ def generation_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
     codes = F.array(*[F.lit(c) for c in BOUND_FUEL_CODES])
     line = line.withColumn("fueltypeid", F.element_at(codes, (F.pmod("l_partkey", F.lit(20)) + 1)
                                                       .cast("int")))
-    qty = _money("l_quantity") if load == "backfill" else _net("l_quantity", "l_discount")
+    qty = _gross("l_quantity") if load == "backfill" else _net("l_quantity", "l_discount")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     joined = line.join(supp, line.l_suppkey == supp.s_suppkey)
     agg = joined.groupBy("period", "s_nationkey", "fueltypeid").agg(F.sum(qty).alias("gen"))
@@ -126,7 +144,7 @@ def generation_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
         _state_code("s_nationkey").alias("location"),
         "fueltypeid",
         F.concat(F.lit("fuel "), F.lower("fueltypeid")).alias("fuelTypeDescription"),
-        F.col("gen").cast("double").alias("generation"),
+        _from_units(F.col("gen")).alias("generation"),
     )
 
 

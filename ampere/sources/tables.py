@@ -6,9 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ampere.session import configure
 
+# (application id, path) -> DataFrame. Resolving a parquet path runs a listing and
+# footer job; reusing the resolved relation skips that for every later plan.
+_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer splits than cores.
+
+    A file with a single row group is one task however large the per-row work
+    after it is (JSON rendering/parsing, hashing). On a cluster the scan already
+    has thousands of splits and this is a no-op; projections and filters are still
+    pushed below the repartition into the scan.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; listing the needed columns keeps ReadSchema narrow."""
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RESOLVED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _spread(spark.read.parquet(path), spark)
+        _RESOLVED[key] = df
     return df.select(*columns) if columns else df
