@@ -496,4 +496,18 @@ def spark_round(sql: str) -> str:
         i = k
 
 
+ORACLE.update({
+    "legacy_stg_generation": with_ctes(["g_raw_b"], """
+    SELECT left(period, 7) AS period, left(state_id, 10) AS state_id,
+           left(fuel_type_code, 50) AS fuel_type_code, fuel_type_desc,
+           round(generation_mwh, 6) AS generation_mwh, ingested_at
+    FROM g_raw_b WHERE period IS NOT NULL"""),
+    "pull_profile": with_ctes(["r_raw_b"], """
+    SELECT count(*) AS n_records, count(DISTINCT state_id) AS n_states,
+           count(DISTINCT sector_name) AS n_sectors FROM r_raw_b"""),
+    "spikes_by_state_since": with_ctes(["f_retail"], """
+    SELECT state_id, state_name, count_if(z_score > 2.0) AS spike_months
+    FROM f_retail WHERE length(state_id) = 2 AND period >= '1999-01' GROUP BY 1, 2"""),
+})
+
 ORACLE = {name: spark_round(sql) for name, sql in ORACLE.items()}

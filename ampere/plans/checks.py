@@ -103,3 +103,15 @@ def staging_guard(raw: DataFrame, stg: DataFrame, table: str) -> DataFrame:
     return raw.sparkSession.range(1).select(
         F.lit(table).alias("table_name"), raw_n.alias("raw_rows"), stg_n.alias("staging_rows"),
         F.when((raw_n > 0) & (stg_n == 0), F.lit(FAIL)).otherwise(F.lit(PASS)).alias("status"))
+
+
+def pull_profile(records: DataFrame, state: str = "stateid", sector: str = "sectorName") -> DataFrame:
+    """Records in a pull, distinct states and distinct sectors."""
+    return records.agg(F.count(F.lit(1)).alias("n_records"),
+                       F.count_distinct(state).alias("n_states"),
+                       F.count_distinct(sector).alias("n_sectors"))
+
+
+def sample_payloads(raw: DataFrame, n: int = 3) -> DataFrame:
+    """A few raw payloads to eyeball (deterministic: smallest text first)."""
+    return raw.select("payload").orderBy("payload").limit(n)

@@ -30,3 +30,18 @@ def hourly_export(stg_demand: DataFrame) -> DataFrame:
         F.month("period").alias("month"),
         (F.dayofweek("period") - 1).alias("day_of_week"),
         "region_id", "region_name", "demand_mwh"))
+
+
+def typed_generation_strict(raw_generation: DataFrame) -> DataFrame:
+    """Older generation staging: variant-path casts. ``period`` is cut to 7 characters,
+    ids to their column widths, and the number cast is strict (a non-numeric value
+    fails the job instead of becoming NULL). No dedup: rows load as they come."""
+    from ampere.functions.payload import GENERATION_FIELDS, field, with_fields
+    j = with_fields(raw_generation, GENERATION_FIELDS, ("ingested_at",))
+    return (j.filter(field("period").isNotNull())
+             .select(F.left(field("period"), F.lit(7)).alias("period"),
+                     F.left(field("location"), F.lit(10)).alias("state_id"),
+                     F.left(field("fueltypeid"), F.lit(50)).alias("fuel_type_code"),
+                     field("fuelTypeDescription").alias("fuel_type_desc"),
+                     field("generation").cast("double").alias("generation_mwh"),
+                     "ingested_at"))

@@ -25,6 +25,8 @@ from pyspark.sql.utils import AnalysisException
 from ampere.operators.quality import require
 from ampere.operators.upsert import touched_partitions, upsert
 from ampere.plans import checks, exports, marts, staging
+from ampere.schemas import STAGING as STAGING_SCHEMAS
+from ampere.schemas import read_or_empty
 from ampere.session import configure, scratch_path
 from ampere.sources import landing
 from ampere.sources.bindings import (LOAD_TIMES, LOOKBACK_MONTHS, RECORDS, payload_records)
@@ -91,13 +93,13 @@ def load_raw(spark: SparkSession, layout: Layout, months: Sequence[date] | None,
 # ---------------------------------------------------------------- staging
 
 def _with_part(df: DataFrame) -> DataFrame:
-    return df.withColumn(PART_COL, F.date_format(F.to_date(F.substring(
-        F.col("period").cast("string"), 1, 7), "yyyy-MM"), "yyyy-MM"))
+    return df.withColumn(PART_COL, F.substring(F.col("period").cast("string"), 1, 7))
 
 
 def read_staging(spark: SparkSession, layout: Layout, dataset: str) -> DataFrame:
+    """The staging table, or an empty one of the declared schema before the first load."""
     configure(spark)
-    return spark.read.parquet(layout.staging(dataset)).select(*COLUMNS[dataset])
+    return read_or_empty(spark, layout.staging(dataset), STAGING_SCHEMAS[dataset])
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],

@@ -353,6 +353,22 @@ def q_hourly_export(spark, sf_dir):
     return published(legacy.hourly_export(current_staging(spark, sf_dir, "demand")))
 
 
+def q_legacy_stg_generation(spark, sf_dir):
+    configure(spark)
+    return published(legacy.typed_generation_strict(raw_load(spark, sf_dir, "generation", "backfill")))
+
+
+def q_pull_profile(spark, sf_dir):
+    return checks.pull_profile(_records(spark, sf_dir, "retail"))
+
+
+SPIKE_START = "1999-01"  # the dashboard's "show data from" month used for this view
+
+
+def q_spikes_by_state_since(spark, sf_dir):
+    return measures.spikes_by_state(fact_retail(spark, sf_dir), start_period=SPIKE_START)
+
+
 QUERIES.update({
     "json_extract_rto": q_json_extract_rto,
     "parse_period": q_parse_period,
@@ -385,6 +401,9 @@ QUERIES.update({
     "reconcile_export": q_reconcile_export,
     "fact_with_state": q_fact_with_state,
     "legacy_distinct_dedup": q_legacy_distinct_dedup,
+    "legacy_stg_generation": q_legacy_stg_generation,
+    "pull_profile": q_pull_profile,
+    "spikes_by_state_since": q_spikes_by_state_since,
     "legacy_all_series_demand": q_legacy_all_series_demand,
     "hourly_export": q_hourly_export,
 })
