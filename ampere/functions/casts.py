@@ -29,3 +29,17 @@ def safe_bigint(c) -> Column:
 def safe_divide(a, b) -> Column:
     """NULL when the divisor is 0 or NULL (no ANSI divide-by-zero error)."""
     return F.try_divide(_col(a), F.nullif(_col(b), F.lit(0)))
+
+
+NOISE_DIGITS = 10
+
+
+def stable_round(c, digits: int) -> Column:
+    """Round half-up to ``digits`` after first rounding to 10 places.
+
+    Sums of floats differ in their last bits between engines and summation orders.
+    A mean of 2-decimal values can be an exact decimal tie (x.xxxxxx5); the noise
+    then puts one engine's double just below the tie and another's just above it.
+    Rounding to 10 places first removes that noise, so ties resolve alike.
+    """
+    return F.round(F.round(_col(c), NOISE_DIGITS), digits)

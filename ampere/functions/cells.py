@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ampere.functions.casts import stable_round
+
 # Fixed values of the export format.
 TEXT_COLUMNS = ("period", "state_id", "sector_id", "region_id")  # forced to text with a leading '
 CHUNK_ROWS = 20_000                                               # rows per write call
@@ -38,7 +40,7 @@ def col_letter_expr(n: Column) -> Column:
 
 def float_text(c: Column, digits: int = FLOAT_DIGITS) -> Column:
     """Round half-up to ``digits`` and print without exponent or trailing zeros."""
-    fixed = F.round(c, digits).try_cast(f"decimal(38,{digits})").cast("string")
+    fixed = stable_round(c, digits).try_cast(f"decimal(38,{digits})").cast("string")
     trimmed = F.regexp_replace(F.regexp_replace(fixed, r"0+$", ""), r"\.$", "")
     return F.when(trimmed == "-0", F.lit("0")).otherwise(trimmed)
 

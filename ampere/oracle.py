@@ -468,10 +468,16 @@ ORACLE.update({
 })
 
 
+def _half_up(expr: str, digits: str) -> str:
+    return (f"CAST(round(TRY_CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) "
+            f"AS DECIMAL(38,18)), {digits}) AS DOUBLE)")
+
+
 def spark_round(sql: str) -> str:
-    """Rewrite ``round(expr, d)`` to round half-up on the shortest decimal text of the
-    double, which is how Spark rounds (DuckDB rounds the binary value, so a decimal
-    tie such as 0.0640625 would go the other way)."""
+    """Rewrite ``round(expr, d)`` to the published rounding: first to 10 places, then
+    to ``d``, each half-up on the shortest decimal text of the double, which is how
+    Spark rounds (DuckDB rounds the binary value, so a decimal tie such as 0.0640625
+    would go the other way). See ``ampere.functions.casts.stable_round``."""
     out, i, key = [], 0, "round("
     while True:
         j = sql.find(key, i)
@@ -491,8 +497,7 @@ def spark_round(sql: str) -> str:
         expr, digits = (inner[:cut], inner[cut + 1:].strip()) if cut >= 0 else (inner, "0")
         expr = spark_round(expr)
         out.append(sql[i:j])
-        out.append(f"CAST(round(TRY_CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) "
-                   f"AS DECIMAL(38,18)), {digits}) AS DOUBLE)")
+        out.append(_half_up(_half_up(expr, "10"), digits))
         i = k
 
 

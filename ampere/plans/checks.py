@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.casts import safe_double
+from ampere.functions.casts import safe_double, stable_round
 from ampere.functions.payload import DEMAND_FIELDS, field, with_fields
 from ampere.functions.periods import strict_hour
 from ampere.operators.quality import (FAIL, PASS, freshness, freshness_report,
@@ -92,7 +92,7 @@ def parse_rates(raw_demand: DataFrame) -> DataFrame:
 
 def top_regions(stg_demand: DataFrame, top: int = 5) -> DataFrame:
     return (stg_demand.groupBy("region_id")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("demand_mwh")).alias("avg_mwh"))
+            .agg(F.count(F.lit(1)).alias("n"), stable_round(F.avg("demand_mwh"), 0).alias("avg_mwh"))
             .orderBy(F.col("avg_mwh").desc_nulls_last(), "region_id").limit(top))
 
 

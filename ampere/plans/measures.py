@@ -25,8 +25,12 @@ def headline(fact_retail: DataFrame, fact_generation: DataFrame, stg_demand: Dat
     clean = gen.select(safe_divide(
         F.sum(F.when(F.col("fuel_category").isin(*CLEAN_CATEGORIES), F.col("generation_mwh"))),
         F.sum("generation_mwh")).alias("v")).scalar()
-    avg_price = price.select(F.avg("price_cents_kwh")).scalar()
-    spikes = price.select(F.count_if(F.col("z_score") > SPIKE_Z)).scalar()
+    # both price numbers from one pass over the price mart (one struct-valued subquery)
+    price_stats = price.select(F.struct(
+        F.avg("price_cents_kwh").alias("avg_price"),
+        F.count_if(F.col("z_score") > SPIKE_Z).alias("spikes"))).scalar()
+    avg_price = price_stats.getField("avg_price")
+    spikes = price_stats.getField("spikes")
     demand = stg_demand
     if start_period is not None:
         demand = demand.filter(F.date_format("period", "yyyy-MM") >= F.lit(start_period))

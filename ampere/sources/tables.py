@@ -11,17 +11,23 @@ from ampere.session import configure
 _RESOLVED: dict[tuple[str, str], DataFrame] = {}
 
 
-def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer splits than cores.
+# Key each table is spread on when it arrives in fewer splits than cores.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id",
+               "customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def _spread(df: DataFrame, spark: SparkSession, key: str | None) -> DataFrame:
+    """Hash-spread a scan over all cores when it has fewer splits than cores.
 
     A file with a single row group is one task however large the per-row work
-    after it is (JSON rendering/parsing, hashing). On a cluster the scan already
-    has thousands of splits and this is a no-op; projections and filters are still
-    pushed below the repartition into the scan.
+    after it is (JSON rendering/parsing, aggregation). Hashing on one key column is
+    deterministic under task retries without the local sort a round-robin
+    repartition needs, and projections and filters are still pushed below it into
+    the scan. On a cluster the scan already has thousands of splits: no-op.
     """
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    if key and key in df.columns and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
     return df
 
 
@@ -32,6 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     key = (spark.sparkContext.applicationId, path)
     df = _RESOLVED.get(key)
     if df is None or df.sparkSession is not spark:
-        df = _spread(spark.read.parquet(path), spark)
+        df = _spread(spark.read.parquet(path), spark, SPREAD_KEYS.get(name))
         _RESOLVED[key] = df
     return df.select(*columns) if columns else df
