@@ -515,4 +515,6 @@ ORACLE.update({
     FROM f_retail WHERE length(state_id) = 2 AND period >= '1999-01' GROUP BY 1, 2"""),
 })
 
+ORACLE["fact_retail_prices_chunked"] = ORACLE["fact_retail_prices"]
+
 ORACLE = {name: spark_round(sql) for name, sql in ORACLE.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ampere.functions.fuel import fuel_category, is_detail_code
 from ampere.functions.periods import hour_of_day, month_start, period_date
-from ampere.operators.rolling import rolling_zscore
+from ampere.operators.rolling import rolling_zscore, rolling_zscore_chunked
 from ampere.operators.shares import share_of_total
 
 ANOMALY_Z = 2.5
@@ -20,12 +20,22 @@ def is_state(col: str = "state_id"):
 
 
 def fact_retail_prices(stg_retail: DataFrame, rows: int = WINDOW_ROWS,
-                       threshold: float = ANOMALY_Z) -> DataFrame:
+                       threshold: float = ANOMALY_Z, chunk_by=None) -> DataFrame:
+    """Monthly all-sector prices with the rolling z-score and anomaly flag.
+
+    One window partition per state is bounded (one row per month after keep-latest).
+    ``chunk_by`` (a coarse order bucket such as the year) switches to the chunked
+    operator, which never puts a whole series in one task.
+    """
     base = (stg_retail
             .filter((F.col("sector_id") == "ALL") & F.col("price_cents_kwh").isNotNull())
             .select("period", "state_id", "state_name", "sector_id", "sector_name",
                     "price_cents_kwh", "sales_mwh", "customers"))
-    scored = rolling_zscore(base, ["state_id"], "period", "price_cents_kwh", rows, threshold)
+    if chunk_by is None:
+        scored = rolling_zscore(base, ["state_id"], "period", "price_cents_kwh", rows, threshold)
+    else:
+        scored = rolling_zscore_chunked(base, ["state_id"], "period", "price_cents_kwh",
+                                        chunk_by, rows, threshold)
     return scored.select(
         "period", period_date("period").alias("period_date"),
         "state_id", "state_name", "sector_id", "sector_name",

@@ -104,6 +104,12 @@ def q_fact_retail_prices(spark, sf_dir):
     return published(fact_retail(spark, sf_dir))
 
 
+def q_fact_retail_prices_chunked(spark, sf_dir):
+    """The price mart through the skew-safe chunked rolling window (chunk = year)."""
+    stg = current_staging(spark, sf_dir, "retail")
+    return published(marts.fact_retail_prices(stg, chunk_by=F.substring("period", 1, 4)))
+
+
 def q_fact_generation(spark, sf_dir):
     return published(fact_generation(spark, sf_dir))
 
@@ -134,6 +140,7 @@ QUERIES = {
     "upsert_generation": q_upsert_generation,
     "upsert_rto": q_upsert_rto,
     "fact_retail_prices": q_fact_retail_prices,
+    "fact_retail_prices_chunked": q_fact_retail_prices_chunked,
     "fact_generation": q_fact_generation,
     "dim_state": q_dim_state,
     "fact_rto_heatmap": q_fact_rto_heatmap,
