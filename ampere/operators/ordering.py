@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampere.session import ensure_checkpoint_dir
+
 POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | record number
 
 
@@ -24,6 +26,7 @@ def ordered_index(df: DataFrame, order: Sequence[Column | str], index_col: str =
         "_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", POS_BITS))
     if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder, if set
         tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ampere.plans.pipeline import COLUMNS, KEYS, STAGE, Layout, upsert_table
+from ampere.plans.runs import COLUMNS, KEYS, STAGE, Layout, upsert_table
 from ampere.session import configure
 from ampere.sources.landing import dataset_path
 

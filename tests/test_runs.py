@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from ampere.plans import queries as Q
-from ampere.plans.pipeline import Layout, read_mart, read_staging, run_from_tables
+from ampere.plans.runs import Layout, read_mart, read_staging, run_from_tables
 from tests.conftest import SF_SMALL
 
 

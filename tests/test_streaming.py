@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ampere.plans.pipeline import Layout, read_staging
+from ampere.plans.runs import Layout, read_staging
 from ampere.sources import landing
 from ampere.streaming.landing_stream import start_staging_stream
 
