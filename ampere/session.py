@@ -23,6 +23,34 @@ RUNTIME_CONF = {
 }
 
 
+# Starting points for a large cluster (~100 TB scans, ~1000 executors). Applied only
+# where the cluster has not set the key itself (``apply_scale_conf``).
+SCALE_CONF = {
+    # Many initial shuffle partitions; AQE coalesces them to ~256 MB each at runtime,
+    # so a 100 TB shuffle gets ~400k tasks and a small one just a few.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    # Scan splits of 256 MB keep per-task memory small and task counts sane.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # A partition 5x the median and over 1 GB is split (skew join).
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    # Broadcast only what measures small: planner estimate or AQE runtime size.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_scale_conf(spark: SparkSession) -> SparkSession:
+    """Set the cluster starting points, keeping every value the cluster already set."""
+    conf = spark.sparkContext.getConf()
+    for key, value in SCALE_CONF.items():
+        if not conf.contains(key):
+            spark.conf.set(key, value)
+    return configure(spark)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
