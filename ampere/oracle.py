@@ -517,4 +517,21 @@ ORACLE.update({
 
 ORACLE["fact_retail_prices_chunked"] = ORACLE["fact_retail_prices"]
 
-ORACLE = {name: spark_round(sql) for name, sql in ORACLE.items()}
+def bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's count_if is BIGINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"CAST({sql[j:k]} AS BIGINT)")
+        i = k
+
+
+ORACLE = {name: bigint_counts(spark_round(sql)) for name, sql in ORACLE.items()}
