@@ -42,4 +42,9 @@ def with_fields(raw: DataFrame, fields: Sequence[str], keep: Sequence[str] = ())
 
 
 def field(name: str) -> Column:
-    return F.col(f"`{_name(name)}`")
+    """The field's scalar text. An object or array value is NULL, as JSON_VALUE gives
+    (json_tuple would return its JSON text); only text starting with { or [ is parsed."""
+    t = F.col(f"`{_name(name)}`")
+    nested = ((t.startswith("{") & F.json_object_keys(t).isNotNull())
+              | (t.startswith("[") & F.json_array_length(t).isNotNull()))
+    return F.when(nested, F.lit(None).cast("string")).otherwise(t)
