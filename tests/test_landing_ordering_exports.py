@@ -72,3 +72,14 @@ def test_quality_reports(spark):
         assert "retail_prices" in str(e)
     ok = checks.staging_guard(empty.select(F.lit("{}").alias("payload")), empty, "x")
     assert require(ok).first().status == "PASS"
+
+
+def test_chunk_ranges_over_several_chunks(spark):
+    from ampere.plans.exports import chunk_ranges
+    df = spark.range(0, 2500, numPartitions=5).select(
+        ((F.col("id") * 7) % 2500).alias("k"), F.lit("x").alias("a"), F.lit(1.0).alias("b"))
+    got = sorted(tuple(r) for r in chunk_ranges("t", df, ["k"], chunk_rows=1000).collect())
+    # 2501 lines (header + 2500 rows) -> three write calls
+    assert got == [("t", 0, 1, 1000, "'t'!A1:C1000"),
+                   ("t", 1, 1001, 2000, "'t'!A1001:C2000"),
+                   ("t", 2, 2001, 2501, "'t'!A2001:C2501")]
