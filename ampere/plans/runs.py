@@ -229,3 +229,26 @@ def run_from_tables(spark: SparkSession, sf_dir: str, layout: Layout, load: str
     if publish_to:
         result["published"] = publish(spark, layout, publish_to)
     return result
+
+
+def check_all(spark: SparkSession, layout: Layout, min_months: int = checks.MIN_MONTHS,
+              min_regions: int = checks.MIN_REGIONS, first_year: int = checks.FIRST_YEAR,
+              raise_on_fail: bool = True) -> DataFrame:
+    """PASS/FAIL for every stored layer: landed months per dataset, rows and latest of
+    each staging table and mart, and demand coverage. Raises if anything FAILs."""
+    stg = {d: read_staging(spark, layout, d) for d in TABLES}
+    report = checks.health_report(stg, {n: read_mart(spark, layout, n) for n in MART_NAMES})
+    for d in TABLES:
+        landed = landing.read_landing(spark, layout.landing, d).select(
+            F.concat_ws("-", "year", "month").alias("period"))
+        cov = checks.month_coverage(landed, d, min_months)
+        report = report.unionByName(cov.select(
+            F.concat(F.lit("landing."), F.col("dataset")).alias("check_name"), "status",
+            F.concat(F.col("n_months").cast("string"), F.lit(" months, latest "),
+                     F.coalesce("latest", F.lit("None"))).alias("detail")))
+    dem = checks.demand_coverage(stg["demand"], min_regions, first_year)
+    report = report.unionByName(dem.select(
+        F.lit("staging.demand_coverage").alias("check_name"), "status",
+        F.concat(F.col("regions").cast("string"), F.lit(" regions, starts "),
+                 F.coalesce(F.col("first_hour").cast("string"), F.lit("None"))).alias("detail")))
+    return require(report) if raise_on_fail else report

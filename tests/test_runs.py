@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from ampere.plans import queries as Q
-from ampere.plans.runs import Layout, read_mart, read_staging, run_from_tables
+from ampere.plans.runs import Layout, check_all, read_mart, read_staging, run_from_tables
 from tests.conftest import SF_SMALL
 
 
@@ -37,3 +37,9 @@ def test_backfill_then_revision_then_rerun(spark, tmp_root):
     tab = spark.read.option("header", True).csv(f"{tmp_root}/sheet/fact_retail_prices")
     assert tab.columns[:3] == ["PERIOD", "PERIOD_DATE", "STATE_ID"]
     assert tab.count() == fact.count()
+
+    report = {r.check_name: r.status for r in check_all(spark, layout, raise_on_fail=False).collect()}
+    assert report["marts.fact_retail_prices"] == "PASS" and report["landing.retail"] == "PASS"
+    assert report["staging.demand_coverage"] == "FAIL"   # 5 regions, not 50
+    with pytest.raises(RuntimeError):
+        check_all(spark, layout)
