@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Field names the three source datasets carry inside each JSON record (fixed values,
 # case-sensitive, including the hyphenated key).
@@ -16,16 +15,6 @@ GENERATION_FIELDS = ("period", "location", "fueltypeid", "fuelTypeDescription",
 DEMAND_FIELDS = ("period", "respondent", "respondent-name", "value", "type")
 
 
-def string_schema(fields: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
-
-
-def parse_fields(payload: Column | str, fields: Sequence[str]) -> Column:
-    """Struct-valued parse (JSON_VALUE per field) for use inside larger expressions."""
-    col = F.col(payload) if isinstance(payload, str) else payload
-    return F.from_json(col, string_schema(fields), {"mode": "PERMISSIVE"})
-
-
 def _name(f: str) -> str:
     return f"_f_{f}"
 

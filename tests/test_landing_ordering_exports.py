@@ -83,3 +83,8 @@ def test_chunk_ranges_over_several_chunks(spark):
     assert got == [("t", 0, 1, 1000, "'t'!A1:C1000"),
                    ("t", 1, 1001, 2000, "'t'!A1001:C2000"),
                    ("t", 2, 2001, 2501, "'t'!A2001:C2501")]
+
+
+def test_sample_payloads_is_deterministic(spark):
+    raw = spark.createDataFrame([("c",), ("a",), ("b",), ("d",)], "payload string")
+    assert [r.payload for r in checks.sample_payloads(raw, 3).collect()] == ["a", "b", "c"]
