@@ -27,7 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.functions.periods import in_month_window, month_index
 from ampere.sources.tables import table
 
 BACKFILL_AT = "2026-01-02 14:00:00"
@@ -74,15 +73,34 @@ def _num_text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _window_filter(df: DataFrame, ts: str, lookback: int) -> DataFrame:
+    """Keep rows whose month lies in the re-pull window ending at the latest month.
+
+    The latest month is one bounded scalar fetched first, so the window becomes a
+    literal range on the raw timestamp column, which is pushed into the Parquet scan
+    (row groups outside it are skipped) instead of a per-row month computation.
+    """
+    latest = df.select(F.max(ts)).first()[0]
+    if latest is None:
+        return df.limit(0)
+    idx = latest.year * 12 + latest.month - 1
+    lo, hi = idx - lookback, idx + 1
+    start = f"{lo // 12:04d}-{lo % 12 + 1:02d}-01 00:00:00"
+    end = f"{hi // 12:04d}-{hi % 12 + 1:02d}-01 00:00:00"
+    col = F.col(ts)
+    return df.filter((col >= F.lit(start).cast("timestamp_ntz"))
+                     & (col < F.lit(end).cast("timestamp_ntz")))
+
+
 # ---------------------------------------------------------------- retail prices
 
 def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                    lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderpriority").withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+                   "o_orderpriority")
     if load == "revision":
-        anchor = orders.select(F.max(month_index("period"))).scalar()
-        orders = orders.filter(in_month_window("period", anchor, lookback))
+        orders = _window_filter(orders, "o_orderdate", lookback)
+    orders = orders.withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
     line = table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount",
                  "l_quantity")
     if load == "revision":
@@ -127,11 +145,10 @@ def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
 def generation_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                        lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     line = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_quantity",
-                 "l_discount", "l_shipdate").withColumn(
-        "period", F.date_format("l_shipdate", "yyyy-MM"))
+                 "l_discount", "l_shipdate")
     if load == "revision":
-        anchor = line.select(F.max(month_index("period"))).scalar()
-        line = line.filter(in_month_window("period", anchor, lookback))
+        line = _window_filter(line, "l_shipdate", lookback)
+    line = line.withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
     codes = F.array(*[F.lit(c) for c in BOUND_FUEL_CODES])
     line = line.withColumn("fueltypeid", F.element_at(codes, (F.pmod("l_partkey", F.lit(20)) + 1)
                                                       .cast("int")))
@@ -154,8 +171,7 @@ def demand_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                    lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     ev = table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value", "props")
     if load == "revision":
-        anchor = ev.select(F.max(month_index(F.date_format("ts", "yyyy-MM")))).scalar()
-        ev = ev.filter(in_month_window(F.date_format("ts", "yyyy-MM"), anchor, lookback))
+        ev = _window_filter(ev, "ts", lookback)
     shape = F.pmod("event_id", F.lit(len(PERIOD_SHAPES)))
     period = None
     for i, fmt in enumerate(PERIOD_SHAPES):
