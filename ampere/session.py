@@ -91,7 +91,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="ampere-ckpt-")  # tests / local only
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster, intermediates must go to "
+                "storage that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="ampere-ckpt-")  # one JVM, one disk
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
