@@ -47,22 +47,42 @@ ADDED = ("clean_text", "lost_share", "n_words", "word_chars", "n_symbols", "n_du
          "n_repeat_words", "base_failed", "kept")
 
 
-def line_fails(line: Column) -> Column:
+CLOSING = tuple(".!?:;…。！？\"'”’»)]")
+SEPARATOR = "[|›»·>/•]"
+
+
+def text_flags(text: Column) -> Column:
+    """What a text holds anywhere, so that most rules need not look at its lines at all."""
+    low = F.lower(text)
+    notice = F.lit(False)
+    for phrase in BOILERPLATE:
+        notice = notice | F.contains(low, F.lit(phrase))
+    marks = F.lit(False)
+    for pair in ("!!", "??", "!?", "?!"):
+        marks = marks | F.contains(text, F.lit(pair))
+    return F.struct(marks.alias("marks"), text.rlike(SYMBOLS).alias("symbols"),
+                    text.rlike(SEPARATOR).alias("separators"), notice.alias("notice"))
+
+
+def line_fails(line: Column, flags: Column) -> Column:
     """True where a line with a word breaks a line rule."""
-    chars = F.char_length(line)
-    n = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
+    n_words = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
+    symbols = F.char_length(line) - F.char_length(F.translate(line, SYMBOLS[1:-1], ""))
+    bare = F.btrim(line, F.lit(SPACE))
     punctuation = (
-        (F.regexp_count(line, F.lit(r"[!?]{2,}")) >= 3)
-        | (F.regexp_count(line, F.lit(SYMBOLS)) * 10 > chars)
-        | ((n < 8) & ~line.rlike(r"""[.!?:;…。！？"'”’»)\]][\x20\x09-\x0D]*$"""))
+        (flags["marks"] & (F.regexp_count(line, F.lit(r"[!?]{2,}")) >= 3))
+        | (flags["symbols"] & (symbols * 10 > F.char_length(line)))
+        | (~F.right(bare, F.lit(1)).isin(*CLOSING) & (n_words < 8))
     )
     menu = "|".join(MENU)
     navigation = (
-        (F.regexp_count(line, F.lit(r"(?:^|[\x20\x09])[|›»·>/•](?=[\x20\x09]|$)")) * 3 >= n)
-        | line.rlike(rf"(?i)^[\x20\x09-\x0D]*(?:{menu})(?:[\x20\x09|›»·>/•]+(?:{menu})){{0,11}}[\x20\x09-\x0D]*$")
+        (flags["separators"] & (F.regexp_count(
+            line, F.lit(rf"(?:^|[\x20\x09]){SEPARATOR}(?=[\x20\x09]|$)")) * 3 >= n_words))
+        | line.rlike(rf"(?i)^[\x20\x09-\x0D]*(?:{menu})(?:[\x20\x09|›»·>/•]+(?:{menu})){{0,11}}"
+                     r"[\x20\x09-\x0D]*$")
     )
     phrases = "|".join(p.replace("(", r"\(").replace(")", r"\)") for p in BOILERPLATE)
-    return punctuation | navigation | line.rlike(f"(?i)(?:{phrases})")
+    return punctuation | navigation | (flags["notice"] & line.rlike(f"(?i)(?:{phrases})"))
 
 
 def clean_lines(docs: DataFrame, text: str = "text",
@@ -70,16 +90,17 @@ def clean_lines(docs: DataFrame, text: str = "text",
     """Add the clean text, the base figures and the verdict (see ADDED) to every row."""
     keep = [c for c in docs.columns if c.lower() not in ADDED]
     names = [*docs.columns, *ADDED]
-    t, words, lines, good, grams, runs, at = (fresh(names, f"_{x}") for x in (
-        "t", "words", "lines", "good", "grams", "runs", "at"))
+    t, words, lines, flags, bad, grams, runs, at, lost = (fresh(names, f"_{x}") for x in (
+        "t", "words", "lines", "flags", "bad", "grams", "runs", "at", "lost"))
     col = lambda name: F.col(f"`{name}`")
     has_word = lambda x: F.btrim(x, F.lit(SPACE)) != ""
 
     df = docs.select(*without(docs, ADDED), F.coalesce(docs[f"`{text}`"], F.lit("")).alias(t))
-    df = df.select("*", word_array(col(t)).alias(words), F.split(col(t), "\n").alias(lines))
+    df = df.select("*", word_array(col(t)).alias(words), text_flags(col(t)).alias(flags),
+                   F.filter(F.split(col(t), "\n"), has_word).alias(lines))
     df = df.select(
         "*",
-        F.filter(col(lines), lambda x: ~has_word(x) | ~line_fails(x)).alias(good),
+        F.filter(col(lines), lambda x: line_fails(x, col(flags))).alias(bad),
         F.when(F.size(col(words)) >= 3, F.transform(
             F.sequence(F.lit(1), F.size(col(words)) - 2),
             lambda i: F.xxhash64(F.element_at(col(words), i), F.element_at(col(words), i + 1),
@@ -88,9 +109,9 @@ def clean_lines(docs: DataFrame, text: str = "text",
     # Windows with their places, equal ones side by side; only where some window repeats.
     df = df.select("*", F.when(
         F.size(F.array_distinct(col(grams))) < F.size(col(grams)),
-        F.array_sort(F.transform(col(grams), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        F.sort_array(F.transform(col(grams), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")).alias(runs))
-    df = df.select("*", F.array_sort(F.transform(
+    df = df.select("*", F.sort_array(F.transform(
         F.filter(col(runs), lambda x, j: (F.get(col(runs), j - 1)["h"] == x["h"])
                  | (F.get(col(runs), j + 1)["h"] == x["h"])),
         lambda x: x["i"])).alias(at))
@@ -98,22 +119,24 @@ def clean_lines(docs: DataFrame, text: str = "text",
         F.transform(col(at), lambda x, j: F.least(
             F.lit(3), F.coalesce(F.get(col(at), j + 1) - x, F.lit(3)))),
         F.lit(0).cast("long"), lambda acc, x: acc + x)
-    with_word = F.filter(col(lines), has_word)
-    strip = lambda x: F.char_length(F.translate(x, SPACE, ""))
+    chars = lambda parts: F.char_length(F.array_join(parts, ""))
+    cleaned = F.array_join(F.filter(
+        F.split(col(t), "\n"), lambda x: ~has_word(x) | ~line_fails(x, col(flags))), "\n")
     df = df.select(
         *(col(c) for c in keep),
-        F.array_join(col(good), "\n").alias("clean_text"),
+        F.when(F.size(col(bad)) == 0, col(t)).otherwise(cleaned).alias("clean_text"),
         F.size(col(words)).cast("long").alias("n_words"),
-        strip(col(t)).cast("long").alias("word_chars"),
+        chars(col(words)).cast("long").alias("word_chars"),
         F.regexp_count(col(t), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size(with_word) - F.size(F.array_distinct(with_word))).cast("long").alias("n_dup_lines"),
-        repeat.alias("n_repeat_words"))
+        (F.size(col(lines)) - F.size(F.array_distinct(col(lines)))).cast("long").alias("n_dup_lines"),
+        repeat.alias("n_repeat_words"),
+        F.char_length(F.translate(F.array_join(col(bad), ""), SPACE, "")).alias(lost))
     df = df.select(
         "*",
         ((col("n_words") < MIN_WORDS)
          | (100 * col("n_repeat_words") > MAX_REPEAT_PCT * col("n_words"))).alias("base_failed"),
         F.when(col("word_chars") == 0, F.lit(0.0)).otherwise(
-            1 - strip(col("clean_text")) / col("word_chars")).alias("lost_share"))
+            col(lost) / col("word_chars")).alias("lost_share"))
     df = df.select("*", (~col("base_failed") & (col("lost_share") <= max_lost_share)).alias("kept"))
     return df.select(*(col(c) for c in keep), *(col(c) for c in ADDED))
 

@@ -26,7 +26,7 @@ good AS (
   FROM judged),
 by_line AS (
   SELECT rid, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines,
-         coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (NOT fails), 0) AS kept_chars
+         coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (fails), 0) AS lost_chars
   FROM good GROUP BY rid),
 grams AS (
   SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
@@ -45,10 +45,10 @@ figures AS (
          length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          n_dup_lines::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         kept_chars
+         lost_chars
   FROM docs JOIN words USING (rid) JOIN by_line USING (rid) LEFT JOIN rep USING (rid)),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (word_chars = 0 OR 1 - kept_chars::DOUBLE / word_chars <= 0.3) AS kept
+       NOT base_failed AND (word_chars = 0 OR lost_chars::DOUBLE / word_chars <= 0.3) AS kept
 FROM base""",
 }
