@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ampere.llm import quality_rules
+from ampere.llm import byte_bpe, quality_rules
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -16,6 +17,27 @@ def op8_line_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def vocabulary() -> tuple[str, str]:
+    """Path of the rank file and the pre-token pattern of the public tokenizer used."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path, pattern = vocabulary()
+    coded = byte_bpe.encode(docs.select("doc_id", "text"), path, pattern).select(
+        "doc_id", F.expr("length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return byte_bpe.decode(coded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("raw", 256).alias("decoded_sha256"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_line_quality_rules": op8_line_quality_rules,
 }
