@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, quality_rules
+from ampere.llm import byte_bpe, mixing, quality_rules, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -37,7 +37,24 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"))
 
 
+def op1_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.plan(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.fold(F.col("doc_id"), 4) == 2
+    labels = read(spark, sf_dir, "labels").filter(~held_out)
+    model = toxicity.learn(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
+    "op1_pivotal_mixing": op1_pivotal_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_line_quality_rules": op8_line_quality_rules,
 }
