@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, mixing, quality_rules, toxicity
+from ampere.llm import byte_bpe, context_tree, mixing, quality_rules, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -52,7 +52,16 @@ def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_context_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.fold(F.col("doc_id"), 7) == 2
+    return context_tree.score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "n_bytes")
+
+
 QUERIES = {
+    "op2_context_tree_scoring": op2_context_tree_scoring,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op6_byte_bpe": op6_byte_bpe,
