@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, mixing, quality_rules, toxicity
+from ampere.llm import byte_bpe, context_tree, jaccard_join, mixing, quality_rules, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -60,7 +60,12 @@ def op2_context_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_bytes")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op9_jaccard_join": op9_jaccard_join,
     "op2_context_tree_scoring": op2_context_tree_scoring,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op1_pivotal_mixing": op1_pivotal_mixing,
