@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, jaccard_join, mixing, quality_rules, toxicity
+from ampere.llm import byte_bpe, context_tree, jaccard_join, mixing, quality_rules, suffix_groups, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -64,7 +64,14 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_groups.remove(docs, digest=True).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
+    "op7_suffix_groups": op7_suffix_groups,
     "op9_jaccard_join": op9_jaccard_join,
     "op2_context_tree_scoring": op2_context_tree_scoring,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
