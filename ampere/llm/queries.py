@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, jaccard_join, mixing, quality_rules, suffix_groups, toxicity
+from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, quality_rules, suffix_groups, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -70,7 +70,14 @@ def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.remove(docs).select(
+        "doc_id", "deleted_lines", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op10_line_runs": op10_line_runs,
     "op7_suffix_groups": op7_suffix_groups,
     "op9_jaccard_join": op9_jaccard_join,
     "op2_context_tree_scoring": op2_context_tree_scoring,
