@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.llm.common import Scratch
+from ampere.llm.common import Scratch, fresh
+from ampere.llm.mixing import row_hash
 
 WORDS = 5
 #: Similarity in hundredths.
@@ -380,3 +381,23 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int
     return rows.select("id", "n", "cls").join(member, "cls", "left").select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
+    """The rows of ``docs`` with one row of each group: that of the smallest id.
+
+    Equal ids are told apart by a hash of their rows; of rows equal in every column one
+    stays, unless their text is without words. Columns stay as they are.
+    """
+    scratch = Scratch(docs.sparkSession, "jaccard-keep")
+    u, m, n, one = (fresh(docs.columns, x) for x in ("_u", "_m", "_n", "_one"))
+    rows = docs.select("*", row_hash(docs).alias(u))
+    place = F.struct(F.col(f"`{id}`").isNull().alias("late"), F.col(f"`{id}`").alias("id"), F.col(u).alias("u"))
+    groups = linked(rows.select(place.alias("place"), F.col(f"`{text}`").alias("text")), "place", "text", similar)
+    stay = scratch.write(groups.filter("place = component_id").groupBy(F.col("place.u").alias(u)).agg(
+        F.count(F.lit(1)).alias(m), F.min("n_shingles").alias(n)))
+    rows = rows.join(stay, u)
+    plain = rows.filter((F.col(m) == 1) | (F.col(n) == 0)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    equal = rows.filter((F.col(m) > 1) & (F.col(n) > 0)).groupBy(u).agg(
+        F.any_value(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias(one))
+    return plain.unionAll(equal.select(*(F.col(one)[c].alias(c) for c in docs.columns)))
