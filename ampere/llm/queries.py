@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, quality_rules, suffix_groups, toxicity
+from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, nn_descent, quality_rules, suffix_groups, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -76,7 +76,13 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "deleted_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nn_descent.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
+    "op4_nn_descent": op4_nn_descent,
     "op10_line_runs": op10_line_runs,
     "op7_suffix_groups": op7_suffix_groups,
     "op9_jaccard_join": op9_jaccard_join,

@@ -173,8 +173,9 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     got = chosen.select("id", "text", "y").mapInArrow(features, schema).groupBy("id").agg(
         F.min(F.struct("y", "a", "b")).alias("x")).select("id", "x.*").toArrow()
     got = got.sort_by("id") if got.num_rows else got
-    rows = [(y, np.array(a, dtype=np.int32), None if b is None else np.array(b, dtype=np.int32))
-            for y, a, b in zip(*(got.column(c).to_pylist() for c in ("y", "a", "b")), strict=True)]
+    a, b = (got.column(c).combine_chunks() for c in ("a", "b"))
+    rows = [(y, a[i].values.to_numpy(), b[i].values.to_numpy() if b[i].is_valid else None)
+            for i, y in enumerate(got.column("y").to_pylist())]
     return fit(rows, **how)
 
 

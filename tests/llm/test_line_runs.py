@@ -7,8 +7,8 @@ import pytest
 from ampere.llm import line_runs
 
 
-def brute(rows, min_words):
-    """rows: (id, text, order among equal ids) in the order of 'earlier'."""
+def brute(rows, min_words, beyond=10**9):
+    """rows: (id, text) in the order of 'earlier'; stretches up to so many words over the least."""
     seqs = []
     for _, t in rows:
         lines = (t or "").split("\n")
@@ -19,8 +19,11 @@ def brute(rows, min_words):
         for i in range(len(seq)):
             for j in range(i + 1, len(seq) + 1):
                 key = tuple(x for _, x in seq[i:j])
-                if sum(len(x.split()) for x in key) < min_words:
+                words = sum(len(x.split()) for x in key)
+                if words < min_words:
                     continue
+                if words > min_words + beyond:
+                    break
                 if key in first:
                     gone[d].update(n for n, _ in seq[i:j])
                 else:

@@ -46,7 +46,7 @@ def test_quality_keeps_what_the_sql_keeps(stages):
 
 def test_lines(stages):
     before = sorted(stages[1], key=lambda r: r.doc_id)
-    want = brute_lines([(r.doc_id, r.text) for r in before], 20)
+    want = brute_lines([(r.doc_id, r.text) for r in before], 20, 60)
     want = {r.doc_id: t for r, (t, _) in zip(before, want, strict=True) if t.split()}
     assert {r.doc_id: r.text for r in stages[2]} == want
 
