@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from ampere.llm.common import Scratch
 
-NEIGHBOURS = 24
+NEIGHBOURS = 32
 CUTS = 4
 BLOCK = 512
-ROUNDS = 2
-BEAM = 64
-STEPS = 3
+ROUNDS = 3
+BEAM = 96
+STEPS = 4
 OPEN = 16
 
 
