@@ -37,7 +37,8 @@ SIMILAR = 80
 HOT_LIST = 1 << 20
 HOT_CHUNK = 4_000_000
 REGION = 2048
-STAR_ROUNDS = 4
+SPARE = 20
+STAR_ROUNDS = 2
 BLOOM_BITS = 25
 
 
@@ -69,8 +70,11 @@ def shingles(text: str | None, hashes: Hashes, size: int = WORDS) -> np.ndarray:
 
 
 def spare(n):
-    """Shared prefix shingles that a link of a set of n shingles needs at least."""
-    return np.minimum(1 + n // 16, 8)
+    """Shared prefix shingles that a link of a set of n shingles needs at least.
+
+    Longer prefixes cost postings, but few unrelated texts share so many of their rarest.
+    """
+    return 1 + n // SPARE
 
 
 def prefix_length(n: int, similar: int = SIMILAR) -> int:
@@ -183,11 +187,11 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 def _several(b: DataFrame, scratch: Scratch, similar: int) -> DataFrame:
     """Postings (s, cls, n, label) that can still join two components."""
-    while True:
+    while True:  # each pass drops what the last one left without partners
         live = b.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("s")
         b = b.join(live, "s", "left_semi")
         least = F.ceil(F.col("n") * similar / 100)
-        need = F.least(1 + F.floor(least / 16), F.lit(8))
+        need = 1 + F.floor(least / SPARE)
         enough = b.groupBy("cls").agg(F.count(F.lit(1)).alias("c"), F.any_value("n").alias("n")).filter(
             F.col("c") >= need).select("cls")
         new = scratch.write(b.join(enough, "cls", "left_semi"))
@@ -351,7 +355,7 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int
             pairs = b.join(pivots, "s").filter("label <> p.label").groupBy("cls", F.col("p.cls").alias("p")).agg(
                 F.count(F.lit(1)).alias("shared"), F.any_value("n").alias("n"), F.any_value("p.n").alias("m"))
             fit = (F.least("n", "m") * 100 >= F.greatest("n", "m") * similar) & (
-                F.col("shared") >= F.least(1 + F.floor(F.least("n", "m") / 16), F.lit(8)))
+                F.col("shared") >= 1 + F.floor(F.least("n", "m") / SPARE))
             pairs = pairs.filter(fit & (F.col("cls") != F.col("p"))).select("cls", "p")
             near = pairs.join(sets, "cls").join(
                 sets.select(F.col("cls").alias("p"), F.col("set").alias("other")), "p").select(
@@ -371,7 +375,9 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int
         again = b.select("s", "cls", "n").join(label, b["cls"] == label["node"], "left").select(
             "s", "cls", "n", F.coalesce("label", "cls").alias("label"))
         old, b = b, _several(again, scratch, similar)
-        scratch.drop(old)
+        # Few classes are left after a round: later rounds must not move the other sets.
+        all_sets, sets = sets, scratch.write(sets.join(b.select("cls").distinct(), "cls", "left_semi"))
+        scratch.drop(old, all_sets)
     if edges is None:
         label = classes.select(F.col("cls").alias("node"), F.col("cls").alias("label")).limit(0)
     named = classes.join(label, classes["cls"] == label["node"], "left").select(
