@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, nn_descent, quality_rules, suffix_groups, toxicity
+from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, nn_descent, quality_rules, secret_scan, suffix_groups, toxicity
 from ampere.llm.common import read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
@@ -81,7 +81,16 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.search(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.scan(docs, lambda id: toxicity.fold(id, 4) != 2, path="source")
+    return found.select(
+        "doc_id", "start", F.length("value").cast("long").alias("length"), "score",
+        (F.col("score") >= 0.5).alias("secret"))
+
+
 QUERIES = {
+    "op5_secret_scan": op5_secret_scan,
     "op4_nn_descent": op4_nn_descent,
     "op10_line_runs": op10_line_runs,
     "op7_suffix_groups": op7_suffix_groups,
