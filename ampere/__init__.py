@@ -1,4 +1,4 @@
-"""ampere: Spark-native rebuild of a monthly energy-analytics ELT pipeline.
+"""ampere: Spark-native pipeline for monthly electricity statistics.
 
 Layers follow the pipeline: landing JSON -> raw (payload, source_file,
 ingested_at) -> staging (typed, deduplicated, upserted) -> marts (rolling

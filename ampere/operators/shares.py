@@ -1,31 +1,20 @@
-"""Share of a group total, computed as aggregate + join instead of a window.
+"""Share of a group total, as a window over the group.
 
-``SUM(x) OVER (PARTITION BY g)`` would put each whole group into one task. Here the
-totals are a partial+final hash aggregate (map-side combine, skew-safe), and joining
-them back lets AQE pick a broadcast from the measured size of the totals, or split
-a skewed group across tasks when they are large. Group keys match null-safely, as
-window partitions do.
+The frames this is used on hold one row per group and code (or category) after
+aggregation, so a window partition is as small as the list of codes. Where nobody reads
+the share, Catalyst prunes the window; a join with the totals could not be dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampere.functions.casts import safe_divide
 
 
-def group_totals(df: DataFrame, groups: Sequence[str], value: str, total_col: str) -> DataFrame:
-    return df.groupBy(*groups).agg(F.sum(value).alias(total_col))
-
-
 def share_of_total(df: DataFrame, groups: Sequence[str], value: str, share_col: str) -> DataFrame:
-    totals = group_totals(df, groups, value, "_total").select(
-        *[F.col(g).alias(f"_g_{g}") for g in groups], "_total")
-    cond = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups])
-    joined = df.join(totals, cond, "inner")
-    return (joined.withColumn(share_col, safe_divide(F.col(value), F.col("_total")))
-                  .drop("_total", *[f"_g_{g}" for g in groups]))
+    total = F.sum(value).over(Window.partitionBy(*groups))
+    return df.withColumn(share_col, safe_divide(F.col(value), total))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.cells import CHUNK_ROWS, col_letter, format_cells
+from ampere.functions.cells import CHUNK_ROWS, column_name, format_cells
 from ampere.operators.ordering import ordered_index
 from ampere.operators.shares import share_of_total
 
@@ -68,7 +68,7 @@ def chunk_ranges(tab: str, df: DataFrame, order: Sequence[str],
     indexed = ordered_index(df.select(*(order or df.columns[:1])), list(order or []))
     lines = indexed.select((F.col("row_index") + 1).alias("line")).unionByName(
         df.sparkSession.range(1).select(F.lit(0).cast("long").alias("line")))
-    last_col = col_letter(len(df.columns))
+    last_col = column_name(len(df.columns))
     per_chunk = (lines.groupBy(F.floor(F.col("line") / chunk_rows).alias("chunk"))
                  .agg(F.min("line").alias("lo"), F.max("line").alias("hi")))
     return per_chunk.select(

@@ -16,7 +16,6 @@ from ampere.functions.casts import stable_round
 from ampere.operators.upsert import upsert
 from ampere.plans import marts, staging
 from ampere.session import configure
-from ampere.plans.views import view
 from ampere.sources.bindings import raw_history, raw_load
 
 PUBLISHED_DIGITS = 6
@@ -31,7 +30,6 @@ def published(df: DataFrame, digits: int = PUBLISHED_DIGITS) -> DataFrame:
 
 # ---------------------------------------------------------------- staging states
 
-@view
 def staged(spark: SparkSession, sf_dir: str, dataset: str, load: str) -> DataFrame:
     configure(spark)
     raw = raw_load(spark, sf_dir, dataset, load)
@@ -46,7 +44,6 @@ KEYS = {"retail": staging.RETAIL_KEYS, "generation": staging.GENERATION_KEYS,
         "demand": staging.DEMAND_KEYS}
 
 
-@view
 def current_staging(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """Staging after two runs: the full-history load, then the re-pulled window."""
     return upsert(staged(spark, sf_dir, dataset, "backfill"),
@@ -90,12 +87,10 @@ def q_upsert_rto(spark, sf_dir):
 
 # ---------------------------------------------------------------- marts
 
-@view
 def fact_retail(spark, sf_dir):
     return marts.fact_retail_prices(current_staging(spark, sf_dir, "retail"))
 
 
-@view
 def fact_generation(spark, sf_dir):
     return marts.fact_generation(current_staging(spark, sf_dir, "generation"))
 
@@ -167,7 +162,6 @@ from ampere.sources.bindings import (LOAD_TIMES, LOOKBACK_MONTHS, RECORDS,  # no
 DATASETS = ("retail", "generation", "demand")
 
 
-@view
 def current_marts(spark, sf_dir) -> dict:
     stg_r = current_staging(spark, sf_dir, "retail")
     stg_g = current_staging(spark, sf_dir, "generation")
@@ -200,7 +194,6 @@ def q_parse_period(spark, sf_dir):
             .select("period_text", hour_period("period_text").alias("period"), "n_rows"))
 
 
-@view
 def _records(spark, sf_dir, dataset, load="backfill"):
     configure(spark)
     return RECORDS[dataset](spark, sf_dir, load)

@@ -29,5 +29,7 @@ STAGING = {
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.parquet(path).select(*schema.fieldNames())
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ampere.session import configure
 from ampere.sources.bindings import DATASET_FOLDERS
 
-WRITE_SALT = 8  # tasks per month partition on write, so one huge month is split
+RECORDS_PER_FILE = 2_000_000
 
 
 def dataset_path(root: str, dataset: str) -> str:
@@ -40,15 +40,19 @@ def month_counts(records: DataFrame, period: str = "period") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def write_landing(payloads: DataFrame, root: str, dataset: str, salt: int = WRITE_SALT) -> str:
+def write_landing(payloads: DataFrame, root: str, dataset: str,
+                  records_per_file: int = RECORDS_PER_FILE) -> str:
     """Overwrite only the months present in ``payloads`` (dynamic partition overwrite):
-    a month with no records is never written, so its previous file survives."""
+    a month with no records is never written, so its previous file survives.
+
+    The rebalance lets AQE split a large month by its measured size and join small ones."""
     configure(payloads.sparkSession)
     split = split_by_month(payloads)
     path = dataset_path(root, dataset)
-    (split.repartition("year", "month", F.pmod(F.xxhash64("payload"), F.lit(salt)))
+    (split.hint("rebalance", "year", "month")
           .select("year", "month", F.col("payload").alias("value"))
           .write.mode("overwrite").partitionBy("year", "month")
+          .option("maxRecordsPerFile", records_per_file)
           .option("compression", "gzip").text(path))
     return path
 
@@ -60,13 +64,17 @@ def month_filter(months: Sequence[date]) -> Column:
 
 def read_landing(spark: SparkSession, root: str, dataset: str,
                  months: Sequence[date] | None = None) -> DataFrame:
-    """Records of the chosen months (partition-pruned; a missing month is no rows)."""
+    """Records of the chosen months (partition-pruned; a missing month is no rows).
+
+    A line is one record or one array of records; a cut-off array, or one spread over
+    several lines, raises instead of losing records."""
     configure(spark)
     df = spark.read.text(dataset_path(root, dataset))
     if months is not None:
         df = df.filter(month_filter(months))
     line = F.trim(F.col("value"))
-    records = F.when(line.startswith("["), F.from_json(line, "array<string>")) \
+    records = F.when(line.startswith("["), F.from_json(line, "array<string>",
+                                                          {"mode": "FAILFAST"})) \
                .otherwise(F.array(line))
     return (df.select(F.explode(records).alias("payload"),
                       F.regexp_extract(F.col("_metadata.file_path"), r"(raw/.*)$", 1)

@@ -1,4 +1,4 @@
-"""Access to the generated parquet tables (one file per table)."""
+"""Access to the generated parquet tables (one file or folder per table)."""
 
 from __future__ import annotations
 
@@ -6,38 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ampere.session import configure
 
-# (application id, path) -> DataFrame. Resolving a parquet path runs a listing and
-# footer job; reusing the resolved relation skips that for every later plan.
-_RESOLVED: dict[tuple[str, str], DataFrame] = {}
 
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Read one table; listing the needed columns keeps ReadSchema narrow.
 
-# Key each table is spread on when it arrives in fewer splits than cores.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id",
-               "customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
-
-
-def _spread(df: DataFrame, spark: SparkSession, key: str | None) -> DataFrame:
-    """Hash-spread a scan over all cores when it has fewer splits than cores.
-
-    A file with a single row group is one task however large the per-row work
-    after it is (JSON rendering/parsing, aggregation). Hashing on one key column is
-    deterministic under task retries without the local sort a round-robin
-    repartition needs, and projections and filters are still pushed below it into
-    the scan. On a cluster the scan already has thousands of splits: no-op.
+    The relation is resolved on every call, so rows appended since are seen. Scan splits
+    and shuffles are left to Spark at every size.
     """
-    cores = spark.sparkContext.defaultParallelism
-    if key and key in df.columns and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; listing the needed columns keeps ReadSchema narrow."""
     configure(spark)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _RESOLVED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _spread(spark.read.parquet(path), spark, SPREAD_KEYS.get(name))
-        _RESOLVED[key] = df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df

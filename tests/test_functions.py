@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ampere.functions.casts import safe_bigint, safe_divide, safe_double
-from ampere.functions.cells import col_letter, col_letter_expr, float_text
+from ampere.functions.cells import column_name, float_text
 from ampere.functions.fuel import fuel_category, is_detail_code
-from ampere.functions.periods import (hour_period, hourly_pull_range, month_start,
-                                      month_window, period_date)
+from ampere.functions.periods import (hour_period, in_hourly_pull, month_start, month_window,
+                                      period_date)
 
 
 def one_col(spark, values, expr, dtype="string"):
@@ -59,12 +59,17 @@ def test_month_window_includes_anchor_month():
     assert len(month_window(dt.date(2026, 2, 1), 0)) == 1
 
 
-def test_hourly_pull_range_clamps_to_end_day():
-    assert hourly_pull_range(dt.date(2026, 2, 1), dt.date(2026, 2, 10)) == \
-        (dt.date(2026, 2, 1), dt.date(2026, 2, 10))
-    assert hourly_pull_range(dt.date(2026, 1, 1), dt.date(2026, 2, 10)) == \
-        (dt.date(2026, 1, 1), dt.date(2026, 1, 31))
-    assert hourly_pull_range(dt.date(2026, 3, 1), dt.date(2026, 2, 10)) is None
+def test_hourly_pull_stops_at_the_end_day(spark):
+    hours = spark.sql("SELECT explode(sequence(timestamp_ntz'2026-01-01', timestamp_ntz'2026-03-31 23:00:00', "
+                      "interval 1 hour)) AS ts")
+
+    def pulled(month):
+        got = hours.filter(in_hourly_pull("ts", F.lit(month), F.lit("2026-02-10"))).agg(F.min("ts"), F.max("ts"))
+        return tuple(got.first())
+
+    assert pulled("2026-02-01") == (dt.datetime(2026, 2, 1), dt.datetime(2026, 2, 10, 23))
+    assert pulled("2026-01-01") == (dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 31, 23))
+    assert pulled("2026-03-01") == (None, None)
 
 
 def test_fuel_category_and_exclusion(spark):
@@ -76,11 +81,9 @@ def test_fuel_category_and_exclusion(spark):
     assert [r[0] for r in df.filter(is_detail_code("c")).collect()] == ["NGO"]
 
 
-def test_col_letters(spark):
-    for n in (1, 26, 27, 52, 702, 703, 18278):
-        df = spark.range(1).select(col_letter_expr(F.lit(n)).alias("c"))
-        assert df.first()[0] == col_letter(n)
-    assert [col_letter(n) for n in (1, 13, 26, 27)] == ["A", "M", "Z", "AA"]
+def test_column_names():
+    assert [column_name(n) for n in (1, 13, 26, 27, 52, 702, 703, 18278, 18279)] == [
+        "A", "M", "Z", "AA", "AZ", "ZZ", "AAA", "ZZZ", "AAAA"]
 
 
 def test_float_text(spark):
