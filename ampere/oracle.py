@@ -391,8 +391,8 @@ ORACLE.update({
     UNION ALL SELECT 'fact_rto_regional', count(*), CAST(max(month) AS VARCHAR) FROM f_reg
     UNION ALL SELECT 'fact_rto_heatmap', count(*), CAST(max(month) AS VARCHAR) FROM f_heat"""),
     "health_report": with_ctes([c for _, c, _ in _HEALTH], "SELECT check_name, CASE WHEN n > 0 "
-        "THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS VARCHAR) || ' rows, latest ' || "
-        "coalesce(latest, 'None') AS detail FROM (" + " UNION ALL ".join(
+        "THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS VARCHAR) || ' rows up to ' || "
+        "coalesce(latest, 'nothing') AS detail FROM (" + " UNION ALL ".join(
             f"SELECT '{name}' AS check_name, count(*) AS n, {latest} AS latest FROM {cte}"
             for name, cte, latest in _HEALTH) + ")"),
     "coverage_months": with_ctes(["recs"], """

@@ -246,11 +246,11 @@ def check_all(spark: SparkSession, layout: Layout, min_months: int = checks.MIN_
         cov = checks.month_coverage(landed, d, min_months)
         report = report.unionByName(cov.select(
             F.concat(F.lit("landing."), F.col("dataset")).alias("check_name"), "status",
-            F.concat(F.col("n_months").cast("string"), F.lit(" months, latest "),
-                     F.coalesce("latest", F.lit("None"))).alias("detail")))
+            F.concat(F.col("n_months").cast("string"), F.lit(" months up to "),
+                     F.coalesce("latest", F.lit("nothing"))).alias("detail")))
     dem = checks.demand_coverage(stg["demand"], min_regions, first_year)
     report = report.unionByName(dem.select(
         F.lit("staging.demand_coverage").alias("check_name"), "status",
-        F.concat(F.col("regions").cast("string"), F.lit(" regions, starts "),
-                 F.coalesce(F.col("first_hour").cast("string"), F.lit("None"))).alias("detail")))
+        F.concat(F.col("regions").cast("string"), F.lit(" regions since "),
+                 F.coalesce(F.col("first_hour").cast("string"), F.lit("nothing"))).alias("detail")))
     return require(report) if raise_on_fail else report
