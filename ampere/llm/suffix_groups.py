@@ -324,7 +324,9 @@ def repeated(docs: DataFrame, id: str, text: str, length: int, scratch: Scratch,
     source = docs.select(t.alias("t"), rep.alias("rep"), F.col(f"`{text}`").cast("binary").alias("b"))
     run, schema = _anchor_rows(length)
     rows = scratch.write(source.filter(F.length("b") >= length).mapInArrow(run, schema))
-    cores = rows.groupBy("core").agg(F.sum("c").alias("n")).filter("n > 1").select("core")
+    # Written, so that the join below has the counts as a side of its own: a hot core is then
+    # split at run time, as it could not be within the stage that counts.
+    cores = scratch.write(rows.groupBy("core").agg(F.sum("c").alias("n")).filter("n > 1").select("core"))
     shared = scratch.write(rows.join(cores, "core", "left_semi"))
     scratch.drop(rows)
     wholes = shared.groupBy("core", "whole").agg(
@@ -332,8 +334,8 @@ def repeated(docs: DataFrame, id: str, text: str, length: int, scratch: Scratch,
     wholes = scratch.write(wholes)
     sure = shared.join(wholes.filter("c > 1").select("core", "whole"), ["core", "whole"], "left_semi").select(
         "t", "a", (F.col("b") + length).alias("e"))
-    mixed = wholes.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).filter(
-        "n > 1 and least = 1").select("core")
+    mixed = scratch.write(wholes.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).filter(
+        "n > 1 and least = 1").select("core"))
     wanted = wholes.join(mixed, "core", "left_semi").select("x.t", "x.rep", F.struct(
         F.col("x.s"), F.col("x.a"), F.col("x.b"), F.col("c")).alias("w")).groupBy("t", "rep").agg(
         F.collect_list("w").alias("w"))
