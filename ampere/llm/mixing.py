@@ -31,7 +31,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
 #: Units a bucket holds on average, and buckets that meet in one on the next level.
-BUCKET = 2048
+BUCKET = 512
 FAN_IN = 32
 
 
