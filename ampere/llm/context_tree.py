@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampere.llm.common import fresh, without
+from ampere.llm.common import fresh
 
 DEPTH = 5
 BLOCK_BYTES = 8 << 20
@@ -220,16 +220,21 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
 
     ``train`` marks the rows to learn from.
     """
+    # Plain names inside, so that no column of the input can clash with one made here.
+    outer, flag = docs.columns, fresh(docs.columns, "_train")
+    docs = docs.select("*", train.alias(flag)).toDF(*(f"c{i}_" for i in range(len(outer))), "train_")
+    text, train = f"c{[c.lower() for c in outer].index(text.lower())}_", F.col("train_")
+    docs, keep = docs.drop("train_"), docs
     size = docs.select(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long") + 8)).first()[0] or 0
     blocks = 1 + size // block_bytes
     names = [*docs.columns, *ADDED]
     block, raw, learn = (fresh(names, x) for x in ("_block", "_raw", "_train"))
-    kept = [c for c in docs.columns if c.lower() not in ADDED and c.lower() != text.lower()]
+    kept = [c for c, o in zip(docs.columns, outer, strict=True) if o.lower() not in ADDED and c != text]
     hashed = [F.col(f"`{c}`") for c in docs.columns
               if "map<" not in docs.schema[c].dataType.simpleString()
               and "variant" not in docs.schema[c].dataType.simpleString()]
-    source = docs.select(
-        *without(docs, [*ADDED, text]),
+    source = keep.select(
+        *kept,
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias(raw),
         F.coalesce(train, F.lit(False)).alias(learn),
         F.pmod(F.xxhash64(*hashed), F.lit(blocks)).cast("int").alias(block))
@@ -344,6 +349,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
 
     scored = source.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(total, figures)
     return scored.withColumn("_one", F.lit(1)).join(totals, F.col("_one") == F.col("one")).select(
-        *(F.col(f"`{c}`") for c in kept), "n_tokens", "n_known", "n_bytes", "train_tokens",
+        *(F.col(c).alias(outer[docs.columns.index(c)]) for c in kept),
+        "n_tokens", "n_known", "n_bytes", "train_tokens",
         (F.col("_logs") - F.col("n_tokens") * F.log10(F.col("train_tokens") + F.col("v") + 1)).alias("base_score"),
         "score")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.llm.common import Scratch, fresh, word_count
+from ampere.llm.common import Scratch, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -195,19 +195,18 @@ def plan(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
     """The documents of the mixture, each as often as it is taken, in the columns of ``docs``."""
     scratch = Scratch(docs.sparkSession, "mix")
-    names = docs.columns
-    h, i, s = (fresh(names, x) for x in ("_h", "_i", "_s"))
-    rows = docs.select("*", row_hash(docs).alias(h), word_count(F.col(f"`{text}`")).alias(s))
-    unit = copies(_units(rows, id, source, F.col(s), F.col(h)), scratch, **how)
-    unit = scratch.write(unit).select(F.col("id").alias("_uid"), F.col("source").alias("_usource"),
-                                      F.col("size").alias("_usize"), F.col("h").alias("_uh"), "m", "total")
-    on = (F.col(f"`{id}`").eqNullSafe(F.col("_uid")) & F.col(f"`{source}`").eqNullSafe(F.col("_usource"))
-          & (F.col(h) == F.col("_uh")) & (F.col(s) == F.col("_usize")))
-    once = rows.join(unit.filter("m = 1 and total > 0"), on)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), row_hash(docs).alias("h"),
+                       F.col(f"`{id}`").alias("id"), F.col(f"`{source}`").alias("source"),
+                       word_count(F.col(f"`{text}`")).alias("size"))
+    unit = copies(_units(rows, "id", "source", F.col("size"), F.col("h")), scratch, **how)
+    unit = scratch.write(unit).select(F.col("id").alias("uid"), F.col("source").alias("usource"),
+                                      F.col("size").alias("usize"), F.col("h").alias("uh"), "m", "total")
+    on = (F.col("id").eqNullSafe(F.col("uid")) & F.col("source").eqNullSafe(F.col("usource"))
+          & (F.col("h") == F.col("uh")) & (F.col("size") == F.col("usize")))
+    once = rows.join(unit.filter("m = 1 and total > 0"), on).select("row", "total")
     # Equal rows are interchangeable: one of them stands for its unit (partial aggregation).
-    many = rows.join(unit.filter("m > 1 and total > 0"), on).groupBy("_uh", "_usize", "_uid", "_usource").agg(
-        F.any_value(F.struct(*(F.col(f"`{c}`") for c in names))).alias(i), F.any_value("total").alias("total"))
-    many = many.select(*(F.col(i)[c].alias(c) for c in names), "total")
-    both = once.select(*(F.col(f"`{c}`") for c in names), "total").unionAll(many)
-    return both.select(*(F.col(f"`{c}`") for c in names), F.explode(
-        F.sequence(F.lit(1).cast("long"), F.col("total").cast("long"))).alias(i)).drop(i)
+    many = rows.join(unit.filter("m > 1 and total > 0"), on).groupBy("uh", "usize", "uid", "usource").agg(
+        F.any_value("row").alias("row"), F.any_value("total").alias("total")).select("row", "total")
+    taken = once.unionAll(many).select("row", F.explode(
+        F.sequence(F.lit(1).cast("long"), F.col("total").cast("long"))).alias("copy"))
+    return taken.select(*(F.col("row")[c].alias(c) for c in docs.columns))

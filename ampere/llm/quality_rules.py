@@ -143,15 +143,15 @@ def clean_lines(docs: DataFrame, text: str = "text",
 
 def keep_clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, with their clean text; ``n_chars``, if there, follows it."""
-    judged = clean_lines(docs, text).filter("kept")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{text}`").alias("text"))
+    judged = clean_lines(rows).filter("kept")
     out = []
     for c in docs.columns:
         if c.lower() == text.lower():
             out.append(F.col("clean_text").alias(c))
         elif c.lower() == "n_chars":
             out.append(F.char_length("clean_text").cast(docs.schema[c].dataType).alias(c))
-        elif c.lower() in ADDED:
-            raise ValueError(f"input column {c!r} has a name this filter needs")
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(F.col("row")[c].alias(c))
     return judged.select(*out)

@@ -87,7 +87,7 @@ def test_equals_the_recursion(spark, block):
     texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 25))) for _ in range(40)] + [None, "", "zzz \0 q"]
     train = [i % 3 != 0 for i in range(len(texts))]
     df = spark.createDataFrame([(i % 30, t, x, i) for i, (t, x) in enumerate(zip(texts, train, strict=True))],
-                               "doc_id long, text string, learn boolean, row int")
+                               "doc_id long, text string, learn boolean, row int").withColumn("v", F.lit(1)).withColumn("score", F.lit("x"))
     got = {x.row: x for x in context_tree.score(df, F.col("learn"), block_bytes=block).collect()}
     scores, base, n, tokens = brute([(t or "").encode() for t in texts], train)
     assert len(got) == len(texts)

@@ -35,7 +35,8 @@ def test_line_rules(spark):
     good = "A plain sentence of some length that ends as sentences do."
     bad = ["home | about | contact | login", "Home Login Search", "BUY!! NOW!! CHEAP!! THINGS!!", "Read more",
            "we use $$$ and %%% and ### and &&& here ***.", "All Rights Reserved by somebody in a long line here."]
-    prose = [f"{good} {i} more words make this line its own and keep it long enough." for i in range(12)]
+    prose = [" ".join(f"{w}{i}" for w in f"{good} And more words make this line its own.".split()) + "."
+             for i in range(12)]
     text = "\n".join([prose[0], bad[0], *prose[1:4], "", *bad[1:], *prose[4:]])
     row = quality_rules.clean_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.clean_text == "\n".join([*prose[:4], "", *prose[4:]]) and row.kept
@@ -44,9 +45,9 @@ def test_line_rules(spark):
 
 
 def test_filter_keeps_columns(spark):
-    text = "\n".join(f"Line number {i} says something of its own in {i * 7} words or so." for i in range(9))
+    text = "\n".join(" ".join(f"{w}{i}" for w in "This line says something of its own".split()) + "." for i in range(9))
     df = spark.createDataFrame([(1, text, 3, "x"), (2, None, 0, "y"), (None, text, None, None)],
-                               "doc_id long, text string, n_chars int, lines string")
+                               "doc_id long, text string, n_chars int, kept string")
     out = quality_rules.keep_clean(df)
     assert out.schema == df.schema or out.columns == df.columns
     assert [r.n_chars for r in out.collect()] == [len(text)] * 2
