@@ -144,18 +144,22 @@ def run_staging(spark: SparkSession, layout: Layout,
 # ---------------------------------------------------------------- marts
 
 def write_mart(df: DataFrame, layout: Layout, name: str) -> str:
-    """Write a new version, then point ``_current`` at it (full replace)."""
+    """Write a new version, then add it to ``_current`` (full replace).
+
+    The pointer is only ever added to, one file per version, so a reader finds the old or
+    the new version at any moment, and a crash in between leaves the old one.
+    """
     spark = df.sparkSession
-    version = f"{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = f"{layout.mart(name)}/v={version}"
     df.write.mode("overwrite").parquet(path)
     (spark.createDataFrame([(version,)], "version string").coalesce(1)
-          .write.mode("overwrite").text(f"{layout.mart(name)}/_current"))
+          .write.mode("append").text(f"{layout.mart(name)}/_current"))
     return path
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    version = spark.read.text(f"{layout.mart(name)}/_current").first()[0]
+    version = spark.read.text(f"{layout.mart(name)}/_current").agg(F.max("value")).first()[0]
     return spark.read.parquet(f"{layout.mart(name)}/v={version}")
 
 
