@@ -295,9 +295,10 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
     level1 = nodes.groupBy("last").applyInArrow(up, f"last int, {cells}")  # 256 rows at most
     root = level1.select(F.lit(0).alias("last"), "n0", "n1", "lw").groupBy("last").applyInArrow(
         up, f"last int, {cells}")
+    # Broadcast: one root, and at most 256 rows of 12 KB, whatever the corpus.
     top = level1.select("last", F.struct("n0", "n1", "share").alias("level1"), F.lit(0).alias("zero")).join(
-        root.select(F.col("last").alias("zero"), F.struct("n0", "n1", "share").alias("root")), "zero")
-    top = summary.select("part", "last").join(top, "last", "left").select("part", "level1", "root")
+        F.broadcast(root.select(F.col("last").alias("zero"), F.struct("n0", "n1", "share").alias("root"))), "zero")
+    top = summary.select("part", "last").join(F.broadcast(top), "last", "left").select("part", "level1", "root")
 
     def answer(key, table, tops):
         words, every, n, place, lengths = gathered(table)
@@ -348,7 +349,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
                          pa.array(base, pa.float64()), pa.array(model, pa.float64())], names=figures.names)
 
     scored = source.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(total, figures)
-    return scored.withColumn("_one", F.lit(1)).join(totals, F.col("_one") == F.col("one")).select(
+    return scored.withColumn("_one", F.lit(1)).join(F.broadcast(totals), F.col("_one") == F.col("one")).select(
         *(F.col(c).alias(outer[docs.columns.index(c)]) for c in kept),
         "n_tokens", "n_known", "n_bytes", "train_tokens",
         (F.col("_logs") - F.col("n_tokens") * F.log10(F.col("train_tokens") + F.col("v") + 1)).alias("base_score"),
