@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampere.llm.common import SPACE, fresh, without, word_array
+from ampere.llm.common import SPACE, Scratch, fresh, without, word_array
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -145,7 +145,7 @@ def keep_clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, with their clean text; ``n_chars``, if there, follows it."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                        F.col(f"`{text}`").alias("text"))
-    judged = clean_lines(rows).filter("kept")
+    judged = clean_lines(rows)
     out = []
     for c in docs.columns:
         if c.lower() == text.lower():
@@ -154,4 +154,8 @@ def keep_clean(docs: DataFrame, text: str = "text") -> DataFrame:
             out.append(F.char_length("clean_text").cast(docs.schema[c].dataType).alias(c))
         else:
             out.append(F.col("row")[c].alias(c))
-    return judged.select(*out)
+    # Written before the verdict filters: Catalyst would push the filter below the projections
+    # and inline each of them into it, over and over.
+    flag = fresh(docs.columns, "_kept")
+    written = Scratch(docs.sparkSession, "quality").write(judged.select(*out, F.col("kept").alias(flag)))
+    return written.filter(F.col(flag)).drop(flag)
