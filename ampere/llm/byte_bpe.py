@@ -34,6 +34,7 @@ from ampere.llm.common import fresh, without
 CHUNK = 1 << 18
 OVERLAP = 1 << 10
 CACHED_PIECES = 400_000
+ROWS = 512
 #: No pre-token decision looks further than this beyond the end of a match.
 LOOK = 4
 
@@ -145,11 +146,13 @@ def stitch(text: str, found: list[np.ndarray], pattern: str, chunk: int = CHUNK)
 
 
 def _batches(rows, encode, name):
-    for batch in rows:
-        at = batch.schema.get_field_index(name)
-        ids = pa.array((encode(x) for x in batch.column(at).to_pylist()), pa.binary())
-        columns = [ids if i == at else batch.column(i) for i in range(batch.num_columns)]
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    for whole in rows:
+        at = whole.schema.get_field_index(name)
+        for off in range(0, whole.num_rows, ROWS):  # a slice at a time, for little memory
+            batch = whole.slice(off, ROWS)
+            ids = pa.array([encode(x) for x in batch.column(at).to_pylist()], pa.binary())
+            columns = [ids if i == at else batch.column(i) for i in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
 def _encoded(df: DataFrame, column: str, ranks, pattern: str) -> DataFrame:
