@@ -31,10 +31,10 @@ def test_held_out_accuracy(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     words = secret_scan.dictionary(docs)
     found = secret_scan.candidates(docs, words).cache()
-    labelled = found.filter("id % 2 = 0").join(
+    labelled = found.filter("id % 5 < 3").join(
         spark.createDataFrame([(i, int(y)) for i, y in truth.items()], "id long, label int"), "id")
-    judged = secret_scan.judge(found.filter("id % 2 = 1"), secret_scan.train(labelled)).collect()
-    assert len(judged) >= 600
+    judged = secret_scan.judge(found.filter("id % 5 >= 3"), secret_scan.train(labelled)).collect()
+    assert len(judged) >= 470
     right = sum((r.score >= 0.5) == truth[r.id] for r in judged)
     assert right >= 0.97 * len(judged)
     texts = {i: t for i, t, _ in rows}
