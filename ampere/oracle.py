@@ -9,7 +9,19 @@ the CTEs it needs and they are emitted in dependency order.
 from __future__ import annotations
 
 from ampere.sources.bindings import BACKFILL_AT, BOUND_FUEL_CODES, LOOKBACK_MONTHS, REVISION_AT
-from ampere.functions.fuel import AGGREGATE_FUEL_CODES, FUEL_CATEGORIES
+
+# Fixed values, stated here again and not imported from the engine, so that a slip in either
+# place shows: aggregate fuel codes, and the category of each detailed code.
+AGGREGATE_FUEL_CODES = ("ALL", "FOS", "REN", "COW", "AOR", "BIS", "SUN", "TSN",
+                        "TPV", "DPV", "NG", "WND", "COL")
+FUEL_CATEGORIES = (
+    ("Natural Gas", ("NGO",)),
+    ("Wind", ("WNT", "WNS")),
+    ("Solar & Geothermal", ("SPV", "STH", "GEO")),
+    ("Nuclear", ("NUC",)),
+    ("Coal", ("SUB", "LIG", "BIT", "ANT", "RC", "WOC")),
+    ("Hydro", ("HYC", "HPS")),
+)
 
 _CODES = "[" + ", ".join(f"'{c}'" for c in BOUND_FUEL_CODES) + "]"
 _AGG = ", ".join(f"'{c}'" for c in AGGREGATE_FUEL_CODES)
@@ -147,23 +159,22 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "d_v": (_demand_stage("d_rows_v"), ("d_rows_v",)),
     "d_stg": (_upsert("d_b", "d_v", ("period", "region_id")), ("d_b", "d_v")),
     "f_retail": ("""
+    WITH numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY state_id ORDER BY period) AS n
+      FROM r_stg WHERE sector_id = 'ALL' AND price_cents_kwh IS NOT NULL),
+    near AS (
+      -- Each row with itself and up to 11 rows before it.
+      SELECT x.state_id, x.n, avg(y.price_cents_kwh) AS mean, stddev_samp(y.price_cents_kwh) AS spread
+      FROM numbered x JOIN numbered y
+        ON x.state_id IS NOT DISTINCT FROM y.state_id AND x.n - y.n BETWEEN 0 AND 11
+      GROUP BY x.state_id, x.n)
     SELECT period, CAST(try_strptime(period || '-01', '%Y-%m-%d') AS DATE) AS period_date,
-           state_id, state_name, sector_id, sector_name, price_cents_kwh, sales_mwh, customers,
-           rolling_avg_12m, rolling_std_12m, z_score, abs(z_score) > 2.5 AS is_anomaly
-    FROM (
-      SELECT *, CASE WHEN rolling_std_12m = 0 OR rolling_std_12m IS NULL THEN 0.0
-                     ELSE (price_cents_kwh - rolling_avg_12m) / rolling_std_12m END AS z_score
-      FROM (
-        SELECT period, state_id, state_name, sector_id, sector_name, price_cents_kwh,
-               sales_mwh, customers,
-               avg(price_cents_kwh) OVER w AS rolling_avg_12m,
-               stddev_samp(price_cents_kwh) OVER w AS rolling_std_12m
-        FROM r_stg
-        WHERE sector_id = 'ALL' AND price_cents_kwh IS NOT NULL
-        WINDOW w AS (PARTITION BY state_id ORDER BY period
-                     ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
-      ) rs
-    ) sc""", ("r_stg",)),
+           numbered.state_id, state_name, sector_id, sector_name, price_cents_kwh, sales_mwh, customers,
+           mean AS rolling_avg_12m, spread AS rolling_std_12m,
+           coalesce((price_cents_kwh - mean) / nullif(spread, 0), 0.0) AS z_score,
+           coalesce(abs((price_cents_kwh - mean) / nullif(spread, 0)), 0.0) > 2.5 AS is_anomaly
+    FROM numbered JOIN near
+      ON numbered.n = near.n AND numbered.state_id IS NOT DISTINCT FROM near.state_id""", ("r_stg",)),
     "f_gen": (f"""
     SELECT period, CAST(try_strptime(period || '-01', '%Y-%m-%d') AS DATE) AS period_date,
            state_id, fuel_type_code, fuel_type_desc, {_fuel_case("fuel_type_code")} AS fuel_category,
