@@ -3,12 +3,17 @@
 Equal vectors are one node of the graph; a node keeps its ``k + 1`` smallest ids, which are
 all that a result can ever show of it. Every node is indexed. The first graph comes from a
 few random cuts of the space, compared in bounded blocks. Then, in rounds of Spark joins,
-the neighbours of each node (both ways) meet there and are compared with each other:
-whoever is nearer than the worst neighbour held replaces it. A query walks the graph: the
-best nodes seen that are not yet opened give their neighbours as new candidates, all
-queries moving together in joins. Scores are computed on the original vectors in doubles.
-
-Recall against brute force is measured in tests/llm/test_nn_descent.py (0.9 at least).
+the neighbours of each node (both ways) meet there and are compared with each other, where
+one of the two is new: whoever is nearer than the worst neighbour held replaces it. Rounds
+end when at most the share ``CHANGED`` of all edges is new. A query walks the graph both
+ways: the best nodes seen that are not yet opened give their neighbours as new candidates,
+all queries moving together in joins, until no node of the beam is unopened.
+
+The beam is not fixed, as a larger table needs a wider one: ``PROBES`` of the queries are
+compared with all nodes (one pass), walk first, and their beam widens by half until they find
+the share ``RECALL`` of their true neighbours or have opened all they can reach. All others
+walk with the beam found. Graph and walk compare 32-bit floats, scaled by one factor for the
+whole table; scores returned are computed on the original vectors in doubles.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or that
 hold a null or a non-finite component take no part, as query or candidate; null ids take
@@ -19,6 +24,8 @@ all are reached up to one block.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -29,10 +36,10 @@ from ampere.llm.common import Scratch
 NEIGHBOURS = 32
 CUTS = 4
 BLOCK = 512
-ROUNDS = 3
+CHANGED = 0.02
 BEAM = 96
-STEPS = 4
-OPEN = 16
+PROBES = 200
+RECALL = 0.93
 
 
 def usable(table: DataFrame, id: str, vector: str) -> DataFrame:
@@ -46,7 +53,7 @@ def usable(table: DataFrame, id: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == (sizes["d"] if sizes else 0))
 
 
-def _matrix(cells, dtype=np.float16) -> np.ndarray:
+def _matrix(cells, dtype=np.float32) -> np.ndarray:
     return np.frombuffer(b"".join(cells), dtype=dtype).reshape(len(cells), -1)
 
 
@@ -75,7 +82,7 @@ def _edges(u, v, s):
 
 def _best(x: np.ndarray, ids: np.ndarray, k: int):
     """Edges to the k nearest others within a block."""
-    sims = x.astype(np.float32) @ x.astype(np.float32).T
+    sims = x @ x.T
     np.fill_diagonal(sims, -np.inf)
     k = min(k, len(ids) - 1)
     if k <= 0:
@@ -95,7 +102,7 @@ def first_graph(nodes: DataFrame, n: int, k: int) -> DataFrame:
 
     def place(batches):
         for b in batches:
-            x = _matrix(b.column(1).to_pylist()).astype(np.float32) if b.num_rows else np.zeros((0, 1), np.float32)
+            x = _matrix(b.column(1).to_pylist()) if b.num_rows else np.zeros((0, 1), np.float32)
             parts = []
             for cut in range(CUTS if bits or n > BLOCK else 1):
                 lines = np.random.default_rng(1000 + cut).standard_normal((x.shape[1], bits + 1)).astype(np.float32)
@@ -121,44 +128,146 @@ def first_graph(nodes: DataFrame, n: int, k: int) -> DataFrame:
         compare, "u long, v long, s float")
 
 
+def _both(graph: DataFrame, k: int) -> DataFrame:
+    """(u, v, new): the edges, and the best k that lead to each node, turned round."""
+    back = _top(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s", "new"), k)
+    return graph.select("u", "v", "new").unionAll(back.select("u", "v", "new")).repartition("u").groupBy(
+        "u", "v").agg(F.max("new").alias("new"))
+
+
 def _round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """Neighbours of each node, both ways, compared with one another."""
-    worst = graph.groupBy("u").agg(F.min("s").alias("worst"))
-    back = _top(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s"), k)
-    both = graph.select("u", "v").unionAll(back.select("u", "v")).distinct()
-    met = both.select(F.col("u").alias("g"), F.col("v").alias("node")).join(nodes.select("node", "x"), "node").join(
-        worst.withColumnRenamed("u", "node"), "node", "left").select("g", "node", "x", F.coalesce(
-            "worst", F.lit(float("-inf"))).alias("worst"))
+    """Neighbours of each node, both ways, compared with one another if one of them is new."""
+    low = F.lit(float("-inf")).cast("float")
+    worst = graph.groupBy(F.col("u").alias("node")).agg(
+        F.when(F.count("*") >= k, F.min("s")).otherwise(low).alias("worst"))
+    met = _both(graph, k).withColumn("any", F.max("new").over(Window.partitionBy("u"))).filter("any").select(
+        F.col("u").alias("g"), F.col("v").alias("node"), "new").join(nodes.select("node", "x"), "node").join(
+        worst, "node", "left").select("g", "node", "x", "new", F.coalesce("worst", low).alias("worst"))
 
     def compare(batches):
         for _, rows in _groups(batches):
             if rows.num_rows < 2:
                 continue
-            ids = rows.column("node").to_numpy()
-            x = _matrix(rows.column("x").to_pylist()).astype(np.float32)
+            ids, new = rows.column("node").to_numpy(), rows.column("new").to_numpy()
+            x = _matrix(rows.column("x").to_pylist())
             sims = x @ x.T
             np.fill_diagonal(sims, -np.inf)
-            better = sims > rows.column("worst").to_numpy().astype(np.float32)[:, None]
+            better = (sims > rows.column("worst").to_numpy()[:, None]) & (new[:, None] | new)
             a, b = np.nonzero(better)
             yield _edges(ids[a], ids[b], sims[a, b])
 
     found = met.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "u long, v long, s float")
-    every = graph.select("u", "v", "s").unionAll(found).groupBy("u", "v").agg(F.max("s").alias("s"))
-    return _top(every, k).select("u", "v", "s")
+    every = graph.select("u", "v", "s", F.lit(False).alias("new")).unionAll(
+        found.withColumn("new", F.lit(True))).groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
+    return _top(every, k).select("u", "v", "s", "new")
+
+
+def _release(spark) -> None:
+    """Shuffle files of steps that are over go now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def build(nodes: DataFrame, n: int, k: int, scratch: Scratch) -> DataFrame:
-    """(u, v, s): the k neighbours of every node."""
+    """(u, v, s, new): the k neighbours of every node."""
     first = first_graph(nodes, n, k).groupBy("u", "v").agg(F.max("s").alias("s"))
-    graph = scratch.write(_top(first, k).select("u", "v", "s"))
-    if n > BLOCK:
-        for _ in range(ROUNDS):
-            new = scratch.write(_round(graph, nodes, k))
-            scratch.drop(graph)
-            graph = new
+    graph = scratch.write(_top(first, k).select("u", "v", "s", F.lit(True).alias("new")))
+    changed = 1.0
+    while n > BLOCK and changed > CHANGED:
+        new = scratch.write(_round(graph, nodes, k))
+        scratch.drop(graph)
+        graph = new
+        changed = graph.agg(F.avg(F.col("new").cast("double"))).first()[0]
+        _release(nodes.sparkSession)
     return graph
 
 
+def _scored(pairs: DataFrame, nodes: DataFrame, ask: DataFrame) -> DataFrame:
+    """(q, node, s): pairs with their inner product."""
+    def dot(batches):
+        for b in batches:
+            if b.num_rows:
+                s = np.einsum("ij,ij->i", _matrix(b.column(2).to_pylist()), _matrix(b.column(3).to_pylist()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float32())],
+                                                 names=["q", "node", "s"])
+
+    return pairs.join(nodes.select("node", "x"), "node").join(ask, "q").select("q", "node", "x", "qx").mapInArrow(
+        dot, "q long, node long, s float")
+
+
+def start(walkers: DataFrame, links: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(q, node, s, opened): each query's own node, opened, and the neighbours of that."""
+    pairs = walkers.select("q", F.col("q").alias("node")).unionAll(
+        walkers.join(links, walkers["q"] == links["u"]).select("q", F.col("v").alias("node"))).distinct()
+    return scratch.write(_scored(pairs, nodes, walkers).withColumn("opened", F.col("q") == F.col("node")))
+
+
+def walk(seen: DataFrame, walkers: DataFrame, links: DataFrame, nodes: DataFrame, beam: int, scratch: Scratch,
+         keep: bool) -> DataFrame:
+    """The nodes seen when none of a query's ``beam`` best is unopened; without ``keep``, the beam alone."""
+    opening = Window.partitionBy("q").orderBy("r")
+    while True:
+        best = _top(seen, beam, "q", "node")
+        now = scratch.write(best.filter(~F.col("opened")).withColumn("o", F.row_number().over(opening)).filter(
+            F.col("o") <= max(1, beam // 4)).select("q", "node"))
+        if now.isEmpty():
+            scratch.drop(now)
+            return seen
+        new = now.join(links, now["node"] == links["u"]).select("q", F.col("v").alias("node")).distinct().join(
+            seen.select("q", "node"), ["q", "node"], "left_anti")
+        kept = (seen if keep else best).join(now.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
+            "q", "node", "s", (F.col("opened") | F.coalesce("now", F.lit(False))).alias("opened"))
+        grown = kept.unionAll(_scored(new, nodes, walkers).withColumn("opened", F.lit(False)))
+        grown = scratch.write(grown if keep else _top(grown, beam, "q", "node").select("q", "node", "s", "opened"))
+        scratch.drop(seen, now)
+        seen = grown
+        _release(nodes.sparkSession)
+
+
+def nearest(probes: list, nodes: DataFrame, k: int) -> DataFrame:
+    """(q, node): the true k nearest other nodes of a few queries, by one pass over all nodes."""
+    ids, x = np.array([p.q for p in probes], np.int64), _matrix([p.qx for p in probes])
+
+    def compare(batches):
+        held, scores = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0), np.float32)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            other = b.column(0).to_numpy()
+            sims = x @ _matrix(b.column(1).to_pylist()).T
+            sims[ids[:, None] == other] = -np.inf
+            scores = np.hstack([scores, sims])
+            held = np.hstack([held, np.broadcast_to(other, sims.shape)])
+            if scores.shape[1] > k:
+                top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                scores, held = np.take_along_axis(scores, top, 1), np.take_along_axis(held, top, 1)
+        a, b = np.nonzero(scores > -np.inf)
+        yield _edges(ids[a], held[a, b], scores[a, b])
+
+    found = nodes.select("node", "x").mapInArrow(compare, "u long, v long, s float")
+    return _top(found, k).select(F.col("u").alias("q"), F.col("v").alias("node"))
+
+
+def beam_needed(walkers: DataFrame, links: DataFrame, nodes: DataFrame, k: int, scratch: Scratch) -> int:
+    """The beam with which a few queries, dealt by hash, find the share RECALL of their true neighbours."""
+    beam = max(BEAM, 2 * k)
+    probes = walkers.orderBy(F.xxhash64("q"), "q").limit(PROBES).collect()
+    if not probes:
+        return beam
+    few = scratch.write(walkers.sparkSession.createDataFrame([(p.q, p.qx) for p in probes], walkers.schema))
+    truth = scratch.write(nearest(probes, nodes, k))
+    true = truth.count()
+    seen = start(few, links, nodes, scratch)
+    while True:
+        seen = walk(seen, few, links, nodes, beam, scratch, keep=True)
+        others = seen.filter(F.col("q") != F.col("node"))
+        hits = _top(others, k, "q", "node").join(truth, ["q", "node"], "left_semi").count()
+        if hits >= RECALL * true or seen.filter(~F.col("opened")).isEmpty():
+            scratch.drop(seen, few, truth)
+            return beam
+        beam += beam // 2
+
+
 def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str = "embedding",
            k: int = 20, neighbours: int = NEIGHBOURS) -> DataFrame:
     """For each row that ``queries`` (a condition on ``id``) marks, its k nearest other rows."""
@@ -169,47 +278,35 @@ def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str =
     ranked = scratch.write(ranked)
     nodes = ranked.groupBy("v").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("ids"))
 
-    def half(batches):
+    largest = nodes.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
+
+    def single(batches):
         for b in batches:
-            cells = []
-            for x in b.column(1).to_pylist():
-                x = np.array(x)
-                cells.append((x / max(1.0, np.abs(x).max() / 1000)).astype(np.float16).tobytes())
+            cells = [(np.array(x) / largest).astype(np.float32).tobytes() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cells, pa.binary())],
                                              names=["node", "v", "ids", "x"])
 
     nodes = scratch.write(nodes.select("node", "v", "ids").mapInArrow(
-        half, "node long, v array<double>, ids array<long>, x binary"))
+        single, "node long, v array<double>, ids array<long>, x binary"))
     n = nodes.count()
     graph = build(nodes, n, neighbours, scratch)
 
     asked = rows.withColumnRenamed("id", id).filter(queries).select(F.col(id).alias("q"), "v").distinct()
     asked = scratch.write(asked.join(nodes.select("v", "node"), "v").select("q", "node").distinct())
     # All rows of one vector ask the same: the walk is made once per node.
-    walkers = asked.select(F.col("node").alias("q")).distinct()
+    walkers = scratch.write(asked.select("node").distinct().join(nodes, "node").select(
+        F.col("node").alias("q"), F.col("x").alias("qx")))
+    links = scratch.write(_both(graph, 2 * neighbours).select("u", "v"))
+    beam = max(BEAM, 2 * k)
+    if n > BLOCK:
+        beam = beam_needed(walkers, links, nodes, k, scratch)
+        seen = walk(start(walkers, links, nodes, scratch), walkers, links, nodes, beam, scratch, keep=False)
+    else:
+        seen = start(walkers, links, nodes, scratch)
     exact = nodes.select("node", "v")
-    ask = walkers.join(exact.select(F.col("node").alias("q"), F.col("v").alias("qv")), "q")
     dot = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-
-    def scored(pairs):
-        return pairs.join(exact, "node").join(ask, "q").select("q", "node", dot.alias("s"))
-
-    start = walkers.select("q", F.col("q").alias("node")).unionAll(
-        walkers.join(graph, walkers["q"] == graph["u"]).select("q", F.col("v").alias("node"))).distinct()
-    seen = scratch.write(scored(start).withColumn("opened", F.col("q") == F.col("node")))
-    for _ in range(STEPS if n > BLOCK else 0):
-        best = _top(seen, BEAM, "q", "node")
-        closed = Window.partitionBy("q").orderBy("r")
-        now = best.filter(~F.col("opened")).withColumn("o", F.row_number().over(closed)).filter(
-            F.col("o") <= OPEN).select("q", "node")
-        new = now.join(graph, now["node"] == graph["u"]).select("q", F.col("v").alias("node")).distinct().join(
-            seen.select("q", "node"), ["q", "node"], "left_anti")
-        kept = best.drop("r").join(now.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
-            "q", "node", "s", (F.col("opened") | F.coalesce("now", F.lit(False))).alias("opened"))
-        grown = scratch.write(kept.unionAll(scored(new).withColumn("opened", F.lit(False))))
-        scratch.drop(seen)
-        seen = grown
-    best = _top(seen, BEAM, "q", "node").select(F.col("q").alias("from"), "node", "s")
+    best = _top(seen, beam, "q", "node").select(F.col("q").alias("from"), "node").join(exact, "node").join(
+        exact.select(F.col("node").alias("from"), F.col("v").alias("qv")), "from").select("from", "node", dot.alias("s"))
     members = ranked.select(F.col("id").alias("vec_id"), "v").join(nodes.select("v", "node"), "v").select("node", "vec_id")
     near = asked.select(F.col("q").alias("query_id"), F.col("node").alias("from")).join(best, "from").join(
         members, "node").filter(F.col("vec_id") != F.col("query_id"))

@@ -49,6 +49,11 @@ def test_recall_on_the_given_vectors(spark):
     check(spark, [r.vec_id for r in rows], [r.embedding for r in rows])
 
 
+def test_recall_does_not_fall_where_a_fixed_budget_is_too_small(spark):
+    x = np.random.default_rng(2).standard_normal((10_000, 192))
+    check(spark, list(range(10_000)), x / np.linalg.norm(x, axis=1, keepdims=True), every=100)
+
+
 def test_small_and_odd_vectors(spark):
     check(spark, [0, 20, 1, 2, 3], [[1, 0], [1, 0], [0.5, 1], [0, 1], [1, 0]], k=20, least=1.0)
     nan, inf = float("nan"), float("inf")
