@@ -1,6 +1,9 @@
 """Secret scanning with a random forest against false positives.
 
-Candidates are runs of 12 or more key-like characters with a digit, from every whole text.
+Candidates, from every whole text: runs of 12 or more key-like characters with a digit, runs
+of ``LONG`` or more without one, and what is assigned to a key word (``password = ...``): the
+whole quoted or non-blank value, of any length and with any characters. A run within a longer
+value is a candidate of its own.
 A random forest, trained here from labelled findings, tells secrets from look-alikes by
 their length, the kinds of characters and the transitions between kinds, the share that
 dictionary words cover, the path the text came from, and the neighbouring words. The
@@ -32,7 +35,13 @@ from ampere.llm.common import Scratch
 DICTIONARY = 20_000
 SAMPLE = 20_000
 TREES, DEPTH = 40, 8
-CANDIDATE = re.compile(r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}")
+LONG = 20
+RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}")
+DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+ASSIGN = re.compile(r"[=:]+>?[ \t]*(?:[Bb]earer[ \t]+)?")
+ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|(?:api|access|private)[_-]?key|credential"
+                      r"|bearer)\w*\Z|(?:\A|[\W_])(?:auth|key)\Z")
+VALUE = re.compile(r"""(["'`])((?:(?!\1)[^\n])+)\1|[^\s"'`]\S*""")
 WORD = re.compile(r"[a-z]{4,12}\Z")
 
 # Words that speak for or against a secret nearby, and words of paths.
@@ -103,6 +112,23 @@ def features(value: str, before: str, after: str, path: str, words: set[str]) ->
         *(float(w in low) for w in PATH_WORDS)]
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of every candidate, in order."""
+    found = {m.span() for m in RUN.finditer(text)
+             if DIGIT.search(m.group()) or len(m.group()) >= LONG and LETTER.search(m.group())}
+    for m in ASSIGN.finditer(text):
+        name = text[max(0, m.start() - 80):m.start()].rstrip(" \t\"'`])")
+        value = VALUE.match(text, m.end()) if ASSIGNED.search(name) else None
+        if value and value.group(1):
+            found.add(value.span(2))
+        elif value:
+            # Punctuation that ends the assignment is not part of it.
+            length = len(value.group().rstrip(",;.\"'`)]}>"))
+            if length:
+                found.add((value.start(), value.start() + length))
+    return sorted(found)
+
+
 def candidates(docs: DataFrame, words: set[str], id: str = "doc_id", text: str = "text",
                path: str | None = None) -> DataFrame:
     """(id, start, value, before, features) of every candidate; start counts characters from 0."""
@@ -115,9 +141,9 @@ def candidates(docs: DataFrame, words: set[str], id: str = "doc_id", text: str =
         for b in batches:
             rows = []
             for i, t, p in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                for m in CANDIDATE.finditer(t or ""):
-                    before, after = t[max(0, m.start() - 60):m.start()], t[m.end():m.end() + 40]
-                    rows.append((i, m.start(), m.group(), before, features(m.group(), before, after, p, known)))
+                for a, e in spans(t or ""):
+                    before, after = t[max(0, a - 60):a], t[e:e + 40]
+                    rows.append((i, a, t[a:e], before, features(t[a:e], before, after, p, known)))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             kinds = [b.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
@@ -149,8 +175,11 @@ def judge(found: DataFrame, forest) -> DataFrame:
 
 def known_format(value, before):
     """Labels by provider formats and assignments: 1, 0 or null where neither speaks."""
-    assigned = before.rlike(r"(?i)(?:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?$")
-    return (F.when(value.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$") | value.rlike("^gh[pousr]_[0-9A-Za-z]{36}$") | assigned, 1)
+    assigned = before.rlike(r"(?i)(?:password|passwd|pwd|secret|token|api_?key)[\"'\]]{0,2}\s{0,2}[=:]\s{0,2}[\"']?$")
+    # A plain word after "secret:" may be prose: the labels leave it to the forest.
+    assigned = assigned & ~value.rlike("^[A-Za-z]?[a-z]{0,11}$")
+    return (F.when(value.rlike(r"(?i)^(?:<.*>|\$\{?\w+\}?|\{\{.*\}\}|\*+|x+|null|none|true|false|undefined)$"), 0)
+            .when(value.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$") | value.rlike("^gh[pousr]_[0-9A-Za-z]{36}$") | assigned, 1)
             .when(value.rlike("^[0-9]+$") | value.rlike("^[A-Za-z]+[-_][0-9]+$"), 0)
             .when(value.rlike("^[0-9a-f]{32}$|^[0-9a-f]{40}$|^[0-9a-f]{64}$"), 0)
             .when(value.rlike("^[0-9-]+$") | value.rlike("^[a-z]+[0-9]{1,4}$"), 0))

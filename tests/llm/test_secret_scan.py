@@ -49,5 +49,30 @@ def test_scan_with_odd_rows(spark):
     assert secret_scan.scan(docs.limit(0), lambda id: F.lit(True)).count() == 0
 
 
+PLANTED = ['password = "P@ssw0rd!2024"', "pwd=Tr0ub4dor&3", "token: correct-horse-battery-staple",
+           "secret=AbCdEfGhIjKlMnOpQrStUvWx", "api_key='two words'", 'config["passwd"] => kurz', '{"auth": "q!"}']
+VALUES = ["P@ssw0rd!2024", "Tr0ub4dor&3", "correct-horse-battery-staple", "AbCdEfGhIjKlMnOpQrStUvWx", "two words",
+          "kurz", "q!"]
+
+
+def test_assigned_values_of_any_form_are_candidates(spark):
+    texts = [f"river garden {p}, and more text" for p in PLANTED] + ["loose AbCdEfGhIjKlMnOpQrStUvWx here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.id, r.value) for r in secret_scan.candidates(docs, set()).collect()}
+    assert found >= set(enumerate(VALUES + VALUES[3:4]))
+    assert secret_scan.spans("the author: someone, at https://example.org/ or keys; = none") == []
+
+
+def test_scan_judges_such_values_secret(spark):
+    r = random.Random(4)
+    text = lambda i: corpus(6, i)[r.randrange(6)][1]
+    rows = [(i, text(i) + " " + PLANTED[i % 4] + " and more") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = secret_scan.scan(docs, lambda id: id % 5 < 3).filter("doc_id % 5 >= 3").collect()
+    for n in range(4):
+        scores = [x.score for x in out if x.doc_id % 4 == n and x.value == VALUES[n]]
+        assert len(scores) == 40 and sum(s >= 0.5 for s in scores) >= 36
+
+
 def test_coverage():
     assert secret_scan.coverage("marketgarden12", {"market", "garden"}) == 12 / 14
