@@ -9,8 +9,9 @@ their length, the kinds of characters and the transitions between kinds, the sha
 dictionary words cover, the path the text came from, and the neighbouring words. The
 dictionary is counted over all documents and holds the ``DICTIONARY`` most frequent words.
 
-The forest is fitted on at most ``SAMPLE`` labelled findings (smallest hash first); scanning
-and scoring cover everything, in place.
+The forest is fitted on at most ``SAMPLE`` different labelled findings (smallest hashes of each
+kind first), weighted by their copies and by the share of their kind; scanning and scoring
+cover everything, in place.
 
 Defined results: null and empty texts have no candidates; a null path is an empty one;
 rows equal in all columns give equal findings each; without labelled findings of both kinds
@@ -22,12 +23,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampere.llm.common import Scratch
@@ -155,12 +157,27 @@ def candidates(docs: DataFrame, words: set[str], id: str = "doc_id", text: str =
 
 def train(findings: DataFrame, seed: int = 7, sample: int = SAMPLE):
     """A fitted forest from (features, label), or the share of secrets if one kind is missing."""
-    rows = findings.filter("label is not null").orderBy(F.xxhash64("features"), "label").limit(sample)
-    rows = rows.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
-    kinds = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    # Copies of one finding are one row with a weight: hot ones neither fill the sample nor lose their say.
+    rows = findings.filter("label is not null").groupBy("features", "label").agg(F.count("*").alias("n"))
+    kinds = {r.label: (r.n, r.different) for r in rows.groupBy("label").agg(
+        F.sum("n").alias("n"), F.count("*").alias("different")).collect()}
     if len(kinds) < 2:
-        return (kinds.get(1.0, 0) + 0.5) / (sum(kinds.values()) + 1)
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, minInstancesPerNode=2).fit(rows)
+        return (kinds.get(1, (0, 0))[0] + 0.5) / (sum(n for n, _ in kinds.values()) + 1)
+    parts = []
+    for label, (n, different) in kinds.items():
+        others = sum(d for k, (_, d) in kinds.items() if k != label)
+        part = rows.filter(F.col("label") == label).orderBy(F.xxhash64("features")).limit(
+            min(different, max(sample // 2, sample - others)))
+        # What the sample of a kind leaves out is spread over what it holds: the kinds keep their shares.
+        held = F.sum("n").over(Window.partitionBy("label"))
+        parts.append(part.withColumn("weight", F.col("n") * F.lit(float(n)) / held))
+    total = sum(n for n, _ in kinds.values())
+    size = min(sample, sum(d for _, d in kinds.values()))
+    rows = reduce(DataFrame.unionAll, parts).select(
+        array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"),
+        (F.col("weight") * F.lit(size / total)).alias("weight"))
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, minInstancesPerNode=2,
+                                  weightCol="weight").fit(rows)
 
 
 def judge(found: DataFrame, forest) -> DataFrame:

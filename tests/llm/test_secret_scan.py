@@ -74,5 +74,18 @@ def test_scan_judges_such_values_secret(spark):
         assert len(scores) == 40 and sum(s >= 0.5 for s in scores) >= 36
 
 
+def test_hot_copies_do_not_fill_the_sample(spark):
+    rows = corpus(600, 5)
+    docs = spark.createDataFrame([(i, t, int(y)) for i, t, y in rows], "doc_id long, text string, label int")
+    found = secret_scan.candidates(docs, set()).join(docs.select(F.col("doc_id").alias("id"), "label"), "id").cache()
+    first = found.orderBy(F.xxhash64("features"), "label").limit(1)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(499).cast("long")))
+    hot = found.unionAll(first.withColumn("id", copies))
+    forest = secret_scan.train(hot, sample=200)
+    assert not isinstance(forest, float)
+    judged = secret_scan.judge(found, forest).collect()
+    assert sum((r.score >= 0.5) == bool(r.label) for r in judged) >= 0.9 * len(judged)
+
+
 def test_coverage():
     assert secret_scan.coverage("marketgarden12", {"market", "garden"}) == 12 / 14
