@@ -54,6 +54,11 @@ def test_recall_does_not_fall_where_a_fixed_budget_is_too_small(spark):
     check(spark, list(range(10_000)), x / np.linalg.norm(x, axis=1, keepdims=True), every=100)
 
 
+def test_recall_does_not_depend_on_the_unit(spark):
+    x = np.random.default_rng(3).standard_normal((1500, 32))
+    check(spark, list(range(1500)), 1e-9 * x / np.linalg.norm(x, axis=1, keepdims=True), every=50)
+
+
 def test_small_and_odd_vectors(spark):
     check(spark, [0, 20, 1, 2, 3], [[1, 0], [1, 0], [0.5, 1], [0, 1], [1, 0]], k=20, least=1.0)
     nan, inf = float("nan"), float("inf")
