@@ -71,3 +71,19 @@ def test_query_digests_on_the_small_tables(spark, reference):
         assert g.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert g.decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
     assert public_tokenizers.PATTERN
+
+
+def test_query_on_texts_beyond_a_chunk(spark, reference, tmp_path):
+    from ampere.llm.queries import QUERIES
+
+    texts = [" ".join(random_texts(n)) for n in (1, 2000)] + ["word " * 60_000]
+    assert [len(t) > byte_bpe.CHUNK + byte_bpe.OVERLAP for t in texts] == [False, True, True]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    rows = QUERIES["op6_byte_bpe"](spark, str(tmp_path)).collect()
+    assert len(rows) == 3
+    for r in rows:
+        want = reference.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
