@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm import byte_bpe, context_tree, jaccard_join, line_runs, mixing, nn_descent, quality_rules, secret_scan, suffix_groups, toxicity
-from ampere.llm.common import read
+from ampere.llm import (byte_bpe, centroids, context_tree, jaccard_join, line_runs, mixing, nn_descent, quality_rules, repair,
+                        secret_scan, spelling, suffix_groups, toxicity)
+from ampere.llm.common import Scratch, read
 from ampere.llm.sql import ORACLE  # noqa: F401
 
 
@@ -89,7 +90,27 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).alias("secret"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"), delete=spelling.DELETE)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroids.cluster(vectors).drop("embedding")
+
+
+def op13_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{Scratch(spark, 'token-files').root}/files"
+    repair.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
+    "op13_repair_token_files": op13_repair_token_files,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op11_spelling_variants": op11_spelling_variants,
     "op5_secret_scan": op5_secret_scan,
     "op4_nn_descent": op4_nn_descent,
     "op10_line_runs": op10_line_runs,
