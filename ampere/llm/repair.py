@@ -2,9 +2,9 @@
 
 Texts are encoded, an end id is appended, and the id stream in ascending order of document
 ids is cut into shards at document ends. In each shard, frequent pairs of neighbouring ids are
-replaced by nonterminals, over and over, until no pair is frequent; a round replaces all pairs
-that occur at least an ``1 / STEP`` part as often as the most frequent one, where two
-overlap the more frequent. A shard stores the symbols left, the rules (two symbols each) and
+replaced by nonterminals, over and over, until no pair is frequent or a round gains next to
+nothing; a round replaces all pairs that occur at least a ``1 / STEP`` part as often as the most
+frequent one, where two overlap the more frequent. A shard stores the symbols left, the rules (two symbols each) and
 the expansion length of each rule, so that a document is decoded from the symbols that cover
 its range alone.
 
@@ -23,9 +23,10 @@ lengths    ids that each rule stands for, unsigned 32-bit
 =========  =====================================================================
 
 Encoding calls the tokenizers library on each different piece of text once per task: texts
-are cut at spaces that follow a character other than white space, where a byte-level
-pre-tokenizer always starts a new token. Texts in which a space follows white space, and
-texts with very long pieces, are encoded whole.
+are cut at spaces that follow a character other than white space, and after ASCII letters
+between such a space and punctuation, where a byte-level pre-tokenizer always starts a new
+token. Texts in which a space follows white space or ends the text, and texts with very long
+pieces, are encoded whole.
 
 Defined results: null and empty texts have the end id alone; repeated rows are documents of
 their own; null ids come first; of equal ids the order is by a hash of the token ids; an
@@ -37,6 +38,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -44,23 +46,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampere.llm.common import Scratch
+from ampere.llm.common import shuffle_files_removed
 
 END = 2
 SHARD = 1 << 20
-#: Ids per range of documents, and the largest number of ranges (more ids: longer ranges).
-PART = 1 << 22
+#: Bytes of text per range of documents, and the largest number of ranges (more: longer ranges).
+PART = 1 << 25
 PARTS = 20_000
 #: A pair is frequent from so many occurrences; a round goes down to this part of the top.
-FREQUENT = 8
-STEP = 4
-CACHED_PIECES = 300_000
+FREQUENT = 16
+STEP = 64
+#: A grammar is done when a round would shorten its sequence by less than this part.
+GAIN = 0.004
+CACHED_PIECES = 500_000
 LONGEST_PIECE = 1 << 16
 ROWS = 256
 
 
 # ------------------------------------------------------------------ encoding
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary: the byte's own
+    Latin-1 character if that shows, else the next one from U+0100 on."""
+    shown = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Pieces(dict):
     """Pieces of text to packed ids, by the library; forgets everything when it is full."""
 
@@ -71,106 +83,113 @@ class Pieces(dict):
 
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.spaced = re.compile(r"\s ").search
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = []
-        for t in texts:
-            first, *rest = (t or "").split(" ")
-            pieces = [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
-            if t and (t[:2] == "  " or self.spaced(t) or max(map(len, pieces)) > LONGEST_PIECE):
-                pieces = None
-            cut.append(pieces)
-        new = {p for pieces in cut if pieces for p in pieces if p not in self}
-        if len(self) + len(new) > CACHED_PIECES:
+        self.model = self.library.model
+        # A space with Latin letters, up to an ASCII character that is no letter, is a pre-token.
+        self.cut = re.compile(
+            r" [A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^ ]+| ").findall
+        self.byte_letters = _byte_letters()
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, piece: str) -> bytes | None:
+        """One pre-token goes to the library's model at once, anything else through all of it. A
+        piece that ends in white space may belong with what follows: it has no ids of its own."""
+        if piece[0] == " " and piece[1:].isalpha() and max(piece) < "\u0250":
+            word = piece.encode().decode("latin-1").translate(self.byte_letters)
+            ids = [t.id for t in self.model.tokenize(word)]
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        else:
+            packed = None if piece[-1].isspace() or len(piece) > LONGEST_PIECE else self.whole(piece)
+        self[piece] = packed
+        return packed
+
+    __missing__ = learn
+
+    def encode(self, text: str | None) -> bytes:
+        if len(self) > CACHED_PIECES:
             self.clear()
-            new = {p for pieces in cut if pieces for p in pieces}
-        new = list(new)
-        for k in range(0, len(new), 4096):
-            self.update(zip(new[k:k + 4096], self.ids(new[k:k + 4096]), strict=True))
-        return [self.ids([t])[0] if pieces is None else b"".join(map(self.__getitem__, pieces))
-                for t, pieces in zip(texts, cut, strict=True)]
+        try:
+            return b"".join(map(self.__getitem__, self.cut(text or "")))
+        except TypeError:  # one of its pieces has no ids of its own
+            return self.whole(text)
 
 
-def encode(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """Per document ``id``, ``ids`` with the end id, ``n`` and ``row``, a number of its own."""
-    spark = docs.sparkSession
-    with open(vocabulary, encoding="utf-8") as f:  # a fixed file of a few megabytes
-        table = spark.sparkContext.broadcast(f.read())
-    last = np.array([end], "<u4").tobytes()
-    chosen = docs.select(docs[f"`{id}`"].alias("id"), docs[f"`{text}`"].alias("text"),
-                         F.spark_partition_id().cast("long").alias("row"))
+# ------------------------------------------------------------------ grammars
 
-    def work(batches):
-        pieces, row = Pieces(table.value), 0
-        for whole in batches:
-            for off in range(0, whole.num_rows, ROWS):
-                b = whole.slice(off, ROWS)
-                ids = [x + last for x in pieces.encode(b.column(1).to_pylist())]
-                rows = b.column(2).to_numpy() * (1 << 40) + np.arange(row, row + len(ids))
-                row += len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(rows, pa.int64())], names=["id", "ids", "n", "row"])
+_MIX, _BITS = np.uint64(0x9E3779B97F4A7C15), 20
 
-    return chosen.mapInArrow(work, T.StructType([
-        T.StructField("id", chosen.schema["id"].dataType), T.StructField("ids", T.BinaryType()),
-        T.StructField("n", T.LongType()), T.StructField("row", T.LongType())]))
 
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys * _MIX) >> np.uint64(64 - _BITS)
 
-# ------------------------------------------------------------------ grammars
 
-def _counted(keys: np.ndarray):
+def _frequent(keys: np.ndarray, frequent: int, step: int) -> np.ndarray:
+    """The pairs to replace in this round, most frequent first (ties by the pair)."""
     ordered = np.sort(keys)
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[at], np.diff(np.append(at, len(ordered)))
-
-
-def compress(ids: np.ndarray, frequent: int = FREQUENT, step: int = STEP):
+    at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    count = np.diff(at, append=len(ordered))
+    top = int(count.max())
+    if top < frequent:
+        return ordered[:0]
+    chosen = np.flatnonzero(count >= max(frequent, top // step))
+    pairs = ordered[at[chosen]]
+    return pairs[np.lexsort((pairs, -count[chosen]))]
+
+
+def _places(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of ``pairs`` is, and which, by a table of hashes. Of pairs that share a slot the
+    first is found; the others wait for another round."""
+    table = np.full(1 << _BITS, -1, np.int32)
+    table[_slots(pairs)[::-1]] = np.arange(len(pairs) - 1, -1, -1)
+    which = table[_slots(keys)]
+    at = np.flatnonzero(which >= 0)
+    rank = which[at]
+    hit = pairs[rank] == keys[at]
+    return at[hit], rank[hit].astype(np.int64)
+
+
+def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which places to take where pairs overlap: the better rank; of equal ones (as in a a a)
+    every other."""
+    touch = np.diff(at) == 1
+    begins = np.ones(len(at), bool)
+    begins[1:] = ~(touch & (rank[1:] == rank[:-1]))
+    n = np.arange(len(at))
+    good = (n - np.maximum.accumulate(np.where(begins, n, 0))) % 2 == 0
+    good[:-1] &= ~(touch & (rank[1:] < rank[:-1]))
+    good[1:] &= ~(touch & (rank[:-1] < rank[1:]))
+    return good
+
+
+def compress(ids: np.ndarray, frequent: int = FREQUENT, step: int = STEP, gain: float = GAIN):
     """Symbols, rules and rule lengths of a Re-Pair grammar of ``ids``, and its first nonterminal."""
     s = ids.astype(np.uint64)
     base = int(s.max()) + 1 if len(s) else 0
-    rules, lengths = [], np.zeros(0, np.int64)
-    made = 0
+    rules, lengths, made = [], np.zeros(0, np.int64), 0
     while len(s) > 1:
         keys = (s[:-1] << np.uint64(32)) | s[1:]
-        pairs, count = _counted(keys)
-        top = int(count.max())
-        if top < frequent:
+        pairs = _frequent(keys, frequent, step)
+        if not len(pairs):
             break
-        chosen = count >= max(frequent, top // step)
-        pairs, count = pairs[chosen], count[chosen]
-        order = np.lexsort((pairs, -count))  # most frequent first; ties by the pair
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        slot = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
-        found = np.flatnonzero(pairs[slot] == keys)
-        r = rank[slot[found]]
-        # Of overlapping pairs the better rank stays; of equal ones (as in a a a) every other.
-        touch = np.diff(found) == 1
-        run = np.concatenate([[True], ~(touch & (r[1:] == r[:-1]))])
-        place = np.arange(len(found)) - np.maximum.accumulate(np.where(run, np.arange(len(found)), 0))
-        good = place % 2 == 0
-        good[:-1] &= ~(touch & (r[1:] < r[:-1]))
-        good[1:] &= ~(touch & (r[:-1] < r[1:]))
-        found, r = found[good], r[good]
-        used = np.bincount(r, minlength=len(order)) >= max(2, frequent // 2)
+        at, rank = _places(keys, pairs)
+        good = _apart(at, rank)
+        at, rank = at[good], rank[good]
+        used = np.bincount(rank, minlength=len(pairs)) >= max(2, frequent // 2)
         if not used.any():
             break
-        found, r = found[used[r]], r[used[r]]
-        name = np.cumsum(used) - 1 + base + made
-        new = pairs[order][used]
+        mine = used[rank]
+        at, rank = at[mine], rank[mine]
+        if len(at) < gain * len(s):
+            break
+        new = pairs[used]
         left, right = (new >> np.uint64(32)).astype(np.int64), (new & np.uint64(0xFFFFFFFF)).astype(np.int64)
         lengths = np.concatenate([lengths, _sizes(left, base, lengths) + _sizes(right, base, lengths)])
         rules.append(np.stack([left, right], 1))
+        s[at] = (np.cumsum(used) - 1 + base + made)[rank].astype(np.uint64)
         made += len(new)
-        s[found] = name[r].astype(np.uint64)
         keep = np.ones(len(s), bool)
-        keep[found + 1] = False
+        keep[at + 1] = False
         s = s[keep]
     rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return s.astype("<u4"), rules.astype("<u4"), lengths.astype("<u4"), base
@@ -220,19 +239,27 @@ def slice_of(symbols, rules, lengths, base, covered: np.ndarray, start: int, sto
 
 def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text: str = "text",
           end: int = END, shard: int = SHARD, part: int = PART, frequent: int = FREQUENT) -> None:
-    """Write the ids of all documents, in ascending order of their ids, as grammar shards."""
-    scratch = Scratch(docs.sparkSession, "repair")
-    coded = scratch.write(encode(docs, vocabulary, id, text, end))
-    total = coded.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    """Write the ids of all documents, in ascending order of their ids, as grammar shards.
+
+    Texts, smaller than their ids, are dealt into ranges of document ids and sorted there; each
+    task encodes and compresses its range shard by shard."""
+    spark = docs.sparkSession
+    with open(vocabulary, encoding="utf-8") as f:  # a fixed file of a few megabytes
+        table = spark.sparkContext.broadcast(f.read())
+    last = np.array([end], "<u4").tobytes()
+    total = docs.select(F.sum(F.coalesce(F.octet_length(docs[f"`{text}`"]), F.lit(0)) + 8).alias("n")).first().n or 0
     parts = max(1, min(PARTS, -(-total // part)))
+    rows = docs.select(docs[f"`{id}`"].alias("id"), docs[f"`{text}`"].alias("text"))
+    # Equal ids are told apart by their texts, equal rows by their place: no range is one key.
     order = ["id", "tie", "row"]
-    dealt = (coded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, *order)
-             .sortWithinPartitions(*order).select("id", "ids", F.spark_partition_id().alias("part")))
-    key = coded.schema["id"].dataType
+    dealt = (rows.select("*", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+             .repartitionByRange(parts, *order).sortWithinPartitions(*order)
+             .select("id", "text", F.spark_partition_id().alias("part")))
+    key = rows.schema["id"].dataType
 
     def work(batches):
         names = [f.name for f in schema]
-        held, size, where, state = [], 0, None, [0, 0]
+        pieces, held, size, where, state = Pieces(table.value), [], 0, None, [0, 0]
 
         def close():
             ids = np.frombuffer(b"".join(x for _, x in held), "<u4")
@@ -248,14 +275,17 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(),
                  pa.binary(), pa.binary(), pa.binary()]
         known = None
-        for b in batches:
-            known = b.schema.field(0).type
-            for k, x, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if held and size + len(x) // 4 > shard:
-                    yield close()
-                    held, size = [], 0
-                held.append((k, x))
-                size, where = size + len(x) // 4, p
+        for whole in batches:
+            known = whole.schema.field(0).type
+            for off in range(0, whole.num_rows, ROWS):
+                b = whole.slice(off, ROWS)
+                for k, t, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    x = pieces.encode(t) + last
+                    if held and size + len(x) // 4 > shard:
+                        yield close()
+                        held, size = [], 0
+                    held.append((k, x))
+                    size, where = size + len(x) // 4, p
         if held:
             yield close()
 
@@ -265,8 +295,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
         T.StructField("ids", T.ArrayType(key)), T.StructField("ends", T.ArrayType(T.LongType())),
         T.StructField("base", T.LongType()), T.StructField("symbols", T.BinaryType()),
         T.StructField("rules", T.BinaryType()), T.StructField("lengths", T.BinaryType())])
-    dealt.mapInArrow(work, schema).write.option("compression", "zstd").parquet(path)
-    scratch.drop(coded)
+    with shuffle_files_removed(spark):
+        dealt.mapInArrow(work, schema).write.option("compression", "zstd").parquet(path)
 
 
 def _decode(shards: DataFrame, id: str) -> DataFrame:
