@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.session import scratch_path
+from ampere.session import _SCRATCH, remove_path, scratch_path
 
 #: ASCII white space, the complement of the word class ``[^\x20\x09-\x0D]``.
 SPACE = " \t\n\x0b\x0c\r"
 
-#: Folders of scratch tables that results of this session may still read.
-_LIVE: dict[str, SparkSession] = {}
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read anew on each call."""
@@ -40,40 +37,57 @@ class Scratch:
     """Intermediate tables in the shared checkpoint folder.
 
     They cut lineage the way ``checkpoint()`` does, and survive the loss of any executor.
-    ``drop`` removes a table nobody reads any more; the rest goes when the driver ends.
+    Shuffle files of the job that wrote a table are removed with it: nobody reads them again.
+    ``drop`` removes a table nobody reads any more, ``clear`` all of them; the rest goes when
+    the driver ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
-        if not _LIVE:
-            atexit.register(_sweep)
-        _LIVE[self.root] = spark
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        with shuffle_files_removed(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            _delete(self.spark, t._scratch)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _sweep() -> None:
-    for path, spark in list(_LIVE.items()):
-        try:
-            _delete(spark, path)
-        except Exception:  # the session may be gone already  # noqa: BLE001
-            pass
+            remove_path(self.spark, t._scratch)
+
+    def clear(self) -> None:
+        remove_path(self.spark, self.root)
+
+
+@contextmanager
+def shuffle_files_removed(spark: SparkSession):
+    """Within it, a query's shuffle files go when the query has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def scratch_folders() -> set[str]:
+    """Folders of scratch tables that are still there."""
+    return set(_SCRATCH)
+
+
+def release(spark: SparkSession, folders: set[str], *still_read: DataFrame) -> None:
+    """Remove scratch folders, but those that one of the tables is still read from."""
+    files = [f for df in still_read for f in df.inputFiles()]
+    for folder in folders & set(_SCRATCH):
+        if not any(folder in f for f in files):
+            remove_path(spark, folder)
 
 
 def word_array(text: Column) -> Column:

@@ -182,14 +182,15 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """Every row with its probability of being toxic."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # at most n_features weights
+    # At most n_features weights, as plain numbers: workers have no copy of this package.
+    sent = spark.sparkContext.broadcast((model.bias, dict(model.weights)))
     work = fresh([*docs.columns, out], "_text")
     source = docs.select(*without(docs, [out]), docs[f"`{text}`"].alias(work))
     schema = T.StructType([T.StructField(work, T.DoubleType()) if f.name == work else f
                            for f in source.schema.fields])
 
     def run(batches):
-        weights, bias = sent.value.weights, sent.value.bias
+        bias, weights = sent.value
         known: dict[str, tuple[int, ...]] = {}
 
         def one(t):
