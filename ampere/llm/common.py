@@ -86,7 +86,8 @@ def release(spark: SparkSession, folders: set[str], *still_read: DataFrame) -> N
     """Remove scratch folders, but those that one of the tables is still read from."""
     files = [f for df in still_read for f in df.inputFiles()]
     for folder in folders & set(_SCRATCH):
-        if not any(folder in f for f in files):
+        name = folder.rsplit("/", 1)[1]  # unique; schemes may be spelt in several ways
+        if not any(f"/{name}/" in f for f in files):
             remove_path(spark, folder)
 
 

@@ -22,13 +22,15 @@ counts as no id when the smallest is taken.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.llm.common import Scratch, fresh
+from ampere.llm.common import Scratch, fresh, release, scratch_folders
 from ampere.llm.mixing import row_hash
 
 WORDS = 5
@@ -40,33 +42,109 @@ REGION = 2048
 SPARE = 20
 STAR_ROUNDS = 2
 BLOOM_BITS = 25
+#: Bytes of text that are hashed at a time.
+CHUNK = 1 << 18
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Hashes:
+    """Hashes of lower-cased words: polynomials in an odd number, taken from running sums over all
+    bytes of a chunk at once and shifted to the word's start."""
+
+    def __init__(self):
+        with np.errstate(over="ignore"):
+            self.value = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+            self.value[65:91] = self.value[97:123]
+        self.space = np.zeros(256, bool)
+        self.space[[32, *range(9, 14)]] = True
+        self.base = 0xD1342543DE82EF95
+        self.powers(CHUNK + 1)
+
+    def powers(self, n: int) -> None:
+        for name, base in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            setattr(self, name, np.multiply.accumulate(steps))
+
+    def hashes(self, chunk: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of each word of a chunk that begins and ends between words."""
+        b = np.frombuffer(chunk, np.uint8)
+        if len(b) + 1 > len(self.up):
+            self.powers(len(b) + 1)
+        gap = np.append(self.space[b], True)
+        starts = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
+        ends = np.flatnonzero(gap & np.concatenate([[False], ~gap[:-1]]))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.value[b] * self.up[:len(b)], dtype=np.uint64)])
+        h = (sums[ends] - sums[starts]) * self.down[starts]
+        return starts, _mixed(h ^ (ends - starts).astype(np.uint64))
+
+    def of_texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Hashes of the words of each text, in order."""
+        out: list[np.ndarray] = []
+        held, size = [], 0
 
+        def flush():
+            starts, h = self.hashes(b"\n".join(held))
+            cut = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in held])[:-1])
+            out.extend(np.split(h, cut))
+
+        for t in texts:
+            raw = (t or "").encode("utf-8", "surrogatepass")
+            if held and size + len(raw) + 1 > CHUNK:
+                flush()
+                held, size = [], 0
+            if len(raw) >= CHUNK:
+                out.append(np.concatenate([self.hashes(x)[1] for x in _spans(raw)]))
+                continue
+            held.append(raw)
+            size += len(raw) + 1
+        if held:
+            flush()
+        return out
+
+
+def _spans(raw: bytes):
+    """A long text in pieces of about a chunk, cut between words."""
+    at = 0
+    for m in re.finditer(rb"[^\x20\x09-\x0D]{%d,}|[\x20\x09-\x0D]" % CHUNK, raw):
+        if m.end() - at >= CHUNK:
+            yield raw[at:m.end()]
+            at = m.end()
+    yield raw[at:]
+
+
+def shingle_sets(texts: list[str | None], words: Hashes, size: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text."""
+    out = []
+    for w in words.of_texts(texts):
+        n = len(w) - size + 1
+        if n <= 0:
+            out.append(np.array([xxhash.xxh64_intdigest(w.tobytes(), seed=len(w))] if len(w) else [], np.uint64))
+            continue
+        h = np.zeros(n, np.uint64)
+        for i in range(size):
+            h = (h ^ w[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        h.sort()
+        out.append(h[np.append(True, h[1:] != h[:-1])])
+    return out
 
-class Hashes(dict):
-    """Words to 64-bit hashes."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+def shingles(text: str | None, words: Hashes, size: int = WORDS) -> np.ndarray:
+    return shingle_sets([text], words, size)[0]
 
 
-def shingles(text: str | None, hashes: Hashes, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(w) - size + 1
-    if n <= 0:
-        return np.array([xxhash.xxh64_intdigest(w.tobytes(), seed=len(w))], np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(size):
-        h = (h ^ w[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return np.unique(h ^ (h >> np.uint64(32)))
+def _by_slices(column, words: Hashes):
+    """Sets of a column of texts, a few texts at a time."""
+    for off in range(0, len(column), 256):
+        yield from shingle_sets(column.slice(off, 256).to_pylist(), words)
 
 
 def spare(n):
@@ -92,11 +170,12 @@ def _longs(values) -> pa.Array:
 def frequent(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Shingles of many documents: at most HOT_LIST, each of more than its share of all."""
     def count(batches):
-        hashes, held, size, total = Hashes(), [], 0, 0
+        words, held, size = Hashes(), [], 0
 
         def flush():
-            keys, n = np.unique(np.concatenate(held), return_counts=True) if held else (
-                np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            every = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            at = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+            keys, n = every[at], np.diff(at, append=len(every))
             often = n >= 4
             return pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([_longs(keys[often]), pa.array([0], pa.int64())]),
@@ -105,8 +184,7 @@ def frequent(docs: DataFrame, text: str = "text") -> np.ndarray:
                 names=["s", "df", "total"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                s = shingles(t, hashes)
+            for s in _by_slices(b.column(0), words):
                 held.append(s)
                 size += len(s)
                 if size >= HOT_CHUNK:
@@ -129,11 +207,10 @@ def sketch(docs: DataFrame, id: str, text: str) -> DataFrame:
     hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, text))  # 8 MB at most
 
     def run(batches):
-        hashes, often = Hashes(), hot.value
+        words, often = Hashes(), hot.value
         for b in batches:
             n, cls, cold_out, hot_out = [], [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t, hashes)
+            for s in _by_slices(b.column(1), words):
                 n.append(len(s))
                 cls.append(_class(s))
                 is_hot = np.zeros(len(s), bool)
@@ -242,11 +319,10 @@ def _sets(docs: DataFrame, id: str, text: str, wanted: DataFrame, scratch: Scrat
     sent = docs.sparkSession.sparkContext.broadcast(every)
 
     def run(batches):
-        hashes, bits = Hashes(), sent.value
+        words, bits = Hashes(), sent.value
         for b in batches:
             out = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = shingles(t, hashes)
+            for i, s in zip(b.column(0).to_pylist(), _by_slices(b.column(1), words), strict=True):
                 c = _class(s)
                 if _bloom_has(bits, _representative(i, c)):
                     out.append((c, s.view(np.int64)))
@@ -384,9 +460,12 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int
         "cls", "id", F.coalesce("label", "cls").alias("label"))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
     member = named.join(smallest, "label").select("cls", "component_id")
-    return rows.select("id", "n", "cls").join(member, "cls", "left").select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = Scratch(docs.sparkSession, "jaccard-linked").write(
+        rows.select("id", "n", "cls").join(member, "cls", "left").select(
+            F.col("id").alias(id), F.col("n").alias("n_shingles"),
+            F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+    scratch.clear()
+    return out
 
 
 def one_per_group(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
@@ -399,9 +478,12 @@ def one_per_group(docs: DataFrame, id: str = "doc_id", text: str = "text", simil
     u, m, n, one = (fresh(docs.columns, x) for x in ("_u", "_m", "_n", "_one"))
     rows = docs.select("*", row_hash(docs).alias(u))
     place = F.struct(F.col(f"`{id}`").isNull().alias("late"), F.col(f"`{id}`").alias("id"), F.col(u).alias("u"))
+    before = scratch_folders()
     groups = linked(rows.select(place.alias("place"), F.col(f"`{text}`").alias("text")), "place", "text", similar)
+    made = scratch_folders() - before
     stay = scratch.write(groups.filter("place = component_id").groupBy(F.col("place.u").alias(u)).agg(
         F.count(F.lit(1)).alias(m), F.min("n_shingles").alias(n)))
+    release(docs.sparkSession, made)
     rows = rows.join(stay, u)
     plain = rows.filter((F.col(m) == 1) | (F.col(n) == 0)).select(*(F.col(f"`{c}`") for c in docs.columns))
     equal = rows.filter((F.col(m) > 1) & (F.col(n) > 0)).groupBy(u).agg(

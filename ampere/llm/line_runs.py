@@ -16,7 +16,7 @@ its lines are deleted. Overlapping stretches join into the maximal runs. First c
 Defined results: rows equal in every column are one unit: its first row is judged like any
 other, each further one is a later copy. Null ids come last. Null and empty texts stay as
 they are; other columns pass through. A hot line or a group of copies is combined before
-it is shuffled; no task holds more than one document.
+it is shuffled, or dealt into parts; Python code holds 512 rows of documents at a time.
 """
 
 from __future__ import annotations
@@ -32,7 +32,10 @@ from ampere.llm.common import Scratch, fresh, without
 from ampere.llm.mixing import row_hash
 
 MIN_WORDS = 20
-BUCKET_BITS = 12
+#: Ranks are counted up in so many ranges, 2 to the power.
+BUCKET_BITS = 16
+#: Parts that the members of one class are dealt into.
+SALTS = 256
 
 
 def lines_of(text: str | None, min_words: int) -> list[tuple]:
@@ -94,13 +97,39 @@ def first_ranks(lines: DataFrame) -> DataFrame:
 
 
 def doubled(ranks: DataFrame, step: int) -> DataFrame:
-    """Ranks by twice as many lines, from those by ``step`` lines."""
+    """Ranks by twice as many lines, from those by ``step`` lines.
+
+    What follows a frequent line may be much of the corpus: its second halves are counted up in
+    ranges, and the ranges of a class, a bounded number, on top of that."""
     ahead = ranks.select("u", (F.col("i") - step).alias("i"), F.col("r").alias("s"))
     pairs = ranks.join(ahead, ["u", "i"])
-    before = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    last = ranks.agg(F.coalesce(F.max("r"), F.lit(0))).first()[0]
+    width = max(0, int(last).bit_length() - BUCKET_BITS)
     classes = pairs.groupBy("r", "s").agg(F.sum("m").alias("n")).filter("n > 1").withColumn(
-        "new", F.col("r") + F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return pairs.join(classes.select("r", "s", "new"), ["r", "s"]).select("u", "i", "m", F.col("new").alias("r"))
+        "b", F.shiftright("s", width))
+    before = Window.partitionBy("r", "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.withColumn("inside", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranges = Window.partitionBy("r").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = classes.groupBy("r", "b").agg(F.sum("n").alias("n")).select(
+        "r", "b", F.coalesce(F.sum("n").over(ranges), F.lit(0)).alias("start"))
+    classes = classes.join(starts, ["r", "b"]).select(
+        "r", "s", (F.col("r") + F.col("start") + F.col("inside")).alias("new"))
+    return pairs.join(classes, ["r", "s"]).select("u", "i", "m", F.col("new").alias("r"))
+
+
+def later_copies(named: DataFrame) -> DataFrame:
+    """The stretches (u, start, n) that have an equal one at an earlier place.
+
+    The members of a class are dealt into parts: each part's first, then the first of all, is a
+    partial minimum, and it meets the members part by part, so no task gets a whole class."""
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "u", "start")
+    dealt = named.select("n", "a", "b", "m", place.alias("place"),
+                         F.pmod(F.xxhash64("u", "start"), F.lit(SALTS)).alias("part"))
+    parts = dealt.groupBy("n", "a", "b", "part").agg(F.min("place").alias("least"), F.sum("m").alias("c"))
+    first = parts.groupBy("n", "a", "b").agg(F.min("least").alias("first"), F.sum("c").alias("c")).filter("c > 1")
+    first = parts.join(first.drop("c"), ["n", "a", "b"]).select("n", "a", "b", "part", "first")
+    return dealt.join(first, ["n", "a", "b", "part"]).filter("first <> place").select(
+        "place.u", "place.start", "n")
 
 
 def runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
@@ -117,20 +146,18 @@ def runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int
         mine = stretches.filter((F.col("n") >= step) & (F.col("n") < 2 * step))
         head = ranks.select("u", F.col("i").alias("start"), "m", F.col("r").alias("a"))
         tail = ranks.select("u", F.col("i").alias("t"), F.col("r").alias("b"))
-        now = mine.join(head, ["u", "start"]).withColumn("t", F.col("start") + F.col("n") - step).join(
-            tail, ["u", "t"]).select("u", "start", "n", "m", "a", "b")
+        now = scratch.write(mine.join(head, ["u", "start"]).withColumn("t", F.col("start") + F.col("n") - step).join(
+            tail, ["u", "t"]).select("u", "start", "n", "m", "a", "b"))
         named = now if named is None else named.unionAll(now)
         step *= 2
         if step <= longest:
-            ranks = scratch.write(doubled(ranks, step // 2))
+            ranks, old = scratch.write(doubled(ranks, step // 2)), ranks
+            scratch.drop(old)
     empty = docs.sparkSession.createDataFrame([], "u long, line long")
     if named is None:
         return empty.groupBy("u").agg(F.collect_list("line").alias("lines"))
-    ids = lines.select("u", "id").distinct()
-    named = scratch.write(named.join(ids, "u"))
-    place = F.struct(F.col("id").isNull().alias("late"), "id", "u", "start")
-    first = named.groupBy("n", "a", "b").agg(F.min(place).alias("first"), F.sum("m").alias("c")).filter("c > 1")
-    later = named.join(first, ["n", "a", "b"]).filter(F.col("first") != place).select(
+    scratch.drop(ranks, stretches)
+    later = later_copies(named.join(lines.select("u", "id").distinct(), "u")).select(
         "u", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("i")).distinct()
     return later.join(lines.select("u", "i", "line"), ["u", "i"]).groupBy("u").agg(
         F.collect_list("line").alias("lines"))
@@ -140,7 +167,9 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: i
            deleted: str = "deleted_lines") -> DataFrame:
     """Every row with its text after deletion, and the number of lines deleted."""
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = scratch.write(runs(docs, id, text, min_words, scratch))
+    work = Scratch(docs.sparkSession, "line-ranks")
+    gone = scratch.write(runs(docs, id, text, min_words, work))
+    work.clear()
     names = [*docs.columns, deleted]
     u, m, late, cut = (fresh(names, x) for x in ("_u", "_m", "_late", "_cut"))
     kept = [c for c in docs.columns if c.lower() != deleted.lower()]

@@ -186,7 +186,8 @@ def plan(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     """Per input row: id, size, source_size, target, copies and the words they take."""
     scratch = Scratch(docs.sparkSession, "mix")
     words = word_count(F.col(f"`{text}`"))
-    unit = copies(_units(docs, id, source, words, F.lit(0)), scratch, **how)
+    unit = Scratch(docs.sparkSession, "mix-units").write(copies(_units(docs, id, source, words, F.lit(0)), scratch, **how))
+    scratch.clear()
     return _each(unit).select(
         F.col("id").alias(id), F.col("source").alias("source"), "size", "source_size", "target",
         "copies", (F.col("copies") * F.col("size")).alias("taken"))
@@ -199,7 +200,9 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str =
                        F.col(f"`{id}`").alias("id"), F.col(f"`{source}`").alias("source"),
                        word_count(F.col(f"`{text}`")).alias("size"))
     unit = copies(_units(rows, "id", "source", F.col("size"), F.col("h")), scratch, **how)
-    unit = scratch.write(unit).select(F.col("id").alias("uid"), F.col("source").alias("usource"),
+    unit = Scratch(docs.sparkSession, "mix-units").write(unit)
+    scratch.clear()
+    unit = unit.select(F.col("id").alias("uid"), F.col("source").alias("usource"),
                                       F.col("size").alias("usize"), F.col("h").alias("uh"), "m", "total")
     on = (F.col("id").eqNullSafe(F.col("uid")) & F.col("source").eqNullSafe(F.col("usource"))
           & (F.col("h") == F.col("uh")) & (F.col("size") == F.col("usize")))

@@ -17,11 +17,13 @@ start      ids in earlier shards of the part
 n_tokens   ids in the shard
 ids, ends  its documents, and where each one's ids end within the shard
 base       first nonterminal
-symbols    the compressed sequence, unsigned 32-bit
-rules      pairs of symbols, unsigned 32-bit; rule ``r`` is symbol ``base + r``
+symbols    the compressed sequence
+rules      pairs of symbols; rule ``r`` is symbol ``base + r``
 lengths    ids that each rule stands for, unsigned 32-bit
 =========  =====================================================================
 
+Symbols are unsigned integers of 16 bits in a shard with at most 2^16 of them, else of 32.
+
 Encoding calls the tokenizers library on each different piece of text once per task: texts
 are cut at spaces that follow a character other than white space, and after ASCII letters
 between such a space and punctuation, where a byte-level pre-tokenizer always starts a new
@@ -49,7 +51,7 @@ from pyspark.sql import types as T
 from ampere.llm.common import shuffle_files_removed
 
 END = 2
-SHARD = 1 << 20
+SHARD = 1 << 19
 #: Bytes of text per range of documents, and the largest number of ranges (more: longer ranges).
 PART = 1 << 25
 PARTS = 20_000
@@ -57,7 +59,7 @@ PARTS = 20_000
 FREQUENT = 16
 STEP = 64
 #: A grammar is done when a round would shorten its sequence by less than this part.
-GAIN = 0.004
+GAIN = 0.01
 CACHED_PIECES = 500_000
 LONGEST_PIECE = 1 << 16
 ROWS = 256
@@ -74,7 +76,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Pieces(dict):
-    """Pieces of text to packed ids, by the library; forgets everything when it is full."""
+    """Pieces of text to packed ids, by the library; forgets everything when it is full.
+
+    A piece that ends in white space may belong with what follows: it has no ids of its own.
+    """
 
     def __init__(self, vocabulary: str):
         super().__init__()
@@ -88,24 +93,23 @@ class Pieces(dict):
         self.cut = re.compile(
             r" [A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^ ]+| ").findall
         self.byte_letters = _byte_letters()
+        self.space = self.byte_letters[32]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, piece: str) -> bytes | None:
-        """One pre-token goes to the library's model at once, anything else through all of it. A
-        piece that ends in white space may belong with what follows: it has no ids of its own."""
-        if piece[0] == " " and piece[1:].isalpha() and max(piece) < "\u0250":
-            word = piece.encode().decode("latin-1").translate(self.byte_letters)
-            ids = [t.id for t in self.model.tokenize(word)]
+    def __missing__(self, piece: str) -> bytes | None:
+        word = piece[1:]
+        if piece[0] == " " and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            if not word.isascii():  # one pre-token: to the library's model at once
+                word = word.encode().decode("latin-1").translate(self.byte_letters)
+            ids = [t.id for t in self.model.tokenize(self.space + word)]
             packed = struct.pack(f"<{len(ids)}I", *ids)
         else:
             packed = None if piece[-1].isspace() or len(piece) > LONGEST_PIECE else self.whole(piece)
         self[piece] = packed
         return packed
 
-    __missing__ = learn
-
     def encode(self, text: str | None) -> bytes:
         if len(self) > CACHED_PIECES:
             self.clear()
@@ -192,7 +196,12 @@ def compress(ids: np.ndarray, frequent: int = FREQUENT, step: int = STEP, gain:
         keep[at + 1] = False
         s = s[keep]
     rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return s.astype("<u4"), rules.astype("<u4"), lengths.astype("<u4"), base
+    kind = symbol_type(base, len(rules))
+    return s.astype(kind), rules.astype(kind), lengths.astype("<u4"), base
+
+
+def symbol_type(base: int, n_rules: int) -> str:
+    return "<u2" if base + n_rules <= 1 << 16 else "<u4"
 
 
 def _sizes(symbols: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
@@ -204,8 +213,8 @@ def _sizes(symbols: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for; rules are expanded level by level, once each."""
-    used = np.unique(symbols[symbols >= base]).astype(np.int64) - base
-    flat = used + base
+    used = np.flatnonzero(np.bincount(symbols[symbols >= base].astype(np.int64) - base, minlength=len(rules)))
+    flat, rules = used + base, rules.astype(np.int64)
     while (inner := flat >= base).any():
         n = np.where(inner, 2, 1)
         at = np.cumsum(n) - n
@@ -216,14 +225,15 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
         flat = out
     start = np.zeros(len(rules), np.int64)
     start[used] = np.cumsum(lengths[used].astype(np.int64)) - lengths[used]
-    table = np.concatenate([flat, np.arange(base)])  # each rule used, then each id itself
+    table = np.concatenate([flat, np.arange(base)]).astype("<u4")  # each rule used, then each id itself
     symbols = symbols.astype(np.int64)
     size = _sizes(symbols, base, lengths)
     rule = symbols >= base
     begin = symbols + len(flat)
     begin[rule] = start[symbols[rule] - base]
     ends = np.cumsum(size)
-    return table[np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)].astype("<u4")
+    total = int(ends[-1]) if len(ends) else 0
+    return table[np.repeat(begin - ends + size, size) + np.arange(total)]
 
 
 def slice_of(symbols, rules, lengths, base, covered: np.ndarray, start: int, stop: int) -> np.ndarray:
@@ -308,9 +318,11 @@ def _decode(shards: DataFrame, id: str) -> DataFrame:
         for b in batches:
             for k in range(b.num_rows):
                 row = {name: b.column(i)[k] for i, name in enumerate(b.schema.names)}
-                symbols, lengths = (np.frombuffer(row[c].as_py(), "<u4") for c in ("symbols", "lengths"))
-                rules = np.frombuffer(row["rules"].as_py(), "<u4").reshape(-1, 2)
-                ends, base = np.array(row["ends"].as_py(), np.int64), row["base"].as_py()
+                lengths, base = np.frombuffer(row["lengths"].as_py(), "<u4"), row["base"].as_py()
+                kind = symbol_type(base, len(lengths))
+                symbols = np.frombuffer(row["symbols"].as_py(), kind)
+                rules = np.frombuffer(row["rules"].as_py(), kind).reshape(-1, 2)
+                ends = row["ends"].values.to_numpy(zero_copy_only=False)
                 starts, keys = ends - np.diff(ends, prepend=0), row["ids"].as_py()
                 pick = row["pick"].as_py()
                 if pick is None:

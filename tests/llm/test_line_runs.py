@@ -32,6 +32,39 @@ def brute(rows, min_words, beyond=10**9):
             for (_, t), g in zip(rows, gone, strict=True)]
 
 
+def smallest(rows, min_words):
+    """The same by the smallest stretches of ``min_words`` words that start or end at each line."""
+    found = []
+    for d, (_, t) in enumerate(rows):
+        seq = [(n, x) for n, x in enumerate((t or "").split("\n")) if x.split()]
+        words = [len(x.split()) for _, x in seq]
+        spans = set()
+        for i in range(len(seq)):
+            j, total = i, 0
+            while j < len(seq) and total < min_words:
+                total += words[j]
+                j += 1
+            if total >= min_words:
+                spans.add((i, j))
+            j, total = i + 1, 0
+            while j and total < min_words:
+                j -= 1
+                total += words[j]
+            if total >= min_words:
+                spans.add((j, i + 1))
+        found += [(d, i, tuple(seq[i:j])) for i, j in spans]
+    first = {}
+    for d, i, part in found:
+        key = tuple(x for _, x in part)
+        first[key] = min(first.get(key, (d, i)), (d, i))
+    gone = [set() for _ in rows]
+    for d, i, part in found:
+        if first[tuple(x for _, x in part)] != (d, i):
+            gone[d].update(n for n, _ in part)
+    return [("\n".join(x for n, x in enumerate((t or "").split("\n")) if n not in g) if g else t, len(g))
+            for (_, t), g in zip(rows, gone, strict=True)]
+
+
 def corpus(seed, n=60):
     r = random.Random(seed)
     line = lambda: " ".join(r.choice("abcdefgh") * r.randint(1, 2) for _ in range(r.choice([1, 1, 2, 5])))
@@ -60,6 +93,24 @@ def test_equals_brute_force(spark, seed, words):
     assert [got[i] for i, _ in rows] == brute(rows, words)
 
 
+def test_smallest_stretches_are_enough():
+    for seed in range(8):
+        rows = list(enumerate(corpus(seed)))
+        for words in (1, 4, 9, 20):
+            assert smallest(rows, words) == brute(rows, words)
+
+
+def test_a_hot_line_before_many_others_and_very_long_texts(spark):
+    r = random.Random(5)
+    twice = [f"tail {k} of many words here" for k in range(300)]
+    rows = [(i, f"hot line in front\n{twice[i % 300]}") for i in range(600)]
+    long = "\n".join(f"line {r.randrange(4000)} and more" for _ in range(6000))
+    rows += [(1000, long), (1001, "new start\n" + long), (1002, "w" * 50000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: (x.text, x.deleted_lines) for x in line_runs.remove(df, min_words=8).collect()}
+    assert [got[i] for i, _ in rows] == smallest(rows, 8)
+
+
 def test_equal_rows_keep_their_first(spark):
     t = "one two three\nfour five six"
     rows = [(1, t), (1, t), (1, t), (None, t), (None, None), (None, None), (2, "x"), (2, "x")]

@@ -12,7 +12,7 @@ from ampere.llm import byte_bpe
 from ampere.llm.queries import vocabulary
 from ampere.llm.sql import ORACLE
 from tests.llm.test_jaccard_join import brute as brute_groups
-from tests.llm.test_line_runs import brute as brute_lines
+from tests.llm.test_line_runs import smallest as brute_lines
 
 DIR = "/root/testdata/sf0.001"
 
@@ -46,7 +46,7 @@ def test_quality_keeps_what_the_sql_keeps(stages):
 
 def test_lines(stages):
     before = sorted(stages[1], key=lambda r: r.doc_id)
-    want = brute_lines([(r.doc_id, r.text) for r in before], 20, 60)
+    want = brute_lines([(r.doc_id, r.text) for r in before], 20)
     want = {r.doc_id: t for r, (t, _) in zip(before, want, strict=True) if t.split()}
     assert {r.doc_id: r.text for r in stages[2]} == want
 
@@ -90,3 +90,36 @@ def test_equal_rows_and_other_columns_pass(spark):
         docs = stage(spark, docs, DIR)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "u"]
     assert docs.count() <= 2
+
+
+def test_run_applies_the_stages_and_frees_what_they_leave(spark, stages):
+    from ampere.llm.common import scratch_folders
+
+    before = scratch_folders()
+    out = corpus_pipeline.run(spark, DIR)
+    got = Counter((r.doc_id, bytes(r.ids)) for r in out.collect())
+    assert got == Counter((r.doc_id, bytes(r.ids)) for r in stages[5])
+    left = {f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in scratch_folders() - before}
+    assert left <= {"pipeline", "mix-units"}
+
+
+def test_empty_table_with_clashing_columns(spark):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, row string, _u long, kept int, ids binary, u long"
+    docs = spark.createDataFrame([], kinds)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DIR)
+        assert docs.columns == [c.split()[0] for c in kinds.split(", ")]
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, DIR)
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"] and out.count() == 0
+
+
+def test_a_very_long_text_and_clashing_columns_pass(spark):
+    text = "\n".join(" ".join(f"w{(i * 7 + j) % 9973}x{i}" for j in range(12)) + "." for i in range(6000))
+    docs = spark.createDataFrame(
+        [(1, text, "en", "s", len(text), "r", 3, 1, b"i", 4), (2, None, "en", "s", 0, None, None, None, None, None),
+         (3, "", "en", "s", 0, "r", 3, 1, b"i", 4)],
+        "doc_id long, text string, lang string, source string, n_chars long, row string, _u long, kept int, ids binary, u long")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = stage(spark, kept, DIR)
+    assert [tuple(r) for r in kept.collect()] == [tuple(docs.first())]
