@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Plain decimal or scientific notation only. Spark's own cast also accepts
 # suffixes such as "12f"/"12d" and the words NaN/Infinity; those become NULL here.
@@ -43,3 +44,14 @@ def stable_round(c, digits: int) -> Column:
     Rounding to 10 places first removes that noise, so ties resolve alike.
     """
     return F.round(F.round(_col(c), NOISE_DIGITS), digits)
+
+
+PUBLISHED_DIGITS = 6
+
+
+def published(df: DataFrame, digits: int = PUBLISHED_DIGITS) -> DataFrame:
+    """Every double column rounded to the export's precision."""
+    cols = [stable_round(F.col(f.name), digits).alias(f.name)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols)

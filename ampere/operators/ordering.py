@@ -2,9 +2,9 @@
 
 ``row_number() OVER (ORDER BY ...)`` with no partition moves every row into one
 task. Instead: range-partition and sort (distributed), tag rows with their partition
-and in-partition position, materialise once (reliable checkpoint, so positions are
-stable if a task is re-run), then add each partition's offset from a table with
-one row per partition (bounded by the partition count, safe to broadcast).
+and in-partition position, materialise once (a scratch table in the shared folder, so
+positions are stable if a task is re-run), then add each partition's offset from a table
+with one row per partition (bounded by the partition count, safe to broadcast).
 """
 
 from __future__ import annotations
@@ -14,20 +14,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.session import ensure_checkpoint_dir
+from ampere.session import scratch_path
 
 POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | record number
 
 
 def ordered_index(df: DataFrame, order: Sequence[Column | str], index_col: str = "row_index",
-                  checkpoint: bool = True) -> DataFrame:
-    """Attach a 0-based position in ``order`` (ties keep an arbitrary stable order)."""
+                  scratch: str | None = None) -> DataFrame:
+    """Attach a 0-based position in ``order`` (ties keep an arbitrary stable order).
+
+    The tagged rows are written to ``scratch``, which the caller may remove when the result
+    has been used (by default a folder that goes when the driver ends)."""
     tagged = (df.orderBy(*order) if order else df).withColumn(
         "_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", POS_BITS))
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder, if set
-        tagged = tagged.checkpoint(eager=True)
+    path = scratch or scratch_path(df.sparkSession, "ordered")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(running), F.lit(0)))

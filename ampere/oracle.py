@@ -526,6 +526,207 @@ ORACLE.update({
     FROM f_retail WHERE length(state_id) = 2 AND period >= '1999-01' GROUP BY 1, 2"""),
 })
 
+
+# ---------------------------------------------------------------- stored layers, dirty records
+
+def _dirty_copies(cols, name: str, value: str, rows: str) -> str:
+    """The rows, and two more copies of every eleventh, as ``ampere.sources.dirty`` places them."""
+    def pick(name_expr, value_expr):
+        return ", ".join(name_expr if c == name else value_expr if c == value else c for c in cols)
+    return f"""
+    SELECT {", ".join(cols)}, k FROM {rows}
+    UNION ALL SELECT {pick(f"'~' || {name}", f"{value} + 1")}, k FROM {rows} WHERE k % 11 = 0
+    UNION ALL SELECT {pick("NULL", f"{value} + 2")}, k FROM {rows} WHERE k % 11 = 0"""
+
+
+def _dirty_retail(raw: str, only_repull: str) -> str:
+    base = f"""(SELECT period, CASE WHEN k % 17 = 1 THEN NULL WHEN nation = 5 THEN 'LONG05' ELSE state_id END AS state_id,
+        CASE WHEN nation = 3 AND period >= '1998-01' THEN 'NEW ' || state_name ELSE state_name END AS state_name,
+        sector_id, sector_name, price_cents_kwh, sales_mwh, customers, ingested_at, k
+      FROM (SELECT *, CAST(state_id AS INTEGER) AS nation,
+              (CAST(substr(period, 1, 4) AS INTEGER) * 12 + CAST(substr(period, 6, 2) AS INTEGER) - 1) * 3
+                + CAST(state_id AS INTEGER) * 7 + ascii(sector_id) AS k FROM {raw}) {only_repull})"""
+    typed = _dirty_copies(RETAIL_COLS, "sector_name", "price_cents_kwh", base)
+    rows = f"""(SELECT * REPLACE (CASE WHEN k % 7 = 2 THEN NULL ELSE price_cents_kwh END AS price_cents_kwh,
+        CASE WHEN k % 23 = 5 THEN NULL ELSE sales_mwh END AS sales_mwh,
+        CASE WHEN k % 7 = 3 THEN NULL ELSE customers END AS customers) FROM ({typed}))"""
+    return _first_of(rows, ("period", "state_id", "sector_id"),
+                     ("state_name", "sector_name", "price_cents_kwh", "sales_mwh", "customers"), RETAIL_COLS)
+
+
+def _dirty_generation(raw: str, only_repull: str) -> str:
+    base = f"""(SELECT period, CASE WHEN k % 29 = 2 THEN NULL ELSE state_id END AS state_id,
+        CASE WHEN k % 17 = 1 THEN NULL ELSE fuel_type_code END AS fuel_type_code,
+        fuel_type_desc, generation_mwh, ingested_at, k
+      FROM (SELECT *,
+              (CAST(substr(period, 1, 4) AS INTEGER) * 12 + CAST(substr(period, 6, 2) AS INTEGER) - 1) * 3
+                + CAST(state_id AS INTEGER) * 7 + ascii(fuel_type_code) AS k FROM {raw}) {only_repull})"""
+    typed = _dirty_copies(GEN_COLS, "fuel_type_desc", "generation_mwh", base)
+    rows = f"""(SELECT * REPLACE (CASE WHEN k % 7 = 2 THEN NULL ELSE generation_mwh END AS generation_mwh)
+      FROM ({typed}))"""
+    return _first_of(rows, ("period", "state_id", "fuel_type_code"), ("fuel_type_desc", "generation_mwh"), GEN_COLS)
+
+
+def _first_of(rows: str, keys, ties, cols) -> str:
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ties)
+    return f"""
+    SELECT {", ".join(cols)} FROM (
+      SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)} ORDER BY ingested_at DESC, {order}) AS rn FROM {rows}
+    ) WHERE rn = 1"""
+
+
+_DIRTY_EVENTS = """
+    SELECT event_id AS k, ts, event_type, value, ts - to_days(CAST(event_id % 6 AS INTEGER) * 30) AS happened,
+           ((TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 5) + 5) % 5 AS kmod
+    FROM events"""
+_DIRTY_TEXT = """CASE WHEN k % 41 = 0 THEN NULL WHEN k % 19 = 0 THEN strftime(happened, '%Y-%m') || '-45T99'
+      WHEN k % 23 = 0 THEN strftime(happened, '%Y-%m') WHEN k % 4 = 0 THEN strftime(happened, '%Y-%m-%dT%H')
+      WHEN k % 4 = 1 THEN strftime(happened, '%Y-%m-%dT%H:%M') WHEN k % 4 = 2 THEN strftime(happened, '%Y-%m-%d %H:%M:%S')
+      ELSE strftime(happened, '%Y-%m-%dT%HZ') END"""
+
+
+def _dirty_demand(load: str) -> str:
+    which = ("k % 47 <> 5" if load == "b" else
+             f"happened >= (SELECT date_trunc('month', max(ts)) - INTERVAL {LOOKBACK_MONTHS} MONTH FROM x_events)")
+    value = "value" if load == "b" else "value + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END"
+    at = BACKFILL_AT if load == "b" else REVISION_AT
+    return f"""
+    SELECT date_trunc('hour', happened) AS period, event_type AS region_id,
+           max(CASE WHEN k % 43 <> 0 THEN upper(event_type) || ' GRID' END) AS region_name,
+           avg(CASE WHEN k % 37 = 0 OR k % 31 = 0 THEN NULL ELSE {value} END) AS demand_mwh,
+           TIMESTAMP '{at}' AS ingested_at
+    FROM x_events
+    WHERE {which} AND k % 19 <> 0 AND k % 23 <> 0 AND k % 41 <> 0 AND k % 29 <> 0
+      AND happened IS NOT NULL AND event_type IS NOT NULL AND (kmod IS NULL OR kmod IN (0, 4))
+    GROUP BY 1, 2"""
+
+
+_R_KEYS, _G_KEYS, _D_KEYS = (("period", "state_id", "sector_id"), ("period", "state_id", "fuel_type_code"),
+                             ("period", "region_id"))
+
+CTES.update({
+    "x_r_b": (_dirty_retail("r_raw_b", "WHERE k % 19 <> 4"), ("r_raw_b",)),
+    "x_r_v": (_dirty_retail("r_raw_v", ""), ("r_raw_v",)),
+    "x_r_stg": (_upsert("x_r_b", "x_r_v", _R_KEYS), ("x_r_b", "x_r_v")),
+    "x_g_b": (_dirty_generation("g_raw_b", "WHERE k % 19 <> 4"), ("g_raw_b",)),
+    "x_g_v": (_dirty_generation("g_raw_v", ""), ("g_raw_v",)),
+    "x_g_stg": (_upsert("x_g_b", "x_g_v", _G_KEYS), ("x_g_b", "x_g_v")),
+    "x_events": (_DIRTY_EVENTS, ()),
+    "x_d_b": (_dirty_demand("b"), ("x_events",)),
+    "x_d_v": (_dirty_demand("v"), ("x_events",)),
+    "x_d_stg": (_upsert("x_d_b", "x_d_v", _D_KEYS), ("x_d_b", "x_d_v")),
+    "x_f_retail": (CTES["f_retail"][0].replace("FROM r_stg WHERE", "FROM x_r_stg WHERE state_id IS NOT NULL AND"),
+                   ("x_r_stg",)),
+    "x_f_gen": (CTES["f_gen"][0].replace("FROM g_stg", "FROM x_g_stg"), ("x_g_stg",)),
+    "x_history": ("""
+    SELECT state_id, state_name, period AS valid_from, lead(period) OVER (PARTITION BY state_id ORDER BY period) AS valid_to
+    FROM (SELECT *, lag(state_name) OVER (PARTITION BY state_id ORDER BY period) AS was
+          FROM (SELECT state_id, period, max(state_name) AS state_name FROM x_r_stg
+                WHERE length(state_id) = 2 AND state_name IS NOT NULL GROUP BY 1, 2))
+    WHERE was IS DISTINCT FROM state_name""", ("x_r_stg",)),
+})
+
+_LAYERS = (("retail", "x_r", _R_KEYS, RETAIL_COLS), ("generation", "x_g", _G_KEYS, GEN_COLS),
+           ("demand", "x_d", _D_KEYS, D_COLS))
+
+
+def _effects(target: str, source: str, keys, cols, where: str = "TRUE") -> str:
+    """Counts of each effect of merging ``source`` into the rows of ``target`` that ``where`` keeps."""
+    match = " AND ".join(f"s.{k} = t.{k}" for k in keys)
+    same = " AND ".join(f"s.{c} IS NOT DISTINCT FROM t.{c}" for c in cols if c not in keys and c != "ingested_at")
+    keyless = " OR ".join(f"s.{k} IS NULL" for k in keys)
+    return f"""
+      (SELECT count(*) FROM {target} t WHERE {where} AND NOT EXISTS (SELECT 1 FROM {source} s WHERE {match})) AS kept,
+      (SELECT count(*) FROM {source} s WHERE NOT ({keyless})
+         AND NOT EXISTS (SELECT 1 FROM {target} t WHERE {match})) AS inserted,
+      (SELECT count(*) FROM {source} s JOIN {target} t ON {match} WHERE NOT ({same})) AS replaced,
+      (SELECT count(*) FROM {source} s JOIN {target} t ON {match} WHERE {same}) AS unchanged,
+      (SELECT count(*) FROM {source} s WHERE {keyless}) AS reinserted"""
+
+
+def _month(c: str) -> str:
+    return f"substr(CAST({c} AS VARCHAR), 1, 7)"
+
+
+_DIRTY_NEEDS = ["x_r_b", "x_r_v", "x_g_b", "x_g_v", "x_d_b", "x_d_v"]
+_KEYLESS = (("retail", "x_r", "state_id IS NULL OR sector_id IS NULL"),
+            ("generation", "x_g", "state_id IS NULL OR fuel_type_code IS NULL"))
+
+ORACLE.update({
+    "stored_retail_mart": ORACLE["fact_retail_prices"],
+    "stored_demand": with_ctes(["x_d_stg"], f"SELECT {rounded(D_COLS)} FROM x_d_stg"),
+    "layer_report": ORACLE["health_report"],
+    "merge_effect": with_ctes(_DIRTY_NEEDS, " UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, {_effects(f'{t}_b', f'{t}_v', keys, cols, where)}" for d, t, keys, cols, where in
+        ((d, t, keys, cols, f"{_month('t.period')} IN (SELECT {_month('period')} FROM {t}_v)")
+         for d, t, keys, cols in _LAYERS))),
+    "published_chunks": ORACLE["export_chunks"],
+    "reconcile_published": with_ctes([c for _, c, _ in _TABS], " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) AS n_published, TRUE AS header_equal, "
+        f"TRUE AS content_equal FROM {c}" for t, c, _ in _TABS)),
+    "landed_files": with_ctes(["recs"], """
+    SELECT DISTINCT dataset, substr(ym, 1, 4) AS year, substr(ym, 6, 2) AS month, 1::BIGINT AS n_files,
+           TRUE AS has_bytes FROM recs"""),
+    "calendar_gaps": with_ctes(["recs"], """
+    SELECT dataset, count(have) AS n_months, max(have) AS latest,
+           coalesce(string_agg(CASE WHEN have IS NULL THEN m.ym END, ',' ORDER BY m.ym), '') AS missing,
+           CASE WHEN count(have) >= 70 AND count(*) = count(have) THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM (SELECT dataset, strftime(unnest(generate_series(TIMESTAMP '1994-06-01',
+                   strptime(max(ym) || '-01', '%Y-%m-%d'), INTERVAL 1 MONTH)), '%Y-%m') AS ym
+          FROM recs GROUP BY dataset) m
+    LEFT JOIN (SELECT DISTINCT dataset, ym, ym AS have FROM recs) r USING (dataset, ym) GROUP BY dataset"""),
+    "dirty_stg_retail": with_ctes(["x_r_b"], f"SELECT {rounded(RETAIL_COLS)} FROM x_r_b"),
+    "dirty_stg_generation": with_ctes(["x_g_b"], f"SELECT {rounded(GEN_COLS)} FROM x_g_b"),
+    "dirty_stg_rto": with_ctes(["x_d_b"], f"SELECT {rounded(D_COLS)} FROM x_d_b"),
+    "dirty_upsert_rto": with_ctes(["x_d_stg"], f"SELECT {rounded(D_COLS)} FROM x_d_stg"),
+    "dirty_dim_state": with_ctes(["x_r_stg"], """
+    SELECT DISTINCT state_id, state_name FROM x_r_stg WHERE length(state_id) = 2"""),
+    "dirty_leaderboard": with_ctes(["x_f_retail"], """
+    SELECT state_id, state_name, count(*) AS anomaly_count
+    FROM x_f_retail WHERE is_anomaly AND length(state_id) = 2 GROUP BY 1, 2"""),
+    "dirty_fact_generation": with_ctes(["x_f_gen"], f"SELECT {rounded(F_GEN_COLS)} FROM x_f_gen"),
+    "dirty_periods": with_ctes(["x_events"], f"""
+    SELECT {_DIRTY_TEXT} AS period_text, count(*) AS n_rows,
+           min(CASE WHEN k % 41 = 0 OR k % 19 = 0 OR k % 23 = 0 THEN NULL ELSE date_trunc('hour', happened) END) AS period
+    FROM x_events WHERE k % 47 <> 5 GROUP BY 1"""),
+    "state_history": with_ctes(["x_history"], "SELECT * FROM x_history"),
+    "fact_with_state_at": with_ctes(["x_f_retail", "x_history"], """
+    SELECT f.period, f.state_id, round(f.price_cents_kwh, 6) AS price_cents_kwh, h.state_name AS dim_state_name
+    FROM x_f_retail f LEFT JOIN x_history h
+      ON f.state_id = h.state_id AND f.period >= h.valid_from AND (h.valid_to IS NULL OR f.period < h.valid_to)"""),
+    "upsert_idempotent": with_ctes(_DIRTY_NEEDS + ["x_r_stg", "x_g_stg", "x_d_stg"], " UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, {n} AS run, {_effects(f'{t}_{target}', f'{t}_v', keys, cols)}"
+        for d, t, keys, cols in _LAYERS for n, target in ((1, "b"), (2, "stg")))),
+    "keyless_rows": with_ctes(["x_r_b", "x_r_v", "x_r_stg", "x_g_b", "x_g_v", "x_g_stg"], " UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, {n} AS merges, "
+        f"(SELECT count(*) FROM {t}_b WHERE {none}) + {n} * (SELECT count(*) FROM {t}_v WHERE {none}) AS keyless, "
+        f"(SELECT count(*) FROM {t}_{'b' if n == 0 else 'stg'} WHERE NOT ({none})) AS keyed"
+        for d, t, none in _KEYLESS for n in (0, 1, 2))),
+    "legacy_stg_retail": with_ctes(["r_b"], f"""
+    SELECT left(period, 7) AS period, {rounded(RETAIL_COLS[1:-1])}, max(ingested_at) AS ingested_at
+    FROM r_b GROUP BY ALL"""),
+    "legacy_stg_demand": with_ctes(["d_rows_b"], """
+    SELECT CASE ((event_id % 4) + 4) % 4 WHEN 1 THEN date_trunc('minute', ts) WHEN 2 THEN date_trunc('second', ts)
+             ELSE date_trunc('hour', ts) END AS period, region_id, max(region_name) AS region_name,
+           round(avg(value), 6) AS demand_mwh, max(ingested_at) AS ingested_at
+    FROM d_rows_b WHERE ts IS NOT NULL GROUP BY 1, 2"""),
+    "demand_of_named_operators": with_ctes(["x_d_stg"], """
+    SELECT region_id, max(region_name) AS region_name, round(avg(demand_mwh), 6) AS avg_demand_mwh
+    FROM x_d_stg WHERE region_id IN ('click', 'purchase', 'view') GROUP BY region_id"""),
+    "headline_of_region": with_ctes(["x_f_gen", "x_f_retail", "x_d_stg"], f"""
+    SELECT round((SELECT sum(CASE WHEN fuel_category IN {_CLEAN} THEN generation_mwh END)
+                         / NULLIF(sum(generation_mwh), 0) FROM x_f_gen WHERE period >= '1996-01'), 6) AS clean_share,
+           round((SELECT avg(price_cents_kwh) FROM x_f_retail WHERE period >= '1996-01'), 6) AS avg_price_cents_kwh,
+           (SELECT count_if(z_score > 2.0) FROM x_f_retail WHERE period >= '1996-01') AS price_spikes,
+           round((SELECT avg(demand_mwh) FROM x_d_stg WHERE region_id = 'view'
+                  AND {_month("period")} >= '1996-01'), 6) AS avg_hourly_demand_mwh"""),
+})
+ORACLE["dirty_hourly_export"] = with_ctes(["x_d_stg"], """
+    SELECT date_trunc('hour', period) AS hour, CAST(hour(period) AS INTEGER) AS hour_of_day,
+           CAST(month(period) AS INTEGER) AS month, CAST(dayofweek(period) AS INTEGER) AS day_of_week,
+           region_id, region_name, round(demand_mwh, 6) AS demand_mwh
+    FROM x_d_stg WHERE demand_mwh IS NOT NULL""")
+
 ORACLE["fact_retail_prices_chunked"] = ORACLE["fact_retail_prices"]
 
 def bigint_counts(sql: str) -> str:

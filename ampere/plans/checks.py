@@ -64,6 +64,26 @@ def month_coverage(records: DataFrame, dataset: str, min_months: int = MIN_MONTH
         status(F.col("n_months") >= min_months).alias("status"))
 
 
+def month_calendar(present: DataFrame, dataset: str, start: str, end: str | None = None,
+                   min_months: int = MIN_MONTHS) -> DataFrame:
+    """Months from ``start`` to ``end`` (default: the latest present) held against a calendar.
+
+    ``present`` has a column ``ym``; a month that it lacks is listed. Months outside the
+    calendar do not count. PASS needs ``min_months`` months and no gap before the latest."""
+    present = present.select("ym").distinct()
+    last = F.lit(end) if end else present.select(F.max("ym")).scalar()
+    spine = present.sparkSession.range(1).select(F.explode(F.sequence(
+        F.to_date(F.lit(f"{start}-01")), F.greatest(F.to_date(F.concat(last, F.lit("-01"))), F.to_date(F.lit(f"{start}-01"))),
+        F.expr("interval 1 month"))).alias("m")).select(F.date_format("m", "yyyy-MM").alias("ym"))
+    marked = spine.join(present.withColumn("_have", F.lit(True)), "ym", "left")  # one row per month
+    have = F.col("_have").isNotNull()
+    return marked.agg(
+        F.count_if(have).alias("n_months"), F.max(F.when(have, F.col("ym"))).alias("latest"),
+        F.array_join(F.sort_array(F.collect_list(F.when(~have, F.col("ym")))), ",").alias("missing")).select(
+        F.lit(dataset).alias("dataset"), "n_months", "latest", "missing",
+        status((F.col("n_months") >= min_months) & (F.col("missing") == "")).alias("status"))
+
+
 def demand_coverage(stg_demand: DataFrame, min_regions: int = MIN_REGIONS,
                     first_year: int = FIRST_YEAR) -> DataFrame:
     agg = stg_demand.agg(F.count_distinct("region_id").alias("regions"),
@@ -112,6 +132,13 @@ def pull_profile(records: DataFrame, state: str = "stateid", sector: str = "sect
                        F.count_distinct(sector).alias("n_sectors"))
 
 
+def staging_effect(effects: Mapping[str, Mapping[str, int]], spark) -> DataFrame:
+    """Per dataset what a batch did to its staging table (counts gathered while it was written)."""
+    kinds = ("kept", "inserted", "replaced", "unchanged", "reinserted")
+    return spark.createDataFrame([(d, *(int(e.get(k, 0)) for k in kinds)) for d, e in effects.items()],
+                                 "dataset string, " + ", ".join(f"{k} long" for k in kinds))
+
+
 def sample_payloads(raw: DataFrame, n: int = 3) -> DataFrame:
     """A few raw payloads to eyeball (deterministic: smallest text first)."""
     return raw.select("payload").orderBy("payload").limit(n)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ampere.functions.cells import CHUNK_ROWS, column_name, format_cells
 from ampere.operators.ordering import ordered_index
 from ampere.operators.shares import share_of_total
+from ampere.plans.legacy import hourly_export
 
 TAB_ORDER = {
     "fact_retail_prices": ("state_id", "period"),
@@ -91,3 +92,15 @@ def write_csv(tabs: Mapping[str, DataFrame], root: str) -> dict[str, str]:
         sheet_tab(df, TAB_ORDER[tab]).write.mode("overwrite").option("header", True).csv(path)
         out[tab] = path
     return out
+
+
+def write_typed_csv(marts: Mapping[str, DataFrame], stg_demand: DataFrame, root: str,
+                    names: Sequence[str] = ("fact_retail_prices", "fact_generation", "dim_state")) -> dict[str, str]:
+    """The full marts and the hourly demand as typed CSV with their own column names."""
+    frames = {n: marts[n] for n in names} | {"staging_rto_demand": hourly_export(stg_demand)}
+    out = {}
+    for name, df in frames.items():
+        path = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").option("header", True).csv(path)
+        out[name] = path
+    return out

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ampere.functions.casts import safe_bigint, safe_double
 from ampere.operators.dedup import distinct_latest
 from ampere.plans.staging import stage_demand, typed_retail
 
@@ -45,3 +46,62 @@ def typed_generation_strict(raw_generation: DataFrame) -> DataFrame:
                      field("fuelTypeDescription").alias("fuel_type_desc"),
                      field("generation").cast("double").alias("generation_mwh"),
                      "ingested_at"))
+
+
+# ---------------------------------------------------------------- variant path, strict casts
+
+def _variant(raw: DataFrame) -> DataFrame:
+    return raw.select(F.parse_json("payload").alias("v"), "payload", "ingested_at")
+
+
+def _text(key: str, width: int | None = None) -> Column:
+    """The value at a key of the variant as text, cut to a column's width."""
+    t = F.variant_get(F.col("v"), f"$['{key}']", "string")
+    return t if width is None else F.left(t, F.lit(width))
+
+
+def _strict(text: Column, cast: Column, key: str, kind: str) -> Column:
+    """``cast`` where it succeeds or there is nothing to cast; any other text fails the job and
+    names the record."""
+    wrong = F.concat(F.lit(f"{key} is not {kind}: "), text, F.lit(" in "), F.col("payload"))
+    return F.when(text.isNotNull() & cast.isNull(), F.raise_error(wrong)).otherwise(cast)
+
+
+def _number(key: str) -> Column:
+    return _strict(_text(key), safe_double(_text(key)), key, "a number").cast("double")
+
+
+def _whole(key: str) -> Column:
+    return _strict(_text(key), safe_bigint(_text(key)), key, "a whole number").cast("bigint")
+
+
+_HOUR = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}Z?$"
+
+
+def _moment(key: str) -> Column:
+    """A timestamp to the precision its text has; a bare hour is that hour."""
+    t = _text(key)
+    hour = F.concat(F.left(t, F.lit(10)), F.lit(" "), F.substring(t, 12, 2), F.lit(":00:00"))
+    moment = F.when(t.rlike(_HOUR), hour.try_cast("timestamp")).otherwise(t.try_cast("timestamp"))
+    return _strict(t, moment.cast("timestamp_ntz"), key, "a timestamp").cast("timestamp_ntz")
+
+
+def staged_retail_strict(raw_retail: DataFrame) -> DataFrame:
+    """First version of the retail staging: variant path, strict casts, identical rows collapse."""
+    typed = _variant(raw_retail).filter(_text("period").isNotNull()).select(
+        _text("period", 7).alias("period"), _text("stateid", 10).alias("state_id"),
+        _text("stateDescription").alias("state_name"), _text("sectorid", 20).alias("sector_id"),
+        _text("sectorName").alias("sector_name"), _number("price").alias("price_cents_kwh"),
+        _number("sales").alias("sales_mwh"), _whole("customers").alias("customers"), "ingested_at")
+    return distinct_latest(typed, RETAIL_ATTRS)
+
+
+def staged_demand_strict(raw_demand: DataFrame) -> DataFrame:
+    """First version of the hourly staging: every series, periods as precise as they are, a NULL
+    region is a group."""
+    typed = _variant(raw_demand).filter(_text("period").isNotNull()).select(
+        _moment("period").alias("period"), _text("respondent", 50).alias("region_id"),
+        _text("respondent-name").alias("region_name"), _number("value").alias("value"), "ingested_at")
+    return typed.groupBy("period", "region_id").agg(
+        F.max("region_name").alias("region_name"), F.avg("value").alias("demand_mwh"),
+        F.max("ingested_at").alias("ingested_at"))

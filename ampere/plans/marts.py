@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampere.functions.fuel import fuel_category, is_detail_code
@@ -59,6 +59,29 @@ def dim_state(stg_retail: DataFrame) -> DataFrame:
     return stg_retail.filter(is_state()).select("state_id", "state_name").distinct()
 
 
+def state_history(stg_retail: DataFrame) -> DataFrame:
+    """What a state was called when: (state_id, state_name, valid_from, valid_to), the end excluded.
+
+    A name holds until the state's next name; of two names in one month the last in order
+    counts. A state has a row per month, so its window is small."""
+    series = Window.partitionBy("state_id").orderBy("period")
+    named = (stg_retail.filter(is_state() & F.col("state_name").isNotNull())
+             .groupBy("state_id", "period").agg(F.max("state_name").alias("state_name"))
+             .withColumn("_before", F.lag("state_name").over(series)))
+    changes = named.filter(~F.col("state_name").eqNullSafe(F.col("_before")))
+    return changes.select("state_id", "state_name", F.col("period").alias("valid_from"),
+                          F.lead("period").over(series).alias("valid_to"))
+
+
+def with_state_at(fact: DataFrame, history: DataFrame, name: str = "dim_state_name") -> DataFrame:
+    """Every fact row once, with its state's name in its period (NULL before the first one).
+
+    Intervals of a state do not overlap, so a renamed state does not double its rows."""
+    h = history.select(F.col("state_id").alias("_id"), F.col("state_name").alias(name), "valid_from", "valid_to")
+    during = (F.col("period") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("period") < F.col("valid_to")))
+    return fact.join(h, (F.col("state_id") == F.col("_id")) & during, "left").drop("_id", "valid_from", "valid_to")
+
+
 def fact_rto_heatmap(stg_demand: DataFrame) -> DataFrame:
     return (stg_demand
             .groupBy(month_start("period").alias("month"), hour_of_day("period").alias("hour_of_day"),

@@ -10,24 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ampere.functions.casts import stable_round
+from ampere.functions.casts import published
 from ampere.operators.upsert import upsert
 from ampere.plans import marts, staging
 from ampere.session import configure
 from ampere.sources.bindings import raw_history, raw_load
 
-PUBLISHED_DIGITS = 6
-
-
-def published(df: DataFrame, digits: int = PUBLISHED_DIGITS) -> DataFrame:
-    cols = [stable_round(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-            for f in df.schema.fields]
-    return df.select(*cols)
-
-
 # ---------------------------------------------------------------- staging states
 
 def staged(spark: SparkSession, sf_dir: str, dataset: str, load: str) -> DataFrame:
@@ -415,3 +404,7 @@ QUERIES.update({
     "legacy_all_series_demand": q_legacy_all_series_demand,
     "hourly_export": q_hourly_export,
 })
+
+from ampere.plans.stored_queries import QUERIES as STORED  # noqa: E402
+
+QUERIES.update(STORED)

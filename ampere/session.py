@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -100,7 +101,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Scratch folders that results of this driver may still read.
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for intermediate tables."""
+    """A fresh folder under the shared checkpoint dir for intermediate tables.
+
+    It lives until ``remove_path``, at the latest until the driver ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/ampere/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/ampere/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH[path] = spark
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on any storage Spark reaches (classic sessions: it calls the JVM)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _SCRATCH.pop(path, None)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _remove_scratch() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            remove_path(spark, path)
+        except Exception:  # the session may be gone already  # noqa: BLE001
+            pass

@@ -76,20 +76,14 @@ def _num_text(c: Column) -> Column:
 def _window_filter(df: DataFrame, ts: str, lookback: int) -> DataFrame:
     """Keep rows whose month lies in the re-pull window ending at the latest month.
 
-    The latest month is one bounded scalar fetched first, so the window becomes a
-    literal range on the raw timestamp column, which is pushed into the Parquet scan
-    (row groups outside it are skipped) instead of a per-row month computation.
+    Both ends are scalar subqueries over the latest timestamp: planning starts no job, and
+    at run time the scan gets them as literals on the raw timestamp column, so row groups
+    outside the window are skipped instead of computing a month per row. An empty table has
+    no window and no rows.
     """
-    latest = df.select(F.max(ts)).first()[0]
-    if latest is None:
-        return df.limit(0)
-    idx = latest.year * 12 + latest.month - 1
-    lo, hi = idx - lookback, idx + 1
-    start = f"{lo // 12:04d}-{lo % 12 + 1:02d}-01 00:00:00"
-    end = f"{hi // 12:04d}-{hi % 12 + 1:02d}-01 00:00:00"
-    col = F.col(ts)
-    return df.filter((col >= F.lit(start).cast("timestamp_ntz"))
-                     & (col < F.lit(end).cast("timestamp_ntz")))
+    month = F.trunc(F.max(ts), "MM")
+    start, end = (df.select(F.add_months(month, k).cast("timestamp_ntz")).scalar() for k in (-lookback, 1))
+    return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
 
 
 # ---------------------------------------------------------------- retail prices

@@ -62,21 +62,23 @@ def month_filter(months: Sequence[date]) -> Column:
     return F.concat_ws("-", F.col("year"), F.col("month")).isin(*keys)
 
 
+def parsed_lines(line: Column) -> Column:
+    """The records of a landed line, which is one record or one array of records.
+
+    A cut-off array, or one spread over several lines, raises instead of losing records."""
+    text = F.trim(line)
+    return F.when(text.startswith("["), F.from_json(text, "array<string>", {"mode": "FAILFAST"})) \
+            .otherwise(F.array(text))
+
+
 def read_landing(spark: SparkSession, root: str, dataset: str,
                  months: Sequence[date] | None = None) -> DataFrame:
-    """Records of the chosen months (partition-pruned; a missing month is no rows).
-
-    A line is one record or one array of records; a cut-off array, or one spread over
-    several lines, raises instead of losing records."""
+    """Records of the chosen months (partition-pruned; a missing month is no rows)."""
     configure(spark)
     df = spark.read.text(dataset_path(root, dataset))
     if months is not None:
         df = df.filter(month_filter(months))
-    line = F.trim(F.col("value"))
-    records = F.when(line.startswith("["), F.from_json(line, "array<string>",
-                                                          {"mode": "FAILFAST"})) \
-               .otherwise(F.array(line))
-    return (df.select(F.explode(records).alias("payload"),
+    return (df.select(F.explode(parsed_lines(F.col("value"))).alias("payload"),
                       F.regexp_extract(F.col("_metadata.file_path"), r"(raw/.*)$", 1)
                        .alias("source_file"),
                       "year", "month")
@@ -90,6 +92,16 @@ def load_raw(spark: SparkSession, root: str, dataset: str, months: Sequence[date
         "payload", "source_file", F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"))
 
 
+def file_inventory(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """Files and bytes per landed month, from the listing alone: no file is opened."""
+    configure(spark)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+             .load(dataset_path(root, dataset)).select("year", "month", "path", "length", "modificationTime"))
+    return files.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"),
+        F.max("modificationTime").alias("landed_at"))
+
+
 def landed_months(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Inventory: months that have at least one record, with their file count."""
     df = read_landing(spark, root, dataset)

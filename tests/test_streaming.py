@@ -34,3 +34,19 @@ def test_stream_upserts_new_and_revised_months(spark, tmp_root):
     got = {r.period: r.generation_mwh for r in stg.collect()}
     assert got == {"2026-01": 1.0, "2026-02": 5.0, "2026-03": 7.0}
     assert stg.filter(F.col("ingested_at").isNull()).count() == 0
+
+
+def test_a_cut_off_array_fails_the_batch(spark, tmp_root):
+    import gzip
+    import os
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    folder = os.path.join(tmp_root, "landing", "raw", "generation", "year=2026", "month=01")
+    os.makedirs(folder)
+    with gzip.open(os.path.join(folder, "data.json.gz"), "wt") as f:
+        f.write('[{"period": "2026-01", "location": "TX"}, {"period": "2026')
+    q = start_staging_stream(spark, Layout(tmp_root), "generation", f"{tmp_root}/_ckpt")
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(300)
