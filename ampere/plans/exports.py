@@ -40,18 +40,20 @@ def generation_by_category(fact_generation: DataFrame) -> DataFrame:
     return share_of_total(rolled, ["period", "state_id"], "generation_mwh", "generation_share")
 
 
+_TAB_QUERIES = {
+    "fact_retail_prices": lambda mart: mart.select(*RETAIL_EXPORT_COLUMNS),
+    "fact_generation": generation_by_category,
+    "dim_state": lambda mart: mart,
+    "fact_rto_heatmap": lambda mart: mart.select("month", "hour_of_day", "region_id", "region_name", "avg_demand_mwh"),
+    "fact_rto_regional": lambda mart: mart.select("month", "region_id", "region_name", "avg_demand_mwh",
+                                                  "peak_demand_mwh"),
+    "fact_anomaly_leaderboard": lambda mart: mart,
+}
+
+
 def tab_frames(marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The typed result of each tab's export query (before cell formatting)."""
-    return {
-        "fact_retail_prices": marts["fact_retail_prices"].select(*RETAIL_EXPORT_COLUMNS),
-        "fact_generation": generation_by_category(marts["fact_generation"]),
-        "dim_state": marts["dim_state"],
-        "fact_rto_heatmap": marts["fact_rto_heatmap"].select(
-            "month", "hour_of_day", "region_id", "region_name", "avg_demand_mwh"),
-        "fact_rto_regional": marts["fact_rto_regional"].select(
-            "month", "region_id", "region_name", "avg_demand_mwh", "peak_demand_mwh"),
-        "fact_anomaly_leaderboard": marts["fact_anomaly_leaderboard"],
-    }
+    """The typed result of the export query of each mart given (before cell formatting)."""
+    return {tab: query(marts[tab]) for tab, query in _TAB_QUERIES.items() if tab in marts}
 
 
 def sheet_tab(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -151,19 +151,34 @@ from ampere.sources.bindings import (LOAD_TIMES, LOOKBACK_MONTHS, RECORDS,  # no
 DATASETS = ("retail", "generation", "demand")
 
 
-def current_marts(spark, sf_dir) -> dict:
-    stg_r = current_staging(spark, sf_dir, "retail")
-    stg_g = current_staging(spark, sf_dir, "generation")
-    stg_d = current_staging(spark, sf_dir, "demand")
-    fact_r = marts.fact_retail_prices(stg_r)
-    return {
-        "fact_retail_prices": fact_r,
-        "fact_generation": marts.fact_generation(stg_g),
-        "dim_state": marts.dim_state(stg_r),
-        "fact_rto_heatmap": marts.fact_rto_heatmap(stg_d),
-        "fact_rto_regional": marts.fact_rto_regional(stg_d),
-        "fact_anomaly_leaderboard": marts.fact_anomaly_leaderboard(fact_r),
-    }
+_MART_SOURCES = {
+    "fact_retail_prices": ("retail", marts.fact_retail_prices),
+    "fact_generation": ("generation", marts.fact_generation),
+    "dim_state": ("retail", marts.dim_state),
+    "fact_rto_heatmap": ("demand", marts.fact_rto_heatmap),
+    "fact_rto_regional": ("demand", marts.fact_rto_regional),
+    "fact_anomaly_leaderboard": ("fact_retail_prices", marts.fact_anomaly_leaderboard),
+}
+
+
+def current_frames(spark, sf_dir, *names) -> dict:
+    """The staged datasets and marts that are asked for, each planned once."""
+    made: dict = {}
+
+    def frame(name):
+        if name not in made:
+            if name in DATASETS:
+                made[name] = current_staging(spark, sf_dir, name)
+            else:
+                source, mart = _MART_SOURCES[name]
+                made[name] = mart(frame(source))
+        return made[name]
+
+    return {name: frame(name) for name in names}
+
+
+def current_marts(spark, sf_dir, *names) -> dict:
+    return current_frames(spark, sf_dir, *(names or _MART_SOURCES))
 
 
 def q_json_extract_rto(spark, sf_dir):
@@ -233,9 +248,8 @@ def q_generation_by_category(spark, sf_dir):
 
 
 def q_headline(spark, sf_dir):
-    m = current_marts(spark, sf_dir)
-    return published(measures.headline(m["fact_retail_prices"], m["fact_generation"],
-                                       current_staging(spark, sf_dir, "demand")))
+    return published(measures.headline(
+        *current_frames(spark, sf_dir, "fact_retail_prices", "fact_generation", "demand").values()))
 
 
 def q_avg_price_by_state(spark, sf_dir):
@@ -263,12 +277,13 @@ def q_demand_by_operator(spark, sf_dir):
 
 
 def q_validate_marts(spark, sf_dir):
-    return checks.validate_marts(current_marts(spark, sf_dir))
+    return checks.validate_marts(current_marts(
+        spark, sf_dir, "fact_retail_prices", "fact_generation", "fact_rto_regional", "fact_rto_heatmap"))
 
 
 def q_health_report(spark, sf_dir):
-    stg = {d: current_staging(spark, sf_dir, d) for d in DATASETS}
-    return checks.health_report(stg, current_marts(spark, sf_dir))
+    frames = current_frames(spark, sf_dir, *DATASETS, *_MART_SOURCES)
+    return checks.health_report(frames, frames)
 
 
 def q_coverage_months(spark, sf_dir):
@@ -305,13 +320,12 @@ def q_staging_guard(spark, sf_dir):
 
 
 def q_row_counts(spark, sf_dir):
-    tables = {f"staging.{d}": current_staging(spark, sf_dir, d) for d in DATASETS}
-    tables.update({f"marts.{k}": v for k, v in current_marts(spark, sf_dir).items()})
-    return count_report(tables)
+    frames = current_frames(spark, sf_dir, *DATASETS, *_MART_SOURCES)
+    return count_report({f"{'staging' if k in DATASETS else 'marts'}.{k}": v for k, v in frames.items()})
 
 
 def _tab(spark, sf_dir, tab):
-    frames = exports.tab_frames(current_marts(spark, sf_dir))
+    frames = exports.tab_frames(current_marts(spark, sf_dir, tab))
     return exports.sheet_tab(frames[tab], exports.TAB_ORDER[tab])
 
 
