@@ -24,20 +24,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampere.llm.common import fresh
+from ampere.llm.jaccard_join import Hashes
 
 DEPTH = 5
 BLOCK_BYTES = 8 << 20
 SLICE = 4 << 20
+READ = 1 << 19
 WORDS_FROM = 1 << 16
 ADDED = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
-#: The end token; no word holds white space.
-END = xxhash.xxh64_intdigest(b" ")
+#: The end token: the hash of no word.
+END = 0
 
 
 # Texts to grams and words -------------------------------------------------------------
@@ -64,29 +65,37 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[real], lengths
 
 
-class Hashes(dict):
-    """Words to 64-bit hashes."""
+def words_of(texts: list[bytes], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, each text's end after its words, and the
+    number of tokens of each text."""
+    found = hashes.of_bytes(texts)
+    lengths = np.array([len(w) + 1 for w in found], dtype=np.int64)
+    out = np.full(int(lengths.sum()), END, np.uint64)
+    out[np.arange(len(out)) != np.repeat(np.cumsum(lengths) - 1, lengths)] = np.concatenate([*found, np.zeros(0, np.uint64)])
+    return out, lengths
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
-def words_of(text: bytes, hashes: Hashes) -> np.ndarray:
-    """Hashes of the lower-cased words, then that of the end."""
-    found = list(map(hashes.__getitem__, text.lower().split()))
-    found.append(END)
-    return np.array(found, dtype=np.uint64)
 
+def places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key is in ``known``, sorted and distinct, which holds them all. A table of hashes
+    finds most; those that share a slot with another are searched for."""
+    bits = np.uint64(64 - min(24, max(8, len(known).bit_length() + 2)))
+    table = np.zeros(1 << (64 - int(bits)), np.int32)
+    table[(known * _MIX) >> bits] = np.arange(len(known), dtype=np.int32)
+    at = table[(keys * _MIX) >> bits]
+    wrong = np.flatnonzero(known[at] != keys)
+    at[wrong] = np.searchsorted(known, keys[wrong])
+    return at
 
-def _slices(texts: list[bytes]):
+
+def _slices(texts: list[bytes], most: int = SLICE):
     """Consecutive runs of texts of bounded size together."""
     at, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t) + 1 + DEPTH
-        if size >= SLICE:
+        if size >= most:
             yield texts[at:i + 1]
             at, size = i + 1, 0
     if at < len(texts):
@@ -109,7 +118,7 @@ def count_block(texts: list[bytes], train: list[bool]) -> tuple[tuple, tuple]:
         for some in _slices(chosen):
             keys, n = np.unique(grams_of(some)[0], return_counts=True)
             grams.append((keys, n if learn else np.zeros_like(n)))
-            keys, n = np.unique(np.concatenate([words_of(t, hashes) for t in some]), return_counts=True)
+            keys, n = np.unique(words_of(some, hashes)[0], return_counts=True)
             words.append((keys, n if learn else np.zeros_like(n)))
     return _sum_unique(grams), _sum_unique(words)
 
@@ -335,15 +344,15 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
             raise ValueError("a block's answers do not match its grams")
         log_counts, hashes = np.log10(counts + 1), Hashes()
         n_tokens, n_known, base, model = [], [], [], []
-        for some in _slices(texts):
+        for some in _slices(texts, READ):
             keys, lengths = grams_of(some)
-            values = logs[np.searchsorted(grams, keys)].astype(np.float64)
-            model += np.add.reduceat(values, np.concatenate([[0], np.cumsum(lengths)[:-1]])).tolist()
-            for t in some:
-                at = np.searchsorted(vocabulary, words_of(t, hashes))
-                n_tokens.append(len(at))
-                n_known.append(int((counts[at] > 0).sum()))
-                base.append(float(log_counts[at].sum()))
+            values = logs[places(grams, keys)].astype(np.float64)
+            model += np.add.reduceat(values, np.cumsum(lengths) - lengths).tolist()
+            tokens, lengths = words_of(some, hashes)
+            at, first = places(vocabulary, tokens), np.cumsum(lengths) - lengths
+            n_tokens += lengths.tolist()
+            n_known += np.add.reduceat((counts[at] > 0).astype(np.int64), first).tolist()
+            base += np.add.reduceat(log_counts[at], first).tolist()
         return pa.table([*(table.column(c) for c in kept), pa.array(n_tokens, pa.int64()),
                          pa.array(n_known, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
                          pa.array(base, pa.float64()), pa.array(model, pa.float64())], names=figures.names)

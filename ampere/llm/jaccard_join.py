@@ -85,6 +85,9 @@ class Hashes:
 
     def of_texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """Hashes of the words of each text, in order."""
+        return self.of_bytes([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+
+    def of_bytes(self, texts: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         held, size = [], 0
 
@@ -93,8 +96,7 @@ class Hashes:
             cut = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in held])[:-1])
             out.extend(np.split(h, cut))
 
-        for t in texts:
-            raw = (t or "").encode("utf-8", "surrogatepass")
+        for raw in texts:
             if held and size + len(raw) + 1 > CHUNK:
                 flush()
                 held, size = [], 0

@@ -10,7 +10,7 @@ ways: the best nodes seen that are not yet opened give their neighbours as new c
 all queries moving together in joins, until no node of the beam is unopened.
 
 The beam is not fixed, as a larger table needs a wider one: ``PROBES`` of the queries are
-compared with all nodes (one pass), walk first, and their beam widens by half until they find
+compared with all nodes (one pass), walk first, and their beam widens by a fifth until they find
 the share ``RECALL`` of their true neighbours or have opened all they can reach. All others
 walk with the beam found. Graph and walk compare 32-bit floats, scaled by one factor for the
 whole table; scores returned are computed on the original vectors in doubles.
@@ -24,8 +24,6 @@ all are reached up to one block.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -38,6 +36,9 @@ CUTS = 4
 BLOCK = 512
 CHANGED = 0.02
 BEAM = 96
+#: Nodes a query opens at a time, and the part by which too narrow a beam widens.
+OPEN = 16
+WIDEN = 5
 PROBES = 200
 RECALL = 0.93
 
@@ -162,12 +163,6 @@ def _round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return _top(every, k).select("u", "v", "s", "new")
 
 
-def _release(spark) -> None:
-    """Shuffle files of steps that are over go now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def build(nodes: DataFrame, n: int, k: int, scratch: Scratch) -> DataFrame:
     """(u, v, s, new): the k neighbours of every node."""
     first = first_graph(nodes, n, k).groupBy("u", "v").agg(F.max("s").alias("s"))
@@ -178,7 +173,6 @@ def build(nodes: DataFrame, n: int, k: int, scratch: Scratch) -> DataFrame:
         scratch.drop(graph)
         graph = new
         changed = graph.agg(F.avg(F.col("new").cast("double"))).first()[0]
-        _release(nodes.sparkSession)
     return graph
 
 
@@ -209,7 +203,7 @@ def walk(seen: DataFrame, walkers: DataFrame, links: DataFrame, nodes: DataFrame
     while True:
         best = _top(seen, beam, "q", "node")
         now = scratch.write(best.filter(~F.col("opened")).withColumn("o", F.row_number().over(opening)).filter(
-            F.col("o") <= max(1, beam // 4)).select("q", "node"))
+            F.col("o") <= OPEN).select("q", "node"))
         if now.isEmpty():
             scratch.drop(now)
             return seen
@@ -221,7 +215,6 @@ def walk(seen: DataFrame, walkers: DataFrame, links: DataFrame, nodes: DataFrame
         grown = scratch.write(grown if keep else _top(grown, beam, "q", "node").select("q", "node", "s", "opened"))
         scratch.drop(seen, now)
         seen = grown
-        _release(nodes.sparkSession)
 
 
 def nearest(probes: list, nodes: DataFrame, k: int) -> DataFrame:
@@ -265,7 +258,7 @@ def beam_needed(walkers: DataFrame, links: DataFrame, nodes: DataFrame, k: int,
         if hits >= RECALL * true or seen.filter(~F.col("opened")).isEmpty():
             scratch.drop(seen, few, truth)
             return beam
-        beam += beam // 2
+        beam += beam // WIDEN
 
 
 def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str = "embedding",
