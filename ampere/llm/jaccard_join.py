@@ -37,7 +37,7 @@ WORDS = 5
 #: Similarity in hundredths.
 SIMILAR = 80
 HOT_LIST = 1 << 20
-HOT_CHUNK = 4_000_000
+HOT_CHUNK = 2_000_000
 REGION = 2048
 SPARE = 20
 STAR_ROUNDS = 2
@@ -403,7 +403,9 @@ def _regions(b: DataFrame, sets: DataFrame, scratch: Scratch, similar: int) -> D
 
     def run(key, table):
         cls, label = table.column("cls").to_pylist(), table.column("label").to_pylist()
-        found = [np.sort(np.array(x, np.int64).view(np.uint64)) for x in table.column("set").to_pylist()]
+        held = table.column("set").combine_chunks()
+        ends = np.cumsum(held.value_lengths().to_numpy())
+        found = [np.sort(x) for x in np.split(held.flatten().to_numpy().view(np.uint64), ends[:-1])]
         links = join_region(found, label, similar)
         return pa.table({"a": pa.array([cls[x] for x, _ in links], pa.int64()),
                          "b": pa.array([cls[y] for _, y in links], pa.int64())})
@@ -418,8 +420,12 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", similar: int
     classes = rows.filter("n > 0").groupBy("cls").agg(
         F.min("id").alias("id"), F.any_value("n").alias("n")).withColumn("rep", _id_hash(F.col("id")))
     classes = scratch.write(classes)
-    b = _buckets(rows.filter("n > 0")).join(classes.select("cls", "n", F.col("cls").alias("label")), "cls")
-    first = scratch.write(b)
+    # The prefixes are the bulk: they go as soon as the buckets of several classes are written.
+    buckets = scratch.write(_buckets(rows.filter("n > 0")))
+    rows, prefixes = scratch.write(rows.select("id", "n", "cls")), rows
+    scratch.drop(prefixes)
+    first = scratch.write(buckets.join(classes.select("cls", "n", F.col("cls").alias("label")), "cls"))
+    scratch.drop(buckets)
     b = _several(first, scratch, similar)
     scratch.drop(first)
     wanted = classes.join(b.select("cls").distinct(), "cls", "left_semi")
