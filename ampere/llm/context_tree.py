@@ -8,7 +8,8 @@ context that training never saw is a leaf at its deepest known suffix. A text is
 from an empty past and ends with a zero byte, so its probability is that of the whole text.
 
 How it runs: texts are dealt into blocks of bounded size. A block sends its distinct
-(context, byte) grams, with their training counts, to the subtree of their last two bytes;
+(context, byte) grams, with their training counts, to the subtree of their last two bytes,
+where more than ``FAN`` blocks are merged group by group first;
 subtrees are weighted bottom up, meet per last byte and at the root, and send each block
 the code lengths of its own grams, which then sum up to scores. Word counts for the base
 score travel the same way. What is gathered grows with the corpus; nothing of it passes
@@ -33,6 +34,8 @@ from ampere.llm.jaccard_join import Hashes
 
 DEPTH = 5
 BLOCK_BYTES = 8 << 20
+#: Lists of grams that meet in one task at most; more blocks are merged by a tree.
+FAN = 256
 SLICE = 4 << 20
 READ = 1 << 19
 WORDS_FROM = 1 << 16
@@ -224,10 +227,11 @@ def combine(rows: list[tuple]) -> tuple:
 
 # The Spark job ------------------------------------------------------------------------
 
-def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int = BLOCK_BYTES,
+          fan: int = FAN) -> DataFrame:
     """Every row, without its text, with token figures, base score and model score (log10).
 
-    ``train`` marks the rows to learn from.
+    ``train`` marks the rows to learn from; at most ``fan`` lists of grams meet in one task.
     """
     # Plain names inside, so that no column of the input can clash with one made here.
     outer, flag = docs.columns, fresh(docs.columns, "_train")
@@ -272,6 +276,20 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
             [np.frombuffer(x, np.int64) for x in table.column("n").to_pylist()]), minlength=len(every))
         return words, every, n, place, [len(k) for k in keys]
 
+    def merge(key, table):
+        words, every, n, _, _ = gathered(table)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
+                         "keys": pa.array([every.tobytes()], pa.binary()),
+                         "n": pa.array([n.astype(np.int64).tobytes()], pa.binary())})
+
+    # A tree over the blocks: what many blocks share is merged before it meets in one task.
+    group = F.expr(f"block div {fan}").cast("int").alias("merged_block")
+    levels, left = [parts], blocks
+    while left > fan:
+        left = -(-left // fan)
+        levels.append(levels[-1].groupBy("part", group).applyInArrow(
+            merge, "part int, block int, keys binary, n binary"))
+
     def build(key, table):
         words, every, n, _, _ = gathered(table)
         if words:
@@ -286,7 +304,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
                          "n0": cells[0], "n1": cells[1], "lw": cells[2],
                          "tokens": pa.array([tokens], pa.int64()), "vocabulary": pa.array([distinct], pa.int64())})
 
-    summary = parts.groupBy("part").applyInArrow(
+    summary = levels[-1].groupBy("part").applyInArrow(
         build, "part int, last int, n0 binary, n1 binary, lw binary, tokens long, vocabulary long")
     totals = summary.filter("last < 0").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("train_tokens"),
@@ -317,14 +335,26 @@ def score(docs: DataFrame, train: Column, text: str = "text", block_bytes: int =
             above = [tuple(_doubles(x[c]) for c in ("n0", "n1", "share"))
                      for x in (tops.column("level1")[0].as_py(), tops.column("root")[0].as_py())]
             values = Subtree(every, n).log10_bytes(every, above)
-        values = values[place].astype(np.float64 if words else np.float32)
+        return dealt(table, values.astype(np.float64 if words else np.float32)[place], lengths)
+
+    def dealt(table, values, lengths):
         cut = np.concatenate([[0], np.cumsum(lengths)])
         return pa.table({"block": table.column("block"), "part": table.column("part"),
                          "values": pa.array([values[a:b].tobytes() for a, b in
                                              zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
-    answers = parts.groupBy("part").cogroup(top.groupBy("part")).applyInArrow(
+    def spread(key, table, answered):
+        words, every, _, place, lengths = gathered(table)
+        values = np.frombuffer(answered.column("values")[0].as_py(), np.float64 if words else np.float32)
+        if len(values) != len(every):
+            raise ValueError("merged answers do not match their grams")
+        return dealt(table, values[place], lengths)
+
+    answers = levels[-1].groupBy("part").cogroup(top.groupBy("part")).applyInArrow(
         answer, "block int, part int, values binary")
+    for lower in reversed(levels[:-1]):
+        answers = lower.groupBy("part", group).cogroup(answers.groupBy("part", "block")).applyInArrow(
+            spread, "block int, part int, values binary")
 
     figures = T.StructType([
         *(f for f in source.schema.fields if f.name in kept),

@@ -80,15 +80,15 @@ def brute(texts, train):
     return scores, base, n, [(len(ws), sum(c[w] > 0 for w in ws)) for ws in tokens]
 
 
-@pytest.mark.parametrize("block", [1 << 20, 150])
-def test_equals_the_recursion(spark, block):
+@pytest.mark.parametrize("block,fan", [(1 << 20, 256), (150, 256), (150, 3)])
+def test_equals_the_recursion(spark, block, fan):
     r = random.Random(2)
     words = ["the", "The", "cat", "ñu", "sat", "on", "a\tmat", "hat.\n"]
     texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 25))) for _ in range(40)] + [None, "", "zzz \0 q"]
     train = [i % 3 != 0 for i in range(len(texts))]
     df = spark.createDataFrame([(i % 30, t, x, i) for i, (t, x) in enumerate(zip(texts, train, strict=True))],
                                "doc_id long, text string, learn boolean, row int").withColumn("v", F.lit(1)).withColumn("score", F.lit("x"))
-    got = {x.row: x for x in context_tree.score(df, F.col("learn"), block_bytes=block).collect()}
+    got = {x.row: x for x in context_tree.score(df, F.col("learn"), block_bytes=block, fan=fan).collect()}
     scores, base, n, tokens = brute([(t or "").encode() for t in texts], train)
     assert len(got) == len(texts)
     for i in range(len(texts)):
