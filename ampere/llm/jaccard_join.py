@@ -393,8 +393,15 @@ def join_region(sets: list[np.ndarray], labels: list, similar: int = SIMILAR) ->
 def _regions(b: DataFrame, sets: DataFrame, scratch: Scratch, similar: int) -> DataFrame:
     """Edges between the components left, region by region."""
     pivots = b.groupBy("s").agg(F.min("cls").alias("region"))
-    member = b.join(pivots, "s").select("region", "cls", "label").distinct()
-    sizes = member.groupBy("region").agg(F.count(F.lit(1)).alias("c"))
+    member = b.join(pivots, "s").groupBy("region", "cls").agg(
+        F.count(F.lit(1)).alias("w"), F.any_value("n").alias("n"), F.any_value("label").alias("label"))
+    # Linked classes share as many buckets as either of them needs. While each leaves regions with
+    # less than half of its need, in buckets, they still meet in one that both have kept.
+    need = 1 + F.floor(F.ceil(F.col("n") * similar / 100) / SPARE)
+    light = Window.partitionBy("cls").orderBy("w", "region").rowsBetween(Window.unboundedPreceding, 0)
+    member = member.withColumn("sum", F.sum("w").over(light)).filter(
+        F.col("sum") > F.floor((need - 1) / 2)).select("region", "cls", "label")
+    sizes = member.groupBy("region").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     member = member.join(sizes, "region").withColumn("k", F.ceil(F.col("c") / REGION))
     # Block pairs (i <= j); a class of block i is in every pair with i.
     member = member.withColumn("i", F.pmod(F.xxhash64("cls"), F.col("k"))).withColumn(

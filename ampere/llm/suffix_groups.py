@@ -365,15 +365,16 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     Adds n_bytes, n_removed, n_spans, spans and kept_bytes; with ``digest`` the SHA-256 of
     the bytes kept instead of the last two.
     """
-    scratch = Scratch(docs.sparkSession, "suffix")
-    found = scratch.write(repeated(docs, id, text, length, scratch))
+    scratch, work = Scratch(docs.sparkSession, "suffix"), Scratch(docs.sparkSession, "suffix-work")
+    found = scratch.write(repeated(docs, id, text, length, work))
+    work.clear()
     names = [*docs.columns, *ADDED]
-    work, key, mine = (fresh(names, x) for x in ("_raw", "_t", "_spans"))
+    raw, key, mine = (fresh(names, x) for x in ("_raw", "_t", "_spans"))
     source = docs.select(*without(docs, [x for x in ADDED]), F.xxhash64(F.col(f"`{text}`")).alias(key),
-                         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias(work))
-    kept = [c for c in source.columns if c not in (key, work)]
+                         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias(raw))
+    kept = [c for c in source.columns if c not in (key, raw)]
     joined = source.join(found.withColumnRenamed("t", key).withColumnRenamed("spans", mine), key, "left").select(
-        *(F.col(f"`{c}`") for c in kept), work, mine)
+        *(F.col(f"`{c}`") for c in kept), raw, mine)
     span = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("e", T.LongType())]))
     schema = T.StructType([
         *(f for f in source.schema.fields if f.name in kept), T.StructField("n_bytes", T.LongType()),
