@@ -33,7 +33,7 @@ from ampere.llm.common import fresh, without
 
 CHUNK = 1 << 18
 OVERLAP = 1 << 10
-CACHED_PIECES = 400_000
+CACHED_PIECES = 160_000
 ROWS = 512
 #: No pre-token decision looks further than this beyond the end of a match.
 LOOK = 4
