@@ -53,14 +53,14 @@ from ampere.llm.common import shuffle_files_removed
 END = 2
 SHARD = 1 << 19
 #: Bytes of text per range of documents, and the largest number of ranges (more: longer ranges).
-PART = 1 << 25
+PART = 1 << 26
 PARTS = 20_000
 #: A pair is frequent from so many occurrences; a round goes down to this part of the top.
 FREQUENT = 16
 STEP = 64
 #: A grammar is done when a round would shorten its sequence by less than this part.
-GAIN = 0.01
-CACHED_PIECES = 500_000
+GAIN = 0.02
+CACHED_PIECES = 800_000
 LONGEST_PIECE = 1 << 16
 ROWS = 256
 
@@ -94,6 +94,7 @@ class Pieces(dict):
             r" [A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^ ]+| ").findall
         self.byte_letters = _byte_letters()
         self.space = self.byte_letters[32]
+        self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -104,7 +105,7 @@ class Pieces(dict):
             if not word.isascii():  # one pre-token: to the library's model at once
                 word = word.encode().decode("latin-1").translate(self.byte_letters)
             ids = [t.id for t in self.model.tokenize(self.space + word)]
-            packed = struct.pack(f"<{len(ids)}I", *ids)
+            packed = self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, "<u4").tobytes()
         else:
             packed = None if piece[-1].isspace() or len(piece) > LONGEST_PIECE else self.whole(piece)
         self[piece] = packed
@@ -233,7 +234,8 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
     begin[rule] = start[symbols[rule] - base]
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    return table[np.repeat(begin - ends + size, size) + np.arange(total)]
+    kind = np.int32 if total + len(table) < 1 << 31 else np.int64  # half the memory to move
+    return table[np.repeat((begin - ends + size).astype(kind), size) + np.arange(total, dtype=kind)]
 
 
 def slice_of(symbols, rules, lengths, base, covered: np.ndarray, start: int, stop: int) -> np.ndarray:
