@@ -41,6 +41,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,8 @@ from ampere.llm.common import shuffle_files_removed
 
 END = 2
 SHARD = 1 << 19
-#: Bytes of text per range of documents, and the largest number of ranges (more: longer ranges).
-PART = 1 << 26
+#: Documents per range, and the largest number of ranges (more: longer ranges).
+PART = 20_000
 PARTS = 20_000
 #: A pair is frequent from so many occurrences; a round goes down to this part of the top.
 FREQUENT = 16
@@ -67,6 +68,9 @@ ROWS = 256
 
 # ------------------------------------------------------------------ encoding
 
+_id = attrgetter("id")
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in a byte-level vocabulary: the byte's own
     Latin-1 character if that shows, else the next one from U+0100 on."""
@@ -104,7 +108,7 @@ class Pieces(dict):
         if piece[0] == " " and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
             if not word.isascii():  # one pre-token: to the library's model at once
                 word = word.encode().decode("latin-1").translate(self.byte_letters)
-            ids = [t.id for t in self.model.tokenize(self.space + word)]
+            ids = list(map(_id, self.model.tokenize(self.space + word)))
             packed = self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, "<u4").tobytes()
         else:
             packed = None if piece[-1].isspace() or len(piece) > LONGEST_PIECE else self.whole(piece)
@@ -259,8 +263,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
     with open(vocabulary, encoding="utf-8") as f:  # a fixed file of a few megabytes
         table = spark.sparkContext.broadcast(f.read())
     last = np.array([end], "<u4").tobytes()
-    total = docs.select(F.sum(F.coalesce(F.octet_length(docs[f"`{text}`"]), F.lit(0)) + 8).alias("n")).first().n or 0
-    parts = max(1, min(PARTS, -(-total // part)))
+    parts = max(1, min(PARTS, -(-docs.count() // part)))
     rows = docs.select(docs[f"`{id}`"].alias("id"), docs[f"`{text}`"].alias("text"))
     # Equal ids are told apart by their texts, equal rows by their place: no range is one key.
     order = ["id", "tie", "row"]

@@ -90,7 +90,7 @@ def test_files_hold_all_documents_in_order(spark, tmp_root, library):
     r.shuffle(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     path = f"{tmp_root}/files"
-    repair.write(df, path, VOCABULARY, shard=700, part=3000, frequent=3)
+    repair.write(df, path, VOCABULARY, shard=700, part=60, frequent=3)
     files = spark.read.parquet(path)
     assert files.select("part").distinct().count() > 3 and files.count() > 10
     assert files.filter((F.size("ids") > 1) & (F.col("n_tokens") > 700)).isEmpty()
@@ -104,7 +104,7 @@ def test_files_hold_all_documents_in_order(spark, tmp_root, library):
 def test_repeated_rows_null_ids_and_empty_tables(spark, tmp_root, library):
     docs = [(3, "same text here")] * 50 + [(None, "no id"), (3, "other"), (1, "first")]
     df = spark.createDataFrame([(*d, "c", 1) for d in docs], "doc_id long, text string, ids string, n int")
-    repair.write(df, f"{tmp_root}/a", VOCABULARY, shard=20, part=40)
+    repair.write(df, f"{tmp_root}/a", VOCABULARY, shard=20, part=10)
     got = repair.read(spark, f"{tmp_root}/a").collect()
     by_start = sorted(got, key=lambda r: r.start)
     assert [r.doc_id for r in by_start] == [None, 1] + [3] * 51
