@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampere.llm.common import fresh, without
+from ampere.llm.common import fresh, small_batches, without
 
 CHUNK = 1 << 18
 OVERLAP = 1 << 10
@@ -169,7 +169,7 @@ def _encoded(df: DataFrame, column: str, ranks, pattern: str) -> DataFrame:
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
            ids: str = "ids", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Every row with its ids; see the module's text."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     with open(ranks_path, "rb") as f:  # the vocabulary is a fixed file of under a megabyte
         ranks = spark.sparkContext.broadcast(f.read())
     keep = [c for c in docs.columns if c.lower() != ids.lower()]

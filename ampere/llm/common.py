@@ -33,6 +33,18 @@ def without(df: DataFrame, names) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in drop]
 
 
+#: Rows of an Arrow batch. Rows hold texts here: ten thousand of them, the default, would be held
+#: several times over outside the heap of each executor.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.sparkContext.getConf().get(key, None) is None:  # the cluster's own setting stays
+        spark.conf.set(key, BATCH_ROWS)
+    return spark
+
+
 class Scratch:
     """Intermediate tables in the shared checkpoint folder.
 
@@ -43,7 +55,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
+        self.spark, self.root, self.n = small_batches(spark), scratch_path(spark, name), 0
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
