@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,7 +96,12 @@ def scratch_folders() -> set[str]:
 
 
 def release(spark: SparkSession, folders: set[str], *still_read: DataFrame) -> None:
-    """Remove scratch folders, but those that one of the tables is still read from."""
+    """Remove scratch folders, but those that one of the tables is still read from.
+
+    The driver collects its garbage too: plans and broadcasts of what is over are held by it
+    until it does, which a long run of many small jobs may put off (classic sessions only)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     files = [f for df in still_read for f in df.inputFiles()]
     for folder in folders & set(_SCRATCH):
         name = folder.rsplit("/", 1)[1]  # unique; schemes may be spelt in several ways
