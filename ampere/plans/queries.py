@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ampere.functions.casts import published
 from ampere.operators.upsert import upsert
 from ampere.plans import marts, staging
-from ampere.session import configure
+from ampere.session import configure, held
 from ampere.sources.bindings import raw_history, raw_load
 
 # ---------------------------------------------------------------- staging states
@@ -34,9 +34,11 @@ KEYS = {"retail": staging.RETAIL_KEYS, "generation": staging.GENERATION_KEYS,
 
 
 def current_staging(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    """Staging after two runs: the full-history load, then the re-pulled window."""
-    return upsert(staged(spark, sf_dir, dataset, "backfill"),
-                  staged(spark, sf_dir, dataset, "revision"), KEYS[dataset])
+    """Staging after two runs: the full-history load, then the re-pulled window.
+
+    The window's batch is read twice, for its keys and for its rows, so it is held."""
+    batch = held(staged(spark, sf_dir, dataset, "revision"), "batch")
+    return upsert(staged(spark, sf_dir, dataset, "backfill"), batch, KEYS[dataset])
 
 
 def q_stg_retail(spark, sf_dir):
@@ -162,13 +164,15 @@ _MART_SOURCES = {
 
 
 def current_frames(spark, sf_dir, *names) -> dict:
-    """The staged datasets and marts that are asked for, each planned once."""
+    """The staged datasets and marts that are asked for, each planned once.
+
+    A staged dataset is held: several marts read it, and a global sort reads its input twice."""
     made: dict = {}
 
     def frame(name):
         if name not in made:
             if name in DATASETS:
-                made[name] = current_staging(spark, sf_dir, name)
+                made[name] = held(current_staging(spark, sf_dir, name), "staged")
             else:
                 source, mart = _MART_SOURCES[name]
                 made[name] = mart(frame(source))

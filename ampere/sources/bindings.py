@@ -94,7 +94,8 @@ def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                    "o_orderpriority")
     if load == "revision":
         orders = _window_filter(orders, "o_orderdate", lookback)
-    orders = orders.withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+    # The month travels as a date; its text is made once per record, not once per order.
+    orders = orders.withColumn("month", F.trunc("o_orderdate", "MM")).drop("o_orderdate")
     line = table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount",
                  "l_quantity")
     if load == "revision":
@@ -110,19 +111,23 @@ def retail_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                                                F.sum("l_quantity").alias("qty"))
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    # Orders are shuffled once, by customer and month, and each then counts for its priority and
+    # for all: rows are doubled after the shuffle, and a customer's are counted where they lie.
     base = (per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+            .select("month", "o_custkey", "o_orderpriority", "amount", "qty")
+            .repartition("o_custkey", "month")
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("period", "n_nationkey", "n_name", "o_orderpriority", "o_custkey",
-                    "amount", "qty"))
-    keys = ["period", "n_nationkey", "n_name", "o_orderpriority"]
-    agg = base.groupingSets([keys, keys[:3]], *keys).agg(
-        F.sum("amount").alias("amount"), F.sum("qty").alias("qty"),
-        F.countDistinct("o_custkey").alias("customers"),
-        F.grouping("o_orderpriority").alias("g"))
-    is_all = F.col("g") == 1
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
+    sectors = F.array(F.struct(F.lit(False).alias("is_all"), "o_orderpriority"),
+                      F.struct(F.lit(True).alias("is_all"), F.lit(None).cast("string").alias("o_orderpriority")))
+    keys = ["month", "n_nationkey", "n_name", "is_all", "o_orderpriority"]
+    agg = (base.select("month", "n_nationkey", "n_name", "o_custkey", "amount", "qty", F.inline(sectors))
+           .groupBy(*keys, "o_custkey").agg(F.sum("amount").alias("amount"), F.sum("qty").alias("qty"))
+           .groupBy(*keys).agg(F.sum("amount").alias("amount"), F.sum("qty").alias("qty"),
+                               F.count("o_custkey").alias("customers")))
+    is_all = F.col("is_all")
     return agg.select(
-        "period",
+        F.date_format("month", "yyyy-MM").alias("period"),
         _state_code("n_nationkey").alias("stateid"),
         F.col("n_name").alias("stateDescription"),
         F.when(is_all, F.lit("ALL")).otherwise(F.col("o_orderpriority")).alias("sectorid"),
@@ -142,16 +147,17 @@ def generation_records(spark: SparkSession, sf_dir: str, load: str = "backfill",
                  "l_discount", "l_shipdate")
     if load == "revision":
         line = _window_filter(line, "l_shipdate", lookback)
-    line = line.withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    # Grouped by the month as a date, whose text is made once per record, not once per line.
+    line = line.withColumn("month", F.trunc("l_shipdate", "MM"))
     codes = F.array(*[F.lit(c) for c in BOUND_FUEL_CODES])
     line = line.withColumn("fueltypeid", F.element_at(codes, (F.pmod("l_partkey", F.lit(20)) + 1)
                                                       .cast("int")))
     qty = _gross("l_quantity") if load == "backfill" else _net("l_quantity", "l_discount")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     joined = line.join(supp, line.l_suppkey == supp.s_suppkey)
-    agg = joined.groupBy("period", "s_nationkey", "fueltypeid").agg(F.sum(qty).alias("gen"))
+    agg = joined.groupBy("month", "s_nationkey", "fueltypeid").agg(F.sum(qty).alias("gen"))
     return agg.select(
-        "period",
+        F.date_format("month", "yyyy-MM").alias("period"),
         _state_code("s_nationkey").alias("location"),
         "fueltypeid",
         F.concat(F.lit("fuel "), F.lower("fueltypeid")).alias("fuelTypeDescription"),
