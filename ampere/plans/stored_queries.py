@@ -19,7 +19,7 @@ from ampere.operators.merge import EFFECT, effect_counts, merge
 from ampere.operators.upsert import upsert
 from ampere.plans import checks, exports, legacy, marts, measures, runs
 from ampere.plans import publish as publishing
-from ampere.session import configure, scratch_path
+from ampere.session import configure, held, scratch_path
 from ampere.sources import landing
 from ampere.sources.bindings import RECORDS, payload_records, raw_load
 from ampere.sources.dirty import DIRTY, dirty_raw
@@ -123,7 +123,8 @@ def dirty_staged(spark, sf_dir, dataset, load="backfill"):
 
 
 def dirty_current(spark, sf_dir, dataset):
-    return upsert(*(dirty_staged(spark, sf_dir, dataset, load) for load in LOADS), runs.KEYS[dataset])
+    target, source = (dirty_staged(spark, sf_dir, dataset, load) for load in LOADS)
+    return upsert(target, held(source, "batch"), runs.KEYS[dataset])  # read for its keys and its rows
 
 
 def q_dirty_staging(dataset):

@@ -39,13 +39,26 @@ def _nulled(c: str, cond: Column) -> Column:
     return F.when(~cond, F.col(c))
 
 
-def _with_copies(df: DataFrame, name: str, value: str) -> DataFrame:
-    """Two more copies of every eleventh record in the same load, and periodless ones."""
-    twice = _every("k", 11)
-    best = df.filter(twice).withColumn(name, F.concat(F.lit("~"), name)).withColumn(value, F.col(value) + 1)
-    last = df.filter(twice).withColumn(name, F.lit(None).cast("string")).withColumn(value, F.col(value) + 2)
-    lost = df.filter(_every("k", 13)).withColumn("period", F.lit(None).cast("string"))
-    return df.unionByName(best).unionByName(last).unionByName(lost)
+def _with_copies(df: DataFrame, name: str, value: str, load: str) -> DataFrame:
+    """Two more copies of every eleventh record in the same load, and periodless ones; every
+    nineteenth record is in the re-pull only.
+
+    Each record gives an array of its copies, so the records are computed once, and no
+    condition on them is pushed below their aggregation, to be tested for every order."""
+    none = F.lit(None).cast("string")
+
+    def row(**changed):
+        return F.struct(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns))
+
+    best = row(**{name: F.concat(F.lit("~"), name), value: F.col(value) + 1})
+    last = row(**{name: none, value: F.col(value) + 2})
+    twice, lost = _every("k", 11), _every("k", 13)
+    no_rows = F.array().cast(f"array<{df.schema.simpleString()}>")
+    rows = F.concat(F.array(row()), F.when(twice, F.array(best, last)).otherwise(no_rows),
+                    F.when(lost, F.array(row(period=none))).otherwise(no_rows))
+    if load == "backfill":
+        rows = F.when(~_every("k", 19, 4), rows).otherwise(no_rows)
+    return df.select(F.inline(rows))
 
 
 def _number(c: str, bad: Column) -> Column:
@@ -56,15 +69,13 @@ def _number(c: str, bad: Column) -> Column:
 
 def dirty_retail(spark: SparkSession, sf_dir: str, load: str = "backfill", lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     df = retail_records(spark, sf_dir, load, lookback).withColumn("k", _key("stateid", "sectorid"))
-    if load == "backfill":
-        df = df.filter(~_every("k", 19, 4))
     nation = F.col("stateid").cast("int")
     renamed = (nation == RENAMED_NATION) & (F.col("period") >= RENAMED_SINCE)
     df = (df.withColumn("stateDescription", F.when(renamed, F.concat(F.lit("NEW "), "stateDescription"))
                         .otherwise(F.col("stateDescription")))
             .withColumn("stateid", F.when(nation == LONG_NATION, LONG_ID).otherwise(F.col("stateid")))
             .withColumn("stateid", _nulled("stateid", _every("k", 17, 1))))
-    df = _with_copies(df, "sectorName", "price")
+    df = _with_copies(df, "sectorName", "price", load)
     return (df.withColumn("price", _number("price", _every("k", 7, 2)))
               .withColumn("sales", _number("sales", _every("k", 23, 5)))
               .withColumn("customers", F.when(_every("k", 7, 3), F.concat(F.col("customers").cast("string"), F.lit(".0")))
@@ -74,11 +85,9 @@ def dirty_retail(spark: SparkSession, sf_dir: str, load: str = "backfill", lookb
 def dirty_generation(spark: SparkSession, sf_dir: str, load: str = "backfill",
                      lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     df = generation_records(spark, sf_dir, load, lookback).withColumn("k", _key("location", "fueltypeid"))
-    if load == "backfill":
-        df = df.filter(~_every("k", 19, 4))
     df = (df.withColumn("location", _nulled("location", _every("k", 29, 2)))
             .withColumn("fueltypeid", _nulled("fueltypeid", _every("k", 17, 1))))
-    df = _with_copies(df, "fuelTypeDescription", "generation")
+    df = _with_copies(df, "fuelTypeDescription", "generation", load)
     return df.withColumn("generation", _number("generation", _every("k", 7, 2))).drop("k")
 
 

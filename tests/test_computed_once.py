@@ -5,8 +5,10 @@ from datetime import datetime
 import pytest
 
 from ampere.plans.queries import current_frames
+from ampere.plans.stored_queries import dirty_current
 from ampere.session import held
 from ampere.sources.bindings import generation_records, retail_records
+from ampere.sources.dirty import dirty_generation, dirty_retail
 from tests.conftest import rows
 
 DAY = datetime(1995, 3, 14, 5, 6)
@@ -55,6 +57,15 @@ def test_generation_by_month_and_code(spark, small):
                    ("1995-03", "02", "ALL"): 16.0, ("1995-03", "02", "STH"): 16.0, (None, "01", "ALL"): 2.0}
 
 
+@pytest.mark.parametrize("records", [dirty_retail, dirty_generation])
+def test_records_with_defects_are_computed_once(spark, small, records):
+    df = records(spark, small)
+    assert plan(df).count("lineitem.parquet") == 1
+
+
+def test_the_batch_of_an_upsert_is_not_planned_again(spark, small):
+    p = plan(dirty_current(spark, small, "generation"))
+    assert p.count("lineitem.parquet") == 1  # the first load; the second is read from its scratch table
 
 
 def test_marts_read_the_held_staging(spark, small):
