@@ -12,6 +12,9 @@ upserts are idempotent, and staging and mart versions become visible only when w
 Counts and latest periods are gathered by the jobs that write the layers: the effect of a
 batch and a mart's rows by ``observe``, a table's months in its manifest. Reports read
 those, not the tables.
+
+The datasets do not depend on each other, and most jobs of a step are small, so a step takes
+them side by side.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from ampere.operators.quality import FAIL, PASS, nonempty_report, require, statu
 from ampere.plans import checks, exports, marts, staging
 from ampere.plans import publish as publishing
 from ampere.schemas import STAGING as STAGING_SCHEMAS
-from ampere.session import configure, remove_path, scratch_path
+from ampere.session import configure, remove_path, scratch_path, side_by_side
 from ampere.sources import landing, versions
 from ampere.sources.bindings import (LOAD_TIMES, LOOKBACK_MONTHS, RECORDS, payload_records)
 
@@ -68,11 +71,15 @@ def ingest(records: Mapping[str, DataFrame], layout: Layout, end_day: date | Non
     """Land each dataset's pull, one folder per month; empty months are not written.
 
     ``end_day`` is the last day whose hours an hourly pull asks for; later ones are not landed."""
-    for dataset, recs in records.items():
+    def land(dataset: str) -> None:
+        recs = records[dataset]
         if dataset == "demand" and end_day is not None:
             recs = hourly_pull(recs, end_day)
         landing.write_landing(payload_records(recs, dataset), layout.landing, dataset)
 
+    if records:
+        side_by_side(next(iter(records.values())).sparkSession, land, records)
+
 
 def hourly_pull(records: DataFrame, end_day: date) -> DataFrame:
     """Hourly records of each month up to the end of that month or of ``end_day``.
@@ -85,13 +92,13 @@ def hourly_pull(records: DataFrame, end_day: date) -> DataFrame:
 def load_raw(spark: SparkSession, layout: Layout, months: Sequence[date] | None,
              ingested_at: str, datasets: Sequence[str] = tuple(TABLES)) -> DataFrame:
     """Replace each raw table with the landed months of this run; returns the rows written."""
-    totals = []
-    for dataset in datasets:
+    def load(dataset: str) -> tuple[str, int]:
         count = Observation()
         raw = landing.load_raw(spark, layout.landing, dataset, months, ingested_at)
         raw.observe(count, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(layout.raw(dataset))
-        totals.append((dataset, count.get["n"]))
-    return spark.createDataFrame(totals, "dataset string, rows long")
+        return dataset, count.get["n"]
+
+    return spark.createDataFrame(side_by_side(spark, load, datasets), "dataset string, rows long")
 
 
 # ---------------------------------------------------------------- staging
@@ -132,12 +139,14 @@ def run_staging(spark: SparkSession, layout: Layout,
                 datasets: Sequence[str] = tuple(TABLES)) -> DataFrame:
     """Stage each raw table, upsert it, and fail if raw has rows but staging is empty; returns the
     effect of the batch on each table."""
-    guards, effects = [], {}
-    for d in datasets:
+    def stage(d: str) -> tuple[dict[str, int], tuple]:
         raw = spark.read.parquet(layout.raw(d))
-        effects[d] = upsert_table(spark, layout.staging(d), STAGE[d](raw), KEYS[d], COLUMNS[d])
+        effect = upsert_table(spark, layout.staging(d), STAGE[d](raw), KEYS[d], COLUMNS[d])
         loaded, stored = raw.count(), versions.stats(spark, layout.staging(d))[0]  # both without reading rows
-        guards.append((TABLES[d], loaded, stored, FAIL if loaded and not stored else PASS))
+        return effect, (TABLES[d], loaded, stored, FAIL if loaded and not stored else PASS)
+
+    done = side_by_side(spark, stage, datasets)
+    effects, guards = {d: effect for d, (effect, _) in zip(datasets, done)}, [guard for _, guard in done]
     require(spark.createDataFrame(guards, "table_name string, raw_rows long, staging_rows long, status string"))
     return checks.staging_effect(effects, spark)
 
@@ -181,25 +190,24 @@ MART_NAMES = ("fact_retail_prices", "fact_generation", "dim_state", "fact_rto_he
 
 def run_marts(spark: SparkSession, layout: Layout, datasets: Sequence[str] = tuple(TABLES)) -> dict[str, DataFrame]:
     """Rebuild the marts that the datasets feed."""
-    written = []
-
-    def write(df: DataFrame, name: str) -> None:
+    def write(df: DataFrame, name: str) -> str:
         write_mart(df, layout, name)
-        written.append(name)
-
-    if "retail" in datasets:
-        stg = read_staging(spark, layout, "retail")
-        write(marts.fact_retail_prices(stg), "fact_retail_prices")
-        write(marts.dim_state(stg), "dim_state")
+        return name
+
+    def rebuild(d: str) -> list[str]:
+        stg = read_staging(spark, layout, d)
+        if d == "generation":
+            return [write(marts.fact_generation(stg), "fact_generation")]
+        if d == "demand":
+            return [write(marts.fact_rto_heatmap(stg), "fact_rto_heatmap"),
+                    write(marts.fact_rto_regional(stg), "fact_rto_regional")]
         # the leaderboard reads the price mart just written, as the SQL script does
-        write(marts.fact_anomaly_leaderboard(read_mart(spark, layout, "fact_retail_prices")),
-              "fact_anomaly_leaderboard")
-    if "generation" in datasets:
-        write(marts.fact_generation(read_staging(spark, layout, "generation")), "fact_generation")
-    if "demand" in datasets:
-        stg = read_staging(spark, layout, "demand")
-        write(marts.fact_rto_heatmap(stg), "fact_rto_heatmap")
-        write(marts.fact_rto_regional(stg), "fact_rto_regional")
+        return [write(marts.fact_retail_prices(stg), "fact_retail_prices"),
+                write(marts.dim_state(stg), "dim_state"),
+                write(marts.fact_anomaly_leaderboard(read_mart(spark, layout, "fact_retail_prices")),
+                      "fact_anomaly_leaderboard")]
+
+    written = sum(side_by_side(spark, rebuild, [d for d in TABLES if d in datasets]), [])
     return {n: read_mart(spark, layout, n) for n in written}
 
 
@@ -283,11 +291,13 @@ def run_from_tables(spark: SparkSession, sf_dir: str, layout: Layout, load: str
     if load == "backfill":
         load_raw(spark, layout, None, LOAD_TIMES[load], datasets)
     else:
-        for d in datasets:  # the window differs per dataset (each has its own latest month)
+        def load_window(d: str) -> None:  # it differs per dataset (each has its own latest month)
             landed = landing.file_inventory(spark, layout.landing, d)  # listed, not read
             latest = landed.agg(F.max(F.concat_ws("-", "year", "month"))).first()[0]
             window = month_window(date(int(latest[:4]), int(latest[5:7]), 1), lookback)
             load_raw(spark, layout, window, LOAD_TIMES[load], (d,))
+
+        side_by_side(spark, load_window, datasets)
     result = {"effect": run_staging(spark, layout, datasets)}
     run_marts(spark, layout, datasets)
     if set(datasets) == set(TABLES):

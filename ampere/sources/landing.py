@@ -79,8 +79,8 @@ def read_landing(spark: SparkSession, root: str, dataset: str,
     if months is not None:
         df = df.filter(month_filter(months))
     return (df.select(F.explode(parsed_lines(F.col("value"))).alias("payload"),
-                      F.regexp_extract(F.col("_metadata.file_path"), r"(raw/.*)$", 1)
-                       .alias("source_file"),
+                      F.col("_metadata.file_path").alias("_path"), "year", "month")
+              .select("payload", F.expr("substring(_path, instr(_path, 'raw/'))").alias("source_file"),
                       "year", "month")
               .filter(F.col("payload").isNotNull() & (F.length("payload") > 0)))
 

@@ -1,12 +1,14 @@
-"""Frames that several plans read are computed once."""
+"""Frames that several plans read are computed once, and independent steps run side by side."""
 
+import os
+import threading
 from datetime import datetime
 
 import pytest
 
 from ampere.plans.queries import current_frames
 from ampere.plans.stored_queries import dirty_current
-from ampere.session import held
+from ampere.session import held, side_by_side
 from ampere.sources.bindings import generation_records, retail_records
 from ampere.sources.dirty import dirty_generation, dirty_retail
 from tests.conftest import rows
@@ -80,3 +82,27 @@ def test_held_rows_and_types(spark):
     assert again.dtypes == df.dtypes and rows(again) == rows(df)
 
 
+def test_side_by_side_in_order_and_at_once(spark):
+    meet = threading.Barrier(3, timeout=20)
+    assert side_by_side(spark, lambda n: (meet.wait() >= 0, n * n), (1, 2, 3)) == [(True, 1), (True, 4), (True, 9)]
+
+
+def test_side_by_side_raises_the_first_error(spark):
+    done = []
+
+    def work(n):
+        if n == 1:
+            raise ValueError("one")
+        done.append(spark.range(n).count())
+
+    with pytest.raises(ValueError, match="one"):
+        side_by_side(spark, work, (1, 2, 3))
+    assert sorted(done) == [2, 3]
+
+
+def test_landed_source_file_starts_at_the_raw_folder(spark, tmp_root):
+    from ampere.sources import landing
+    root = os.path.join(tmp_root, "land")
+    landing.write_landing(spark.createDataFrame([("1995-03", "{}")], "period string, payload string"), root, "demand")
+    [r] = landing.read_landing(spark, root, "demand").collect()
+    assert r.source_file.startswith("raw/rto-demand/year=1995/month=03/part-") and (r.year, r.month) == ("1995", "03")
