@@ -23,7 +23,7 @@ from ampere.functions.cells import CHUNK_ROWS, cell_text, column_name
 from ampere.operators.digest import content_digest
 from ampere.operators.ordering import ordered_index
 from ampere.plans.exports import TAB_ORDER
-from ampere.session import configure, remove_path, scratch_path
+from ampere.session import configure, remove_path, scratch_path, side_by_side
 from ampere.sources import versions
 
 LINE = "line long, cells array<string>"
@@ -45,8 +45,8 @@ def tab_lines(df: DataFrame, order: Sequence[str], scratch: str | None = None) -
 def publish(frames: Mapping[str, DataFrame], root: str, orders: Mapping[str, Sequence[str]] = TAB_ORDER,
             chunk_rows: int = CHUNK_ROWS) -> dict[str, int]:
     """Write every tab in chunks; returns the data rows written per tab."""
-    written = {}
-    for tab, df in frames.items():
+    def write(tab: str) -> int:
+        df = frames[tab]
         spark = configure(df.sparkSession)
         scratch, path, version = scratch_path(spark, "publish"), f"{root.rstrip('/')}/{tab}", versions.new_version()
         count = Observation()
@@ -58,8 +58,12 @@ def publish(frames: Mapping[str, DataFrame], root: str, orders: Mapping[str, Seq
               .write.partitionBy("chunk").text(f"{path}/v={version}"))
         versions.advance(spark, path, version)
         remove_path(spark, scratch)
-        written[tab] = count.get["n"] - 1
-    return written
+        return count.get["n"] - 1
+
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    return dict(zip(frames, side_by_side(spark, write, frames)))  # tabs do not depend on each other
 
 
 def published(spark: SparkSession, root: str, tab: str) -> DataFrame:
