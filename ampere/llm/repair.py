@@ -24,11 +24,8 @@ lengths    ids that each rule stands for, unsigned 32-bit
 
 Symbols are unsigned integers of 16 bits in a shard with at most 2^16 of them, else of 32.
 
-Encoding calls the tokenizers library on each different piece of text once per task: texts
-are cut at spaces that follow a character other than white space, and after ASCII letters
-between such a space and punctuation, where a byte-level pre-tokenizer always starts a new
-token. Texts in which a space follows white space or ends the text, and texts with very long
-pieces, are encoded whole.
+Encoding calls the tokenizers library on each different piece of text once per worker: texts
+are cut where a byte-level pre-tokenizer always starts a new token (``pieces``).
 
 Defined results: null and empty texts have the end id alone; repeated rows are documents of
 their own; null ids come first; of equal ids the order is by a hash of the token ids; an
@@ -50,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampere.llm.common import shuffle_files_removed
+from ampere.llm.pieces import encoded
 
 END = 2
 SHARD = 1 << 19
@@ -62,8 +60,11 @@ STEP = 64
 #: A grammar is done when a round would shorten its sequence by less than this part.
 GAIN = 0.02
 CACHED_PIECES = 800_000
-LONGEST_PIECE = 1 << 16
-ROWS = 256
+#: Bytes of the longest piece that is kept.
+LONGEST_PIECE = 64
+#: Words that the library's model merges in one call.
+WORDS = 256
+ROWS = 1024
 
 
 # ------------------------------------------------------------------ encoding
@@ -80,10 +81,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Pieces(dict):
-    """Pieces of text to packed ids, by the library; forgets everything when it is full.
-
-    A piece that ends in white space may belong with what follows: it has no ids of its own.
-    """
+    """Pieces of text to packed ids, by the library; forgets everything when it is full."""
 
     def __init__(self, vocabulary: str):
         super().__init__()
@@ -93,35 +91,62 @@ class Pieces(dict):
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.library.model
-        # A space with Latin letters, up to an ASCII character that is no letter, is a pre-token.
-        self.cut = re.compile(
-            r" [A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^ ]+| ").findall
+        # Latin letters, with or without a space before them, are one pre-token.
+        self.word = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
         self.byte_letters = _byte_letters()
-        self.space = self.byte_letters[32]
-        self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes | None:
-        word = piece[1:]
-        if piece[0] == " " and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-            if not word.isascii():  # one pre-token: to the library's model at once
-                word = word.encode().decode("latin-1").translate(self.byte_letters)
-            ids = list(map(_id, self.model.tokenize(self.space + word)))
-            packed = self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, "<u4").tobytes()
+        space, line = self.byte_letters[32], self.byte_letters[10]
+        known = self.library.get_vocab()
+        first = np.zeros(max(known.values(), default=0) + 1, bool)
+        first[[k for token, k in known.items() if token.startswith(space)]] = True
+        #: Tokens that begin with a space, and the one that is a line feed.
+        self.first, self.line = first, known.get(line)
+        lead, rest = ("".join(map(self.byte_letters.get, x)) for x in (range(0xC3, 0xCA), range(0x80, 0xC0)))
+        mixed = re.compile(f"([A-Za-z]|(^|[{lead}])[{rest}])[{space}{line}]|{line}[A-Za-z{lead}]").search
+        #: No token reaches over the start of a word, so many words can be merged in one call.
+        self.apart = self.line is not None and not any(map(mixed, known))
+
+    def words(self, found: list[bytes], spaced: bool) -> None:
+        """Ids of many words, all of them with a space before, or all without: by one call of the
+        library's model, as no merge reaches from one into the next."""
+        text = (b"" if spaced else b"\n").join(found)
+        ids = np.fromiter(map(_id, self.model.tokenize(text.decode("latin-1").translate(self.byte_letters))), "<u4")
+        if spaced:
+            ends = np.append(np.flatnonzero(self.first[ids]), len(ids))
         else:
-            packed = None if piece[-1].isspace() or len(piece) > LONGEST_PIECE else self.whole(piece)
-        self[piece] = packed
-        return packed
-
-    def encode(self, text: str | None) -> bytes:
+            lines = ids == self.line
+            ends = np.concatenate([[0], np.flatnonzero(lines) - np.arange(int(lines.sum())), [len(ids) - int(lines.sum())]])
+            ids = ids[~lines]
+        raw, ends = ids.tobytes(), (ends * 4).tolist()
+        self.update((x, raw[a:e]) for x, a, e in zip(found, ends[:-1], ends[1:], strict=True))
+
+    def learn(self, found: list[bytes]) -> None:
+        spaced, bare = [], []
+        for x in found:
+            text = x.decode("utf-8", "surrogatepass")
+            if self.apart and len(x) <= LONGEST_PIECE and self.word(text):
+                (spaced if x[0] == 32 else bare).append(x)
+            else:
+                self[x] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        for many, has in ((spaced, True), (bare, False)):
+            for k in range(0, len(many), WORDS):
+                self.words(many[k:k + WORDS], has)
+
+    def look_up(self, found: list[bytes]) -> list[bytes]:
         if len(self) > CACHED_PIECES:
             self.clear()
-        try:
-            return b"".join(map(self.__getitem__, self.cut(text or "")))
-        except TypeError:  # one of its pieces has no ids of its own
-            return self.whole(text)
+        new = [x for x in found if x not in self]
+        self.learn(new)
+        out = list(map(self.__getitem__, found))
+        for x in new:
+            if len(x) > LONGEST_PIECE:
+                del self[x]
+        return out
+
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        return encoded(texts, self.look_up)
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all(pa.array([text], pa.string()))[0].as_py()
 
 
 # ------------------------------------------------------------------ grammars
@@ -261,7 +286,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
     task encodes and compresses its range shard by shard."""
     spark = docs.sparkSession
     with open(vocabulary, encoding="utf-8") as f:  # a fixed file of a few megabytes
-        table = spark.sparkContext.broadcast(f.read())
+        table = spark.sparkContext.broadcast({"vocabulary": f.read()})
     last = np.array([end], "<u4").tobytes()
     parts = max(1, min(PARTS, -(-docs.count() // part)))
     rows = docs.select(docs[f"`{id}`"].alias("id"), docs[f"`{text}`"].alias("text"))
@@ -274,7 +299,12 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
 
     def work(batches):
         names = [f.name for f in schema]
-        pieces, held, size, where, state = Pieces(table.value), [], 0, None, [0, 0]
+        # A Python worker keeps what it has learnt, up to its bound, for its next tasks.
+        kept = table.value
+        if "pieces" not in kept:
+            kept["pieces"] = Pieces(kept["vocabulary"])
+        pieces = kept["pieces"]
+        held, size, where, state = [], 0, None, [0, 0]
 
         def close():
             ids = np.frombuffer(b"".join(x for _, x in held), "<u4")
@@ -294,8 +324,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, id: str = "doc_id", text:
             known = whole.schema.field(0).type
             for off in range(0, whole.num_rows, ROWS):
                 b = whole.slice(off, ROWS)
-                for k, t, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                    x = pieces.encode(t) + last
+                coded = pieces.encode_all(b.column(1)).to_pylist()
+                for k, x, p in zip(b.column(0).to_pylist(), coded, b.column(2).to_pylist(), strict=True):
+                    x += last
                     if held and size + len(x) // 4 > shard:
                         yield close()
                         held, size = [], 0
