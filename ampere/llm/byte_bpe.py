@@ -1,6 +1,7 @@
 """Byte-level BPE over overlapping chunks, and its inverse.
 
-A text of one chunk is pre-tokenised and encoded where it lies. Longer texts are cut into
+A text of one chunk is pre-tokenised and encoded where it lies; the different pieces of an
+Arrow batch are encoded once (``pieces``). Longer texts are cut into
 chunks that overlap a little, dealt over the cluster and pre-tokenised in parallel. The
 pattern only looks ahead, so two scans that share a boundary agree from there on: per
 text, the true scan is carried over each cut until it meets a boundary that the next
@@ -30,10 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampere.llm.common import fresh, small_batches, without
+from ampere.llm.pieces import PATTERN, encoded, flat, joined
 
 CHUNK = 1 << 18
 OVERLAP = 1 << 10
 CACHED_PIECES = 160_000
+#: Bytes of a pre-token from which it is merged by itself, and not held.
+LONG = 64
 ROWS = 512
 #: No pre-token decision looks further than this beyond the end of a match.
 LOOK = 4
@@ -79,24 +83,112 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Encoder(dict):
-    """Pieces to packed ids; forgets everything when it holds too many."""
+def pair_ranks(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of neighbouring tokens whose bytes together have a rank, as sorted 64-bit keys, and that rank."""
+    rows = [(ranks[token[:k]] << 32 | ranks[token[k:]], rank) for token, rank in ranks.items()
+            for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks]
+    found = np.array(sorted(rows), np.int64).reshape(-1, 2)
+    return found[:, 0].copy(), found[:, 1].copy()
+
+
+def merge_pieces(pieces: list[bytes], ranks: dict[bytes, int], pairs) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_piece`` on many short pieces at once: the ids of all, and where each one's begin and end.
+
+    In each step every piece that still has a pair with a rank merges its first lowest one."""
+    keys, values = pairs
+    none = np.int64(1) << 40
+    sizes = np.array([len(x) for x in pieces], np.int64)
+    of_byte = np.array([ranks.get(bytes([x]), -1) for x in range(256)], np.int64)
+    symbols = of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+    if len(symbols) and symbols.min() < 0:
+        raise KeyError("a byte that no token has")
+    whose = np.repeat(np.arange(len(pieces)), sizes)
+
+    def ranked(at):
+        """Ranks of the pairs that begin at ``at``."""
+        out = np.full(len(at), none)
+        two = np.flatnonzero(at + 1 < len(symbols))
+        two = two[whose[at[two]] == whose[at[two] + 1]]
+        want = symbols[at[two]] << 32 | symbols[at[two] + 1]
+        place = np.minimum(np.searchsorted(keys, want), max(0, len(keys) - 1))
+        hit = keys[place] == want if len(keys) else np.zeros(len(want), bool)
+        out[two[hit]] = values[place[hit]]
+        return out
+
+    rank = ranked(np.arange(len(symbols)))
+    done = []
+    while len(symbols):
+        begin = np.flatnonzero(np.diff(whose, prepend=-1))
+        least = np.minimum.reduceat(rank, begin)
+        each = np.repeat(least, np.diff(begin, append=len(symbols)))
+        over = each == none
+        if over.any():
+            done.append((whose[over], symbols[over]))
+            go = ~over
+            symbols, whose, rank, each = symbols[go], whose[go], rank[go], each[go]
+            if not len(symbols):
+                break
+        at = np.flatnonzero(rank == each)
+        at = at[np.diff(whose[at], prepend=-1) != 0]
+        symbols[at] = each[at]
+        keep = np.ones(len(symbols), bool)
+        keep[at + 1] = False
+        at -= np.arange(len(at))  # one symbol is gone for each merge before
+        symbols, whose, rank = symbols[keep], whose[keep], rank[keep]
+        anew = np.concatenate([at, at[at > 0] - 1])
+        rank[anew] = ranked(anew)
+    whose = np.concatenate([x for x, _ in done]) if done else np.zeros(0, np.int64)
+    symbols = np.concatenate([x for _, x in done]) if done else np.zeros(0, np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(whose, minlength=len(pieces)))])
+    return symbols[np.argsort(whose, kind="stable")], ends
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
-        self.ranks, self.find = ranks, regex.compile(pattern).findall
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = merge_piece(piece.encode("utf-8", "surrogatepass"), self.ranks)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 64:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = packed
-        return packed
+class Encoder(dict):
+    """Pre-tokens to packed ids; forgets everything when it holds too many."""
 
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.find(text))) if text else b""
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pairs=None):
+        super().__init__()
+        self.ranks, self.find, self.pairs = ranks, regex.compile(pattern).findall, pairs or pair_ranks(ranks)
+        self.cut = pattern == PATTERN  # of other patterns it is not known where a pre-token always ends
+        self.single = regex.compile(r" ?(\p{L}+|\p{N}+)").fullmatch
+
+    def learn(self, tokens: set[bytes]) -> None:
+        short = []
+        for x in tokens:
+            whole = self.ranks.get(x)
+            if whole is not None:
+                self[x] = struct.pack("<I", whole)
+            elif len(x) <= LONG:
+                short.append(x)
+            else:
+                ids = merge_piece(x, self.ranks)
+                self[x] = struct.pack(f"<{len(ids)}I", *ids)
+        ids, ends = merge_pieces(short, self.ranks, self.pairs)
+        raw, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+        self.update((x, raw[a:e]) for x, a, e in zip(short, ends[:-1], ends[1:], strict=True))
+
+    def pieces(self, found: list[bytes]) -> list[bytes]:
+        """Ids of pieces of text, each of one or more pre-tokens."""
+        tokens = [None] * len(found)  # of those that are not known to be one pre-token
+        for k, x in enumerate(found):
+            if not (self.cut and (x in self or self.single(x.decode("utf-8", "surrogatepass")))):
+                tokens[k] = [y.encode("utf-8", "surrogatepass")
+                             for y in self.find(x.decode("utf-8", "surrogatepass"))]
+        needed = {y for x, parts in zip(found, tokens, strict=True) for y in ([x] if parts is None else parts)}
+        new = needed - self.keys()
+        if len(self) + len(new) > CACHED_PIECES:
+            self.clear()
+            new = needed
+        self.learn(new)
+        out = [self[x] if parts is None else b"".join(map(self.__getitem__, parts))
+               for x, parts in zip(found, tokens, strict=True)]
+        for x in new:
+            if len(x) > LONG:
+                del self[x]
+        return out
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        return encoded(texts, self.pieces, self.cut)
 
 
 def boundaries(chunk: str, pattern: str, last: bool) -> np.ndarray:
@@ -150,7 +242,7 @@ def _batches(rows, encode, name):
         at = whole.schema.get_field_index(name)
         for off in range(0, whole.num_rows, ROWS):  # a slice at a time, for little memory
             batch = whole.slice(off, ROWS)
-            ids = pa.array([encode(x) for x in batch.column(at).to_pylist()], pa.binary())
+            ids = encode(batch.column(at))
             columns = [ids if i == at else batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
@@ -161,7 +253,8 @@ def _encoded(df: DataFrame, column: str, ranks, pattern: str) -> DataFrame:
                            for f in df.schema.fields])
 
     def work(rows):
-        yield from _batches(rows, Encoder(load_ranks(ranks.value), pattern).encode, column)
+        raw, *pairs = ranks.value
+        yield from _batches(rows, Encoder(load_ranks(raw), pattern, pairs).encode, column)
 
     return df.mapInArrow(work, schema)
 
@@ -171,7 +264,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     """Every row with its ids; see the module's text."""
     spark = small_batches(docs.sparkSession)
     with open(ranks_path, "rb") as f:  # the vocabulary is a fixed file of under a megabyte
-        ranks = spark.sparkContext.broadcast(f.read())
+        raw = f.read()
+    ranks = spark.sparkContext.broadcast((raw, *pair_ranks(load_ranks(raw))))
     keep = [c for c in docs.columns if c.lower() != ids.lower()]
     names = [*docs.columns, ids]
     n, h, key, work = (fresh(names, x) for x in ("_n", "_h", "_key", "_text"))
@@ -230,8 +324,16 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", raw: str = "raw") -
     source = df.select(*without(df, [raw]), df[f"`{ids}`"].alias(work))
 
     def lookup(rows):
-        table = {rank: token for token, rank in load_ranks(ranks.value).items()}
-        yield from _batches(rows, lambda x: b"".join(map(
-            table.__getitem__, np.frombuffer(x or b"", "<u4").tolist())), work)
+        tokens = {rank: token for token, rank in load_ranks(ranks.value).items()}
+        table = pa.array([tokens.get(k) for k in range(max(tokens, default=-1) + 1)], pa.large_binary())
+
+        def raw_bytes(cells):
+            data, ends = flat(cells)
+            which = pa.array(data.view("<u4"))
+            if table.null_count and not table.is_valid().take(which).true_count == len(which):
+                raise KeyError("an id that no token has")
+            return joined(table, which, ends // 4).cast(pa.binary())
+
+        yield from _batches(rows, raw_bytes, work)
 
     return source.mapInArrow(lookup, source.schema).withColumnRenamed(work, raw)

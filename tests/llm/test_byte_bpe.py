@@ -87,3 +87,34 @@ def test_query_on_texts_beyond_a_chunk(spark, reference, tmp_path):
         assert r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_many_pieces_merge_like_each_one(reference):
+    path, pattern = vocabulary()
+    ranks = byte_bpe.load_ranks(open(path, "rb").read())
+    pairs = byte_bpe.pair_ranks(ranks)
+    r = random.Random(8)
+    pieces = [bytes(r.choices(b"aeinrst hl\xc3\xa9\xff", k=r.randrange(1, 40))) for _ in range(3000)]
+    pieces += [b"a", b"aaaaaaa", b"abab" * 12, b" the"]
+    ids, ends = byte_bpe.merge_pieces(pieces, ranks, pairs)
+    for x, a, e in zip(pieces, ends[:-1], ends[1:], strict=True):
+        if x not in ranks:
+            assert ids[a:e].tolist() == byte_bpe.merge_piece(x, ranks), x
+    ids, ends = byte_bpe.merge_pieces([], ranks, pairs)
+    assert ids.tolist() == [] and ends.tolist() == [0]
+
+
+def test_encoder_forgets_without_loss_and_takes_other_patterns(reference, monkeypatch):
+    import pyarrow as pa
+
+    path, pattern = vocabulary()
+    ranks = byte_bpe.load_ranks(open(path, "rb").read())
+    monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 20)
+    texts = random_texts(300) + ["x" * 500, None]
+    for p in (pattern, r"\s*\S+|\s+"):
+        want = tiktoken.Encoding("x", pat_str=p, mergeable_ranks=ranks, special_tokens={})
+        encoder = byte_bpe.Encoder(ranks, p)
+        for k in range(0, len(texts), 7):
+            part = texts[k:k + 7]
+            for t, ids in zip(part, encoder.encode(pa.array(part, pa.string())).to_pylist(), strict=True):
+                assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want.encode_ordinary(t or "")
