@@ -174,16 +174,14 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: i
     u, m, late, cut = (fresh(names, x) for x in ("_u", "_m", "_late", "_cut"))
     kept = [c for c in docs.columns if c.lower() != deleted.lower()]
     rows = docs.select(*without(docs, [deleted]), row_hash(docs).alias(u))
-    copies = scratch.write(rows.groupBy(u).agg(F.count(F.lit(1)).alias(m)).filter(F.col(m) > 1))
-    once = rows.join(copies, u, "left_anti").select(*rows.columns, F.lit(False).alias(late))
-    # Equal rows are interchangeable: one stands for all (combined before the shuffle).
-    many = rows.join(copies, u).groupBy(u).agg(
-        F.any_value(F.struct(*(F.col(f"`{c}`") for c in kept))).alias(cut), F.any_value(m).alias(m))
-    many = many.select(*(F.col(cut)[c].alias(c) for c in kept), u, F.explode(
-        F.sequence(F.lit(1).cast("long"), m)).alias(late)).withColumn(late, F.col(late) > 1)
-    every = once.unionAll(many.select(*once.columns))
-    every = every.join(gone.select(F.col("u").alias(u), F.col("lines").alias(cut)), u, "left").select(
-        *(F.col(f"`{c}`") for c in kept), late, cut)
+    # Equal rows are interchangeable: one stands for all (combined before the shuffle), with their
+    # number. It meets its lines where that shuffle has brought it: texts cross it once, at any size.
+    units = rows.groupBy(u).agg(F.any_value(F.struct(*(F.col(f"`{c}`") for c in kept))).alias(cut),
+                                F.count(F.lit(1)).alias(m)).select(u, *(F.col(cut)[c].alias(c) for c in kept), m)
+    lines = gone.select(F.col("u").alias(u), F.col("lines").alias(cut))
+    every = units.join(lines.hint("merge"), u, "left").select(
+        *(F.col(f"`{c}`") for c in kept), F.explode(F.sequence(F.lit(1).cast("long"), m)).alias(late), cut).select(
+        *(F.col(f"`{c}`") for c in kept), (F.col(late) > 1).alias(late), cut)
     at = kept.index(next(c for c in kept if c.lower() == text.lower()))
     schema = T.StructType([*(f for f in docs.schema.fields if f.name in kept), T.StructField(deleted, T.LongType())])
 

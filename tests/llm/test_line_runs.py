@@ -122,3 +122,10 @@ def test_equal_rows_keep_their_first(spark):
 
 def test_empty_table(spark):
     assert line_runs.remove(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_cross_one_shuffle_at_any_size(spark):
+    rows = list(enumerate(corpus(5)))
+    df = spark.createDataFrame([*rows, rows[0], rows[0]], "doc_id long, text string")
+    plan = line_runs.remove(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning(_u#") == 2, plan
