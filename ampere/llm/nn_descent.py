@@ -10,10 +10,12 @@ ways: the best nodes seen that are not yet opened give their neighbours as new c
 all queries moving together in joins, until no node of the beam is unopened.
 
 The beam is not fixed, as a larger table needs a wider one: ``PROBES`` of the queries are
-compared with all nodes (one pass), walk first, and their beam widens by a fifth until they find
-the share ``RECALL`` of their true neighbours or have opened all they can reach. All others
-walk with the beam found. Graph and walk compare 32-bit floats, scaled by one factor for the
-whole table; scores returned are computed on the original vectors in doubles.
+compared with all nodes (one pass), and the beam of all queries widens by a fifth, their walk
+going on from where it is, whenever they have one node each to open on average, until the probes
+find the share ``RECALL`` of their true neighbours or all that is held is opened. A step is one job: the candidates of a query go, in one row for
+each bucket of nodes, to the nodes, and come back if they are near enough to be held.
+Graph and walk compare 32-bit floats, scaled by one factor for the whole table; scores
+returned are computed on the original vectors in doubles.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or that
 hold a null or a non-finite component take no part, as query or candidate; null ids take
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ampere.llm.common import Scratch
@@ -36,6 +38,8 @@ CUTS = 4
 BLOCK = 512
 CHANGED = 0.02
 BEAM = 96
+#: Nodes of a bucket, which meet the queries' candidates among them.
+BUCKET = 4096
 #: Nodes a query opens at a time, and the part by which too narrow a beam widens.
 OPEN = 16
 WIDEN = 5
@@ -176,45 +180,96 @@ def build(nodes: DataFrame, n: int, k: int, scratch: Scratch) -> DataFrame:
     return graph
 
 
-def _scored(pairs: DataFrame, nodes: DataFrame, ask: DataFrame) -> DataFrame:
-    """(q, node, s): pairs with their inner product."""
-    def dot(batches):
-        for b in batches:
-            if b.num_rows:
-                s = np.einsum("ij,ij->i", _matrix(b.column(2).to_pylist()), _matrix(b.column(3).to_pylist()))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float32())],
-                                                 names=["q", "node", "s"])
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return (((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
-    return pairs.join(nodes.select("node", "x"), "node").join(ask, "q").select("q", "node", "x", "qx").mapInArrow(
-        dot, "q long, node long, s float")
 
+def _dealt(nodes: DataFrame, buckets: int) -> DataFrame:
+    """(g, node, x): the nodes by bucket."""
+    def deal(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_bucket(b.column(0).to_numpy(), buckets)), b.column(0), b.column(1)],
+                                             names=["g", "node", "x"])
 
-def start(walkers: DataFrame, links: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(q, node, s, opened): each query's own node, opened, and the neighbours of that."""
-    pairs = walkers.select("q", F.col("q").alias("node")).unionAll(
-        walkers.join(links, walkers["q"] == links["u"]).select("q", F.col("v").alias("node"))).distinct()
-    return scratch.write(_scored(pairs, nodes, walkers).withColumn("opened", F.col("q") == F.col("node")))
+    return nodes.select("node", "x").mapInArrow(deal, "g long, node long, x binary")
 
 
-def walk(seen: DataFrame, walkers: DataFrame, links: DataFrame, nodes: DataFrame, beam: int, scratch: Scratch,
-         keep: bool) -> DataFrame:
-    """The nodes seen when none of a query's ``beam`` best is unopened; without ``keep``, the beam alone."""
-    opening = Window.partitionBy("q").orderBy("r")
-    while True:
-        best = _top(seen, beam, "q", "node")
-        now = scratch.write(best.filter(~F.col("opened")).withColumn("o", F.row_number().over(opening)).filter(
-            F.col("o") <= OPEN).select("q", "node"))
-        if now.isEmpty():
-            scratch.drop(now)
-            return seen
-        new = now.join(links, now["node"] == links["u"]).select("q", F.col("v").alias("node")).distinct().join(
-            seen.select("q", "node"), ["q", "node"], "left_anti")
-        kept = (seen if keep else best).join(now.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
-            "q", "node", "s", (F.col("opened") | F.coalesce("now", F.lit(False))).alias("opened"))
-        grown = kept.unionAll(_scored(new, nodes, walkers).withColumn("opened", F.lit(False)))
-        grown = scratch.write(grown if keep else _top(grown, beam, "q", "node").select("q", "node", "s", "opened"))
-        scratch.drop(seen, now)
-        seen = grown
+def _scored(pairs: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+    """(q, node, s): what is nearer to a query than its ``worst``, from (q, qx, worst, vs).
+
+    A query's candidates go to the nodes, those of one bucket in a row, not the nodes to the query."""
+    def deal(batches):
+        for b in batches:
+            for off in range(0, b.num_rows, 64):
+                part = b.slice(off, 64)
+                ids = part.column(3).flatten().to_numpy()
+                row = np.repeat(np.arange(part.num_rows), part.column(3).value_lengths().to_numpy())
+                g = _bucket(ids, buckets)
+                order = np.lexsort((g, row))
+                ids, row, g = ids[order], row[order], g[order]
+                first = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(g, prepend=-1))
+                at = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g[first]), *(part.column(i).take(at) for i in range(3)),
+                     pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(ids))],
+                    names=["g", "q", "qx", "worst", "vs"])
+
+    def compare(asked, held):
+        out = []
+        if asked.num_rows:
+            node = held.column("node").to_numpy()
+            order = np.argsort(node)
+            node, x = node[order], _matrix(held.column("x").to_pylist())[order]
+            q, worst = asked.column("q").to_numpy(), asked.column("worst").to_numpy()
+            qx, vs = _matrix(asked.column("qx").to_pylist()), asked.column("vs").combine_chunks()
+            at = np.searchsorted(node, vs.flatten().to_numpy())
+            row = np.repeat(np.arange(len(q)), vs.value_lengths().to_numpy())
+            for off in range(0, len(at), 1 << 15):
+                i, r = at[off:off + (1 << 15)], row[off:off + (1 << 15)]
+                sims = np.einsum("ij,ij->i", x[i], qx[r])
+                near = sims > worst[r]
+                out.append((q[r[near]], node[i[near]], sims[near]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [[], [], []]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float32()), strict=True)],
+                        names=["q", "node", "s"])
+
+    dealt = pairs.select("q", "qx", "worst", "vs").mapInArrow(
+        deal, "g long, q long, qx binary, worst float, vs array<long>")
+    return dealt.groupBy("g").cogroup(places.groupBy("g")).applyInArrow(compare, "q long, node long, s float")
+
+
+def _held(seen: DataFrame, beam: int, scratch: Scratch) -> tuple[DataFrame, int, int]:
+    """Of (q, node, s, opened) the best of each query, half more than the beam, so that it may widen;
+    which of them to open next (``ask``), and how many those are and the unopened ones."""
+    most = beam + beam // 2
+    w = Window.partitionBy("q")
+    r = w.orderBy(F.desc("s"), "node")
+    rows = seen.repartition("q").groupBy("q", "node").agg(F.max("s").alias("s"), F.max("opened").alias("opened"))
+    rows = rows.withColumn("r", F.row_number().over(r)).filter(F.col("r") <= most)
+    free = ~F.col("opened") & (F.col("r") <= beam)
+    rows = rows.withColumn("worst", F.when(F.count("*").over(w) == most, F.min("s").over(w)).otherwise(
+        F.lit(float("-inf"))).cast("float"))
+    rows = rows.withColumn("ask", free & (F.sum(free.cast("int")).over(r) <= OPEN))
+    counts = Observation()
+    rows = scratch.write(rows.select("q", "node", "s", "opened", "ask", "worst").observe(
+        counts, F.count_if("ask").alias("asked"), F.count_if(~F.col("opened")).alias("unopened")))
+    return rows, counts.get["asked"], counts.get["unopened"]
+
+
+def opened(seen: DataFrame, walkers: DataFrame, links: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+    """(q, node, s, opened): the nodes that were asked for are opened, their neighbours come in."""
+    asked = seen.filter("ask").select("q", "node", "worst").join(links, "node").groupBy("q").agg(
+        F.max("worst").alias("worst"), F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
+    new = _scored(asked.join(walkers, "q"), places, buckets)
+    return seen.select("q", "node", "s", (F.col("opened") | F.col("ask")).alias("opened")).unionAll(
+        new.withColumn("opened", F.lit(False)))
+
+
+def start(walkers: DataFrame) -> DataFrame:
+    """(q, node, s, opened, ask, worst): each query's own node, which always stays, to be opened."""
+    return walkers.select("q", F.col("q").alias("node"), F.lit(float("inf")).cast("float").alias("s"),
+                          F.lit(False).alias("opened"), F.lit(True).alias("ask"),
+                          F.lit(float("-inf")).cast("float").alias("worst"))
 
 
 def nearest(probes: list, nodes: DataFrame, k: int) -> DataFrame:
@@ -241,24 +296,30 @@ def nearest(probes: list, nodes: DataFrame, k: int) -> DataFrame:
     return _top(found, k).select(F.col("u").alias("q"), F.col("v").alias("node"))
 
 
-def beam_needed(walkers: DataFrame, links: DataFrame, nodes: DataFrame, k: int, scratch: Scratch) -> int:
-    """The beam with which a few queries, dealt by hash, find the share RECALL of their true neighbours."""
-    beam = max(BEAM, 2 * k)
+def walk(walkers: DataFrame, links: DataFrame, nodes: DataFrame, n: int, k: int, scratch: Scratch) -> tuple[DataFrame, int]:
+    """The nodes held when none of a query's ``beam`` best is unopened, and the beam: it widens until
+    the probes find the share RECALL of their true neighbours, or nothing held is unopened."""
+    beam, buckets = max(BEAM, 2 * k), int(np.ceil(n / BUCKET))
     probes = walkers.orderBy(F.xxhash64("q"), "q").limit(PROBES).collect()
     if not probes:
-        return beam
-    few = scratch.write(walkers.sparkSession.createDataFrame([(p.q, p.qx) for p in probes], walkers.schema))
-    truth = scratch.write(nearest(probes, nodes, k))
-    true = truth.count()
-    seen = start(few, links, nodes, scratch)
+        return start(walkers), beam
+    true = {(t.q, t.node) for t in nearest(probes, nodes, k).collect()}
+    few = F.broadcast(walkers.sparkSession.createDataFrame([(p.q,) for p in probes], "q long"))
+    places, queries, enough = scratch.write(_dealt(nodes, buckets)), walkers.count(), False
+    seen, asked, unopened = _held(opened(start(walkers), walkers, links, places, buckets), beam, scratch)
     while True:
-        seen = walk(seen, few, links, nodes, beam, scratch, keep=True)
-        others = seen.filter(F.col("q") != F.col("node"))
-        hits = _top(others, k, "q", "node").join(truth, ["q", "node"], "left_semi").count()
-        if hits >= RECALL * true or seen.filter(~F.col("opened")).isEmpty():
-            scratch.drop(seen, few, truth)
-            return beam
-        beam += beam // WIDEN
+        if not enough and asked <= queries:
+            # What is still asked for could only raise the share: it may widen a beam, never narrow it.
+            found = _top(seen.join(few, "q").filter(F.col("q") != F.col("node")), k, "q", "node")
+            enough = sum((f.q, f.node) in true for f in found.select("q", "node").collect()) >= RECALL * len(true)
+            if not enough and unopened:
+                beam += beam // WIDEN
+        if not asked and (enough or not unopened):
+            scratch.drop(places)
+            return seen, beam
+        old = seen
+        seen, asked, unopened = _held(opened(old, walkers, links, places, buckets), beam, scratch)
+        scratch.drop(old)
 
 
 def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str = "embedding",
@@ -289,13 +350,14 @@ def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str =
     # All rows of one vector ask the same: the walk is made once per node.
     walkers = scratch.write(asked.select("node").distinct().join(nodes, "node").select(
         F.col("node").alias("q"), F.col("x").alias("qx")))
-    links = scratch.write(_both(graph, 2 * neighbours).select("u", "v"))
-    beam = max(BEAM, 2 * k)
+    links = scratch.write(_both(graph, 2 * neighbours).groupBy(F.col("u").alias("node")).agg(
+        F.collect_list("v").alias("vs")))
+    scratch.drop(graph)
     if n > BLOCK:
-        beam = beam_needed(walkers, links, nodes, k, scratch)
-        seen = walk(start(walkers, links, nodes, scratch), walkers, links, nodes, beam, scratch, keep=False)
+        seen, beam = walk(walkers, links, nodes, n, k, scratch)
     else:
-        seen = start(walkers, links, nodes, scratch)
+        beam = max(BEAM, 2 * k)
+        seen = opened(start(walkers), walkers, links, _dealt(nodes, 1), 1)
     exact = nodes.select("node", "v")
     dot = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     best = _top(seen, beam, "q", "node").select(F.col("q").alias("from"), "node").join(exact, "node").join(

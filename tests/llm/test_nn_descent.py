@@ -68,3 +68,24 @@ def test_small_and_odd_vectors(spark):
     rows = nn_descent.search(df, F.col("vec_id") % 20 == 0).collect()
     assert [(r.query_id, r.vec_id, r.score) for r in rows] == [(0, 1, 5.0)]
     assert nn_descent.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_a_walk_takes_few_jobs(spark, monkeypatch):
+    writes, write = [], nn_descent.Scratch.write
+    monkeypatch.setattr(nn_descent.Scratch, "write", lambda self, df: writes.append(self.root) or write(self, df))
+    x = np.random.default_rng(4).standard_normal((6000, 64))
+    check(spark, list(range(6000)), x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert len(writes) <= 40
+
+
+def test_candidates_meet_their_bucket_and_come_back_if_near_enough(spark):
+    x = np.random.default_rng(5).standard_normal((300, 8)).astype(np.float32)
+    ids = [7 * i - 1000 for i in range(300)]
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in zip(ids, x, strict=True)], "node long, x binary")
+    pairs = [(5, bytearray(x[0].tobytes()), 0.5, ids[3:200]), (6, bytearray(x[1].tobytes()), -1e9, ids[:2]),
+             (8, bytearray(x[2].tobytes()), 1e9, ids)]
+    asked = spark.createDataFrame(pairs, "q long, qx binary, worst float, vs array<long>")
+    got = {(r.q, r.node): r.s for r in nn_descent._scored(asked, nn_descent._dealt(nodes, 7), 7).collect()}
+    want = {(5, ids[i]): float(x[0] @ x[i]) for i in range(3, 200) if x[0] @ x[i] > 0.5}
+    want |= {(6, ids[i]): float(x[1] @ x[i]) for i in range(2)}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-4 for p in want)
