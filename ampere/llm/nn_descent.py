@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ampere.llm.common import Scratch
 
-NEIGHBOURS = 32
+NEIGHBOURS = 64
 CUTS = 4
 BLOCK = 512
 CHANGED = 0.02
@@ -244,10 +244,11 @@ def _held(seen: DataFrame, beam: int, scratch: Scratch) -> tuple[DataFrame, int,
     most = beam + beam // 2
     w = Window.partitionBy("q")
     r = w.orderBy(F.desc("s"), "node")
-    rows = seen.repartition("q").groupBy("q", "node").agg(F.max("s").alias("s"), F.max("opened").alias("opened"))
-    rows = rows.withColumn("r", F.row_number().over(r)).filter(F.col("r") <= most)
+    rows = seen.withColumn("r", F.row_number().over(r)).filter(F.col("r") <= most)
     free = ~F.col("opened") & (F.col("r") <= beam)
-    rows = rows.withColumn("worst", F.when(F.count("*").over(w) == most, F.min("s").over(w)).otherwise(
+    # A query that holds its beam takes no worse nodes in, also where a wider beam would have room:
+    # else all that it has once dropped would come back.
+    rows = rows.withColumn("worst", F.when(F.count("*").over(w) >= beam, F.min("s").over(w)).otherwise(
         F.lit(float("-inf"))).cast("float"))
     rows = rows.withColumn("ask", free & (F.sum(free.cast("int")).over(r) <= OPEN))
     counts = Observation()
@@ -257,9 +258,12 @@ def _held(seen: DataFrame, beam: int, scratch: Scratch) -> tuple[DataFrame, int,
 
 
 def opened(seen: DataFrame, walkers: DataFrame, links: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
-    """(q, node, s, opened): the nodes that were asked for are opened, their neighbours come in."""
+    """(q, node, s, opened): the nodes that were asked for are opened, their neighbours come in that
+    the query does not hold yet."""
     asked = seen.filter("ask").select("q", "node", "worst").join(links, "node").groupBy("q").agg(
-        F.max("worst").alias("worst"), F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
+        F.max("worst").alias("worst"), F.flatten(F.collect_list("vs")).alias("vs"))
+    held = seen.groupBy("q").agg(F.collect_list("node").alias("held"))
+    asked = asked.join(held, "q").withColumn("vs", F.array_except("vs", "held")).filter(F.size("vs") > 0)
     new = _scored(asked.join(walkers, "q"), places, buckets)
     return seen.select("q", "node", "s", (F.col("opened") | F.col("ask")).alias("opened")).unionAll(
         new.withColumn("opened", F.lit(False)))

@@ -89,3 +89,29 @@ def test_candidates_meet_their_bucket_and_come_back_if_near_enough(spark):
     want = {(5, ids[i]): float(x[0] @ x[i]) for i in range(3, 200) if x[0] @ x[i] > 0.5}
     want |= {(6, ids[i]): float(x[1] @ x[i]) for i in range(2)}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-4 for p in want)
+
+
+def test_what_a_query_holds_is_not_asked_again(spark):
+    x = np.random.default_rng(6).standard_normal((40, 8)).astype(np.float32)
+    cells = [bytearray(v.tobytes()) for v in x]
+    nodes = spark.createDataFrame(list(enumerate(cells)), "node long, x binary")
+    walkers = spark.createDataFrame([(0, cells[0]), (1, cells[1])], "q long, qx binary")
+    links = spark.createDataFrame([(i, [(i + j) % 40 for j in range(1, 9)]) for i in range(40)], "node long, vs array<long>")
+    low = float("-inf")
+    seen = spark.createDataFrame(
+        [(0, 0, float("inf"), True, False, low), (0, 5, 0.5, False, True, low), (0, 6, 0.4, False, True, low),
+         (0, 7, 0.3, True, False, low), (1, 1, float("inf"), True, False, low)],
+        "q long, node long, s float, opened boolean, ask boolean, worst float")
+    rows = nn_descent.opened(seen, walkers, links, nn_descent._dealt(nodes, 3), 3).collect()
+    assert sorted((r.q, r.node) for r in rows) == [(0, 0), *((0, i) for i in range(5, 15)), (1, 1)]
+    assert {r.node for r in rows if r.q == 0 and r.opened} == {0, 5, 6, 7}
+
+
+def test_a_query_that_holds_its_beam_takes_no_worse_nodes_when_it_widens(spark):
+    seen = spark.createDataFrame(
+        [(q, i, 1.0 - i / 100, True) for q, m in ((0, 12), (1, 9), (2, 30)) for i in range(m)],
+        "q long, node long, s float, opened boolean")
+    rows, asked, unopened = nn_descent._held(seen, 10, nn_descent.Scratch(spark, "held"))
+    worst = {r.q: (r.worst, r.n) for r in rows.groupBy("q").agg(F.max("worst").alias("worst"), F.count("*").alias("n")).collect()}
+    assert worst == {0: (np.float32(0.89), 12), 1: (float("-inf"), 9), 2: (np.float32(0.86), 15)}
+    assert (asked, unopened) == (0, 0)
