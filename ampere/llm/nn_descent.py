@@ -36,6 +36,14 @@ from ampere.llm.common import Scratch
 NEIGHBOURS = 64
 CUTS = 4
 BLOCK = 512
+#: Nodes compared with each other in a cut, and places whose nodes are compared together.
+CELL = 2048
+TOGETHER = 64
+#: Nodes and numbers of a bucket of the graph at most, and buckets that a small graph is dealt to. A node is
+#: numbered by its bucket and, in the lower bits, its place there.
+HOME, NUMBERS, FEW = 4096, 1 << 18, 24
+PLACE = 16
+LAST = (1 << PLACE) - 1
 CHANGED = 0.02
 BEAM = 96
 #: Nodes of a bucket, which meet the queries' candidates among them.
@@ -80,9 +88,42 @@ def _groups(batches, key="g"):
         yield group, pa.Table.from_batches(held)
 
 
-def _edges(u, v, s):
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float32())],
-                                      names=["u", "v", "s"])
+def _sent(to: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """A row for each bucket that is sent anything: the bucket, and its part of each column as bytes."""
+    order = np.argsort(to, kind="stable")
+    to = to[order]
+    first = np.flatnonzero(np.diff(to, prepend=-1))
+    cut = list(zip(first, np.append(first[1:], len(to)), strict=True))
+    return [pa.array(to[first], pa.int64()),
+            *(pa.array([c[a:e].tobytes() for a, e in cut], pa.binary()) for c in (c[order] for c in columns))]
+
+
+def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
+    """What the rows of a binary column hold, one after the other."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+
+
+def _meet(left: DataFrame, right: DataFrame, buckets: int, work, schema: str) -> DataFrame:
+    """``work`` on the rows of either side, bucket by bucket."""
+    left, right = (side.repartition(buckets, "g").groupBy("g") for side in (left, right))
+    return left.cogroup(right).applyInArrow(work, schema)
+
+
+def _ranks(at: np.ndarray, s: np.ndarray):
+    """(order, rank): by place, nearest first, and the rank at the place."""
+    i = s.view(np.int32).astype(np.int64)
+    i = np.where(i < 0, i ^ 0x7FFFFFFF, i)  # ordered as the floats are
+    order = np.argsort((at.astype(np.int64) << 32) + (0x7FFFFFFF - i))
+    first = np.diff(at[order], prepend=-1) != 0
+    here = np.arange(len(at))
+    return order, here - np.maximum.accumulate(np.where(first, here, 0))
+
+
+def _once(at: np.ndarray, b: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where to find each pair (place, node) once, sorted; of equal ones one that is not ``last``, if there is any."""
+    key = (at.astype(np.int64) << 41) | (b << 1) | last
+    order = np.argsort(key)
+    return order[np.diff(key[order] >> 1, prepend=-1) != 0]
 
 
 def _best(x: np.ndarray, ids: np.ndarray, k: int):
@@ -92,7 +133,7 @@ def _best(x: np.ndarray, ids: np.ndarray, k: int):
     k = min(k, len(ids) - 1)
     if k <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    top = np.argpartition(sims, len(ids) - k, axis=1)[:, len(ids) - k:]
     return np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(sims, top, 1).ravel()
 
 
@@ -101,15 +142,24 @@ def _top(edges: DataFrame, k: int, key="u", other="v") -> DataFrame:
     return edges.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
 
 
+FOUND = "g long, at binary, b binary, s binary"
+GRAPH = "g long, x binary, v binary, s binary, new binary, edges long, fresh long"
+
+
+def _found(u: np.ndarray, v: np.ndarray, s: np.ndarray) -> list[pa.Array]:
+    """Edges, sent to the bucket of the node that they leave."""
+    return _sent(u >> PLACE, (u & LAST).astype(np.int32), v, s)
+
+
 def first_graph(nodes: DataFrame, n: int, k: int) -> DataFrame:
     """Edges from random cuts: sign bits choose a cell, its order along a line the blocks."""
-    bits = max(0, int(np.ceil(np.log2(max(1, n / BLOCK)))) - 2) if n > BLOCK else 0
+    bits = max(0, int(np.ceil(np.log2(max(1, n / CELL)))) - 2) if n > CELL else 0
 
     def place(batches):
         for b in batches:
             x = _matrix(b.column(1).to_pylist()) if b.num_rows else np.zeros((0, 1), np.float32)
             parts = []
-            for cut in range(CUTS if bits or n > BLOCK else 1):
+            for cut in range(CUTS if bits or n > CELL else 1):
                 lines = np.random.default_rng(1000 + cut).standard_normal((x.shape[1], bits + 1)).astype(np.float32)
                 y = x @ lines
                 cell = (y[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
@@ -121,65 +171,183 @@ def first_graph(nodes: DataFrame, n: int, k: int) -> DataFrame:
     def compare(batches):
         for _, rows in _groups(batches):
             m = rows.num_rows
-            size = m if m <= BLOCK else int(np.ceil(m / np.ceil(m / BLOCK)))
+            size = m if m <= CELL else int(np.ceil(m / np.ceil(m / CELL)))
             for a in range(0, m, size):
                 part = rows.slice(a, size)
                 ids = part.column("node").to_numpy()
-                yield _edges(*_best(_matrix(part.column("x").to_pylist()), ids, k))
+                yield pa.RecordBatch.from_arrays(
+                    _found(*_best(_matrix(part.column("x").to_pylist()), ids, k)), names=["g", "at", "b", "s"])
 
     placed = nodes.select("node", "x").mapInArrow(place, "g long, y double, node long, x binary")
     # A cell may be large, a task's part of it is not: cells are dealt in slices along y.
-    return placed.repartitionByRange("g", "y").sortWithinPartitions("g", "y").mapInArrow(
-        compare, "u long, v long, s float")
-
-
-def _both(graph: DataFrame, k: int) -> DataFrame:
-    """(u, v, new): the edges, and the best k that lead to each node, turned round."""
-    back = _top(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s", "new"), k)
-    return graph.select("u", "v", "new").unionAll(back.select("u", "v", "new")).repartition("u").groupBy(
-        "u", "v").agg(F.max("new").alias("new"))
-
-
-def _round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """Neighbours of each node, both ways, compared with one another if one of them is new."""
-    low = F.lit(float("-inf")).cast("float")
-    worst = graph.groupBy(F.col("u").alias("node")).agg(
-        F.when(F.count("*") >= k, F.min("s")).otherwise(low).alias("worst"))
-    met = _both(graph, k).withColumn("any", F.max("new").over(Window.partitionBy("u"))).filter("any").select(
-        F.col("u").alias("g"), F.col("v").alias("node"), "new").join(nodes.select("node", "x"), "node").join(
-        worst, "node", "left").select("g", "node", "x", "new", F.coalesce("worst", low).alias("worst"))
-
-    def compare(batches):
-        for _, rows in _groups(batches):
-            if rows.num_rows < 2:
-                continue
-            ids, new = rows.column("node").to_numpy(), rows.column("new").to_numpy()
-            x = _matrix(rows.column("x").to_pylist())
-            sims = x @ x.T
-            np.fill_diagonal(sims, -np.inf)
-            better = (sims > rows.column("worst").to_numpy()[:, None]) & (new[:, None] | new)
-            a, b = np.nonzero(better)
-            yield _edges(ids[a], ids[b], sims[a, b])
-
-    found = met.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "u long, v long, s float")
-    every = graph.select("u", "v", "s", F.lit(False).alias("new")).unionAll(
-        found.withColumn("new", F.lit(True))).groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
-    return _top(every, k).select("u", "v", "s", "new")
-
-
-def build(nodes: DataFrame, n: int, k: int, scratch: Scratch) -> DataFrame:
-    """(u, v, s, new): the k neighbours of every node."""
-    first = first_graph(nodes, n, k).groupBy("u", "v").agg(F.max("s").alias("s"))
-    graph = scratch.write(_top(first, k).select("u", "v", "s", F.lit(True).alias("new")))
-    changed = 1.0
+    return placed.repartitionByRange("g", "y").sortWithinPartitions("g", "y").mapInArrow(compare, FOUND)
+
+
+def _merged(found: DataFrame, graph: DataFrame, buckets: int, k: int) -> DataFrame:
+    """The graph of the k nearest of what each node holds and what was found; the latter are new."""
+    def merge(found, held):
+        at, b, s = (_column(found, c, t) for c, t in (("at", np.int32), ("b", np.int64), ("s", np.float32)))
+        v, sv = _column(held, "v", np.int64).reshape(-1, k), _column(held, "s", np.float32).reshape(-1, k)
+        old = v >= 0
+        at = np.concatenate([np.nonzero(old)[0].astype(np.int32), at])
+        b, s = np.concatenate([v[old], b]), np.concatenate([sv[old], s])
+        late = np.arange(len(at)) >= np.count_nonzero(old)
+        keep = _once(at, b, late)
+        at, b, s, late = at[keep], b[keep], s[keep], late[keep]
+        order, rank = _ranks(at, s)
+        order, rank = order[rank < k], rank[rank < k]
+        v, sv, new = np.full_like(v, -1), np.full_like(sv, -np.inf), np.zeros(v.shape, bool)
+        for to, of in ((v, b), (sv, s), (new, late)):
+            to[at[order], rank] = of[order]
+        return pa.table([held.column("g"), held.column("x"), *(pa.array([c.tobytes()], pa.binary()) for c in (v, sv, new)),
+                         pa.array([len(order)]), pa.array([int(new.sum())])],
+                        names=["g", "x", "v", "s", "new", "edges", "fresh"])
+
+    return _meet(found, graph.select("g", "x", "v", "s"), buckets, merge, GRAPH)
+
+
+def _both(graph: DataFrame, buckets: int, k: int, most: int, all: bool) -> DataFrame:
+    """(g, at, b, new): the k neighbours of the nodes, and the best ``most`` that lead to each node;
+    unless ``all``, of nodes with new ones only."""
+    def turn(batches):
+        for batch in batches:
+            for g, v, s, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                v = np.frombuffer(v, np.int64).reshape(-1, k)
+                held = v >= 0
+                u = (g << PLACE) + np.nonzero(held)[0]
+                s, new = (np.frombuffer(c, t).reshape(-1, k)[held] for c, t in ((s, np.float32), (new, bool)))
+                yield pa.RecordBatch.from_arrays(
+                    _sent(v[held] >> PLACE, (v[held] & LAST).astype(np.int32), u, s, new), names=["g", "at", "b", "s", "new"])
+
+    def join(back, held):
+        at, b, s, new = (_column(back, c, t) for c, t in (
+            ("at", np.int32), ("b", np.int64), ("s", np.float32), ("new", bool)))
+        order, rank = _ranks(at, s)
+        order = order[rank < most]
+        v, late = _column(held, "v", np.int64).reshape(-1, k), _column(held, "new", bool).reshape(-1, k)
+        old = v >= 0
+        at = np.concatenate([np.nonzero(old)[0].astype(np.int32), at[order]])
+        b, new = np.concatenate([v[old], b[order]]), np.concatenate([late[old], new[order]])
+        keep = _once(at, b, ~new)
+        at, b, new = at[keep], b[keep], new[keep]
+        if not all:
+            some = np.zeros(len(v), bool)
+            some[at[new]] = True
+            at, b, new = at[some[at]], b[some[at]], new[some[at]]
+        return pa.table([held.column("g"), *(pa.array([c.tobytes()], pa.binary()) for c in (at, b, new))],
+                        names=["g", "at", "b", "new"])
+
+    turned = graph.select("g", "v", "s", "new").mapInArrow(turn, FOUND + ", new binary")
+    return _meet(turned, graph.select("g", "v", "new"), buckets, join, "g long, at binary, b binary, new binary")
+
+
+def _compared(at: np.ndarray, p: np.ndarray, new: np.ndarray, x: np.ndarray, worst: np.ndarray):
+    """(a, b, s): of the nodes ``p`` that meet at a place, what is nearer to one of them than its worst, where
+    one of the two is new."""
+    order = np.lexsort((~new, at))  # new ones first
+    at, p = at[order], p[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    size = np.diff(np.append(first, len(at)))
+    fresh = np.add.reduceat(new[order].astype(np.int64), first) if len(first) else size
+    x, worst = np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)]), np.append(worst, np.float32(np.inf))
+    none = len(x) - 1
+    places = np.lexsort((size, fresh))  # places of one batch are alike
+    places = places[(fresh[places] > 0) & (size[places] > 1)]
+    out = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]]
+    for off in range(0, len(places), TOGETHER):
+        here = places[off:off + TOGETHER]
+        wide, r = size[here].max(), fresh[here].max()
+        col = np.arange(wide)
+        ids = np.where(col < size[here, None], p[np.minimum(first[here, None] + col, len(p) - 1)], none)
+        y = x[ids]
+        sims = np.matmul(y[:, :r], y.transpose(0, 2, 1))
+        sims[:, np.arange(r), np.arange(r)] = -np.inf
+        real, late = ids != none, col < fresh[here, None]
+        pair = late[:, :r, None] & real[:, None, :]
+        g, i, j = np.nonzero((sims > worst[ids[:, :r]][:, :, None]) & pair)
+        out.append((ids[g, i], ids[g, j], sims[g, i, j]))
+        # The other way round where the other is not new; if it is, it has its own row.
+        g, i, j = np.nonzero((sims > worst[ids][:, None, :]) & pair & ~late[:, None, :])
+        out.append((ids[g, j], ids[g, i], sims[g, i, j]))
+    return [np.concatenate(c) for c in zip(*out, strict=True)]
+
+
+def _round(both: DataFrame, graph: DataFrame, buckets: int, k: int) -> DataFrame:
+    """Neighbours of each node, both ways, compared with one another if one of them is new.
+
+    A bucket asks the others for the nodes that its nodes know, each once, compares those that meet,
+    and sends what it finds to the buckets of the nodes that it is better for."""
+    def ask(batches):
+        for batch in batches:
+            for g, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = np.unique(np.frombuffer(b, np.int64))
+                to, at = _sent(ids >> PLACE, (ids & LAST).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([to, pa.array(np.full(len(to), g)), at], names=["g", "by", "at"])
+
+    def answer(asked, held):
+        x, worst = _matrix(held.column("x").to_pylist()[:1]), _column(held, "s", np.float32).reshape(-1, k)[:, -1]
+        x, g = x.reshape(len(worst), -1), held.column("g")[0].as_py() << PLACE
+        wanted = [np.frombuffer(c, np.int32) for c in asked.column("at").to_pylist()]
+        return pa.table([asked.column("by"), *(pa.array([c.tobytes() for c in column], pa.binary()) for column in (
+            [g + at.astype(np.int64) for at in wanted], (x[at] for at in wanted), (worst[at] for at in wanted)))],
+            names=["g", "b", "x", "worst"])
+
+    def compare(known, both):
+        ids, worst = _column(known, "b", np.int64), _column(known, "worst", np.float32)
+        if not len(ids):
+            return pa.table(_found(ids, ids, worst), names=["g", "at", "b", "s"])
+        x = _column(known, "x", np.float32).reshape(len(ids), -1)
+        order = np.argsort(ids)
+        p = order[np.searchsorted(ids, _column(both, "b", np.int64), sorter=order)]
+        a, b, s = _compared(_column(both, "at", np.int32), p, _column(both, "new", bool), x, worst)
+        return pa.table(_found(ids[a], ids[b], s), names=["g", "at", "b", "s"])
+
+    asked = both.select("g", "b").mapInArrow(ask, "g long, by long, at binary")
+    known = _meet(asked, graph.select("g", "x", "s"), buckets, answer, "g long, b binary, x binary, worst binary")
+    return _merged(_meet(known, both, buckets, compare, FOUND), graph, buckets, k)
+
+
+def build(nodes: DataFrame, n: int, k: int, buckets: int, scratch: Scratch) -> DataFrame:
+    """GRAPH: a row for each bucket of nodes, with the vectors of its nodes and their k neighbours."""
+    def gather(rows):
+        rows = rows.sort_by("node")
+        v = np.full((rows.num_rows, k), -1)
+        return pa.table([pa.array([rows.column("node")[0].as_py() >> PLACE]), *(pa.array([c], pa.binary()) for c in (
+            b"".join(rows.column("x").to_pylist()), v.tobytes(), np.full(v.shape, -np.inf, np.float32).tobytes()))],
+            names=["g", "x", "v", "s"])
+
+    empty = nodes.select(F.shiftright("node", PLACE).alias("g"), "node", "x").repartition(buckets, "g").groupBy(
+        "g").applyInArrow(gather, "g long, x binary, v binary, s binary")
+
+    def written(graph):
+        counts = Observation()
+        graph = scratch.write(graph.observe(counts, F.sum("fresh").alias("fresh"), F.sum("edges").alias("edges")))
+        return graph, (counts.get["fresh"] or 0) / (counts.get["edges"] or 1)
+
+    graph, changed = written(_merged(first_graph(nodes, n, k), empty, buckets, k))
     while n > BLOCK and changed > CHANGED:
-        new = scratch.write(_round(graph, nodes, k))
-        scratch.drop(graph)
+        both = scratch.write(_both(graph, buckets, k, k, False))
+        new, changed = written(_round(both, graph, buckets, k))
+        scratch.drop(graph, both)
         graph = new
-        changed = graph.agg(F.avg(F.col("new").cast("double"))).first()[0]
     return graph
 
 
+def linked(graph: DataFrame, buckets: int, k: int) -> DataFrame:
+    """(node, vs): the neighbours of each node, and the best 2 k that lead to it."""
+    def rows(batches):
+        for batch in batches:
+            for g, at, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at, b = np.frombuffer(at, np.int32), np.frombuffer(b, np.int64)
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((g << PLACE) + at[first].astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(b))],
+                    names=["node", "vs"])
+
+    return _both(graph, buckets, k, 2 * k, True).select("g", "at", "b").mapInArrow(rows, "node long, vs array<long>")
+
+
 def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
     return (((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
@@ -294,7 +462,8 @@ def nearest(probes: list, nodes: DataFrame, k: int) -> DataFrame:
                 top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
                 scores, held = np.take_along_axis(scores, top, 1), np.take_along_axis(held, top, 1)
         a, b = np.nonzero(scores > -np.inf)
-        yield _edges(ids[a], held[a, b], scores[a, b])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(held[a, b], pa.int64()), pa.array(scores[a, b])],
+                                         names=["u", "v", "s"])
 
     found = nodes.select("node", "x").mapInArrow(compare, "u long, v long, s float")
     return _top(found, k).select(F.col("u").alias("q"), F.col("v").alias("node"))
@@ -336,26 +505,39 @@ def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str =
     ranked = scratch.write(ranked)
     nodes = ranked.groupBy("v").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("ids"))
 
-    largest = nodes.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
+    of = nodes.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("largest"), F.max(F.size("v")).alias("d"),
+                   F.count("*").alias("n")).first()
+    largest, n = of["largest"] or 1.0, of["n"]
+    home = max(1, min(HOME, NUMBERS // (of["d"] or 1), max(BLOCK, n // FEW)))
+    buckets = int(np.ceil(n / home)) or 1
 
     def single(batches):
         for b in batches:
             cells = [(np.array(x) / largest).astype(np.float32).tobytes() for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cells, pa.binary())],
-                                             names=["node", "v", "ids", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(_bucket(b.column(0).to_numpy(), buckets)), *b.columns,
+                                              pa.array(cells, pa.binary())], names=["g", "node", "v", "ids", "x"])
 
-    nodes = scratch.write(nodes.select("node", "v", "ids").mapInArrow(
-        single, "node long, v array<double>, ids array<long>, x binary"))
-    n = nodes.count()
-    graph = build(nodes, n, neighbours, scratch)
+    def number(batches):
+        g, at = -1, 0
+        for b in batches:
+            to, number = b.column(0).to_numpy(), np.zeros(b.num_rows, np.int64)
+            for i, bucket in enumerate(to.tolist()):
+                g, at = bucket, at + 1 if bucket == g else 0
+                number[i] = (g << PLACE) + at
+            yield pa.RecordBatch.from_arrays([pa.array(number), *b.columns[2:]], names=["node", "v", "ids", "x"])
+
+    nodes = nodes.select("node", "v", "ids").mapInArrow(
+        single, "g long, node long, v array<double>, ids array<long>, x binary")
+    nodes = scratch.write(nodes.repartition(buckets, "g").sortWithinPartitions("g", "node").mapInArrow(
+        number, "node long, v array<double>, ids array<long>, x binary"))
+    graph = build(nodes, n, neighbours, buckets, scratch)
 
     asked = rows.withColumnRenamed("id", id).filter(queries).select(F.col(id).alias("q"), "v").distinct()
     asked = scratch.write(asked.join(nodes.select("v", "node"), "v").select("q", "node").distinct())
     # All rows of one vector ask the same: the walk is made once per node.
     walkers = scratch.write(asked.select("node").distinct().join(nodes, "node").select(
         F.col("node").alias("q"), F.col("x").alias("qx")))
-    links = scratch.write(_both(graph, 2 * neighbours).groupBy(F.col("u").alias("node")).agg(
-        F.collect_list("v").alias("vs")))
+    links = scratch.write(linked(graph, buckets, neighbours))
     scratch.drop(graph)
     if n > BLOCK:
         seen, beam = walk(walkers, links, nodes, n, k, scratch)

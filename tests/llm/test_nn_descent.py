@@ -115,3 +115,57 @@ def test_a_query_that_holds_its_beam_takes_no_worse_nodes_when_it_widens(spark):
     worst = {r.q: (r.worst, r.n) for r in rows.groupBy("q").agg(F.max("worst").alias("worst"), F.count("*").alias("n")).collect()}
     assert worst == {0: (np.float32(0.89), 12), 1: (float("-inf"), 9), 2: (np.float32(0.86), 15)}
     assert (asked, unopened) == (0, 0)
+
+
+def test_the_graph_moves_as_rows_of_buckets_not_of_edges(spark, monkeypatch):
+    rows, write = [], nn_descent.Scratch.write
+
+    def counted(self, df):
+        table = write(self, df)
+        rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(nn_descent.Scratch, "write", counted)
+    x = np.random.default_rng(7).standard_normal((3000, 16))
+    check(spark, list(range(3000)), x, every=100)
+    assert max(rows) <= 2 * 3000
+
+
+def test_neighbours_of_a_node_meet_where_one_is_new():
+    r = np.random.default_rng(8)
+    x, worst = r.standard_normal((60, 5)).astype(np.float32), r.standard_normal(60).astype(np.float32)
+    size = r.integers(1, 30, 90)
+    at = np.repeat(np.arange(90), size)
+    p = np.concatenate([r.permutation(60)[:m] for m in size])
+    new = (r.random(len(p)) < 0.3) & (at % 4 > 0)
+    shuffled = r.permutation(len(p))
+    got = [*zip(*(c.tolist() for c in nn_descent._compared(at[shuffled], p[shuffled], new[shuffled], x, worst)), strict=True)]
+    want = {}
+    for g in range(90):
+        here = np.flatnonzero(at == g)
+        for i in here:
+            for j in here:
+                s = float(x[p[i]] @ x[p[j]])
+                if i != j and (new[i] or new[j]) and s > worst[p[i]]:
+                    want.setdefault((p[i], p[j]), []).append(s)
+    assert len(got) == sum(map(len, want.values())) and {(a, b) for a, b, _ in got} == want.keys()
+    assert all(abs(s - want[a, b][0]) < 1e-4 for a, b, s in got)
+
+
+def test_the_nearest_are_kept_each_once_and_what_was_held_is_not_new(spark):
+    def row(g, **columns):
+        return (g, *(bytearray(np.asarray(c, t).tobytes()) for c, t in columns.values()))
+
+    f, i, low = np.float32, np.int64, -np.inf
+    graph = spark.createDataFrame(
+        [row(0, x=([], f), v=([[9, 8], [7, -1]], i), s=([[-0.5, -2], [0.1, low]], f)),
+         row(1, x=([], f), v=([[-1, -1]], i), s=([[low, low]], f))], "g long, x binary, v binary, s binary")
+    found = spark.createDataFrame(
+        [row(0, at=([0, 0, 1], np.int32), b=([9, 5, 7], i), s=([-0.5, -1, 0.1], f)),
+         row(0, at=([1, 1], np.int32), b=([3, 3], i), s=([0.0, 0.0], f))], nn_descent.FOUND)
+    got = {r.g: r for r in nn_descent._merged(found, graph, 2, 2).collect()}
+    assert np.frombuffer(got[0].v, i).tolist() == [9, 5, 7, 3]
+    assert np.frombuffer(got[0].s, f).tolist() == [-0.5, -1, f(0.1), 0]
+    assert np.frombuffer(got[0].new, bool).tolist() == [False, True, False, True]
+    assert (got[0].edges, got[0].fresh) == (4, 2)
+    assert np.frombuffer(got[1].v, i).tolist() == [-1, -1] and (got[1].edges, got[1].fresh) == (0, 0)
