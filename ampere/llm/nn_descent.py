@@ -2,18 +2,20 @@
 
 Equal vectors are one node of the graph; a node keeps its ``k + 1`` smallest ids, which are
 all that a result can ever show of it. Every node is indexed. The first graph comes from a
-few random cuts of the space, compared in bounded blocks. Then, in rounds of Spark joins,
-the neighbours of each node (both ways) meet there and are compared with each other, where
-one of the two is new: whoever is nearer than the worst neighbour held replaces it. Rounds
-end when at most the share ``CHANGED`` of all edges is new. A query walks the graph both
-ways: the best nodes seen that are not yet opened give their neighbours as new candidates,
-all queries moving together in joins, until no node of the beam is unopened.
+few random cuts of the space, compared in bounded blocks. Then, in rounds, the neighbours of
+each node (both ways) meet there and are compared with each other, where one of the two is
+new: whoever is nearer than the worst neighbour held replaces it. Nodes are dealt to buckets,
+and a bucket is one row of the graph: it asks the others for the nodes it needs, each once, and
+sends what it finds. Rounds end when at most the share ``CHANGED`` of all edges is new. A query
+walks the graph both ways: the best nodes seen that are not yet opened give their neighbours as
+new candidates, all queries moving together in joins, until no node of the beam is unopened.
 
 The beam is not fixed, as a larger table needs a wider one: ``PROBES`` of the queries are
 compared with all nodes (one pass), and the beam of all queries widens by a fifth, their walk
 going on from where it is, whenever they have one node each to open on average, until the probes
-find the share ``RECALL`` of their true neighbours or all that is held is opened. A step is one job: the candidates of a query go, in one row for
-each bucket of nodes, to the nodes, and come back if they are near enough to be held.
+find the share ``RECALL`` of their true neighbours or all that is held is opened. A step is one
+job: the candidates go, in one row for each bucket of nodes, to the nodes, and come back if they
+are near enough to be held; queries with nothing to open wait until the beam widens.
 Graph and walk compare 32-bit floats, scaled by one factor for the whole table; scores
 returned are computed on the original vectors in doubles.
 
@@ -36,13 +38,16 @@ from ampere.llm.common import Scratch
 NEIGHBOURS = 64
 CUTS = 4
 BLOCK = 512
-#: Nodes compared with each other in a cut, and places whose nodes are compared together.
+#: Nodes compared with each other in a cut, so many with all at a time, and places whose nodes are compared together.
 CELL = 2048
+STRIP = 256
 TOGETHER = 64
 #: Nodes and numbers of a bucket of the graph at most, and buckets that a small graph is dealt to. A node is
 #: numbered by its bucket and, in the lower bits, its place there.
-HOME, NUMBERS, FEW = 4096, 1 << 18, 24
+HOME, NUMBERS, FEW = 2048, 1 << 17, 24
 PLACE = 16
+#: Numbers of vectors in a row that one bucket sends another: larger cells would fill an executor's heap.
+CELLS = 1 << 16
 LAST = (1 << PLACE) - 1
 CHANGED = 0.02
 BEAM = 96
@@ -51,6 +56,8 @@ BUCKET = 4096
 #: Nodes a query opens at a time, and the part by which too narrow a beam widens.
 OPEN = 16
 WIDEN = 5
+#: So many nodes asked for in a step are broadcast.
+FEW_ASKED = 1 << 16
 PROBES = 200
 RECALL = 0.93
 
@@ -100,7 +107,8 @@ def _sent(to: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
 
 def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
     """What the rows of a binary column hold, one after the other."""
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+    cells = [np.frombuffer(c, dtype) for c in (cell.as_buffer() for cell in table.column(name)) if c.size]
+    return cells[0] if len(cells) == 1 else np.concatenate([np.zeros(0, dtype), *cells])
 
 
 def _meet(left: DataFrame, right: DataFrame, buckets: int, work, schema: str) -> DataFrame:
@@ -128,13 +136,17 @@ def _once(at: np.ndarray, b: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def _best(x: np.ndarray, ids: np.ndarray, k: int):
     """Edges to the k nearest others within a block."""
-    sims = x @ x.T
-    np.fill_diagonal(sims, -np.inf)
     k = min(k, len(ids) - 1)
     if k <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    top = np.argpartition(sims, len(ids) - k, axis=1)[:, len(ids) - k:]
-    return np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(sims, top, 1).ravel()
+    top, s = np.zeros((len(ids), k), np.int64), np.zeros((len(ids), k), np.float32)
+    for a in range(0, len(ids), STRIP):
+        sims = x[a:a + STRIP] @ x.T
+        here = np.arange(len(sims))
+        sims[here, a + here] = -np.inf
+        best = np.argpartition(sims, len(ids) - k, axis=1)[:, len(ids) - k:]
+        top[a:a + STRIP], s[a:a + STRIP] = ids[best], np.take_along_axis(sims, best, 1)
+    return np.repeat(ids, k), top.ravel(), s.ravel()
 
 
 def _top(edges: DataFrame, k: int, key="u", other="v") -> DataFrame:
@@ -249,8 +261,6 @@ def _compared(at: np.ndarray, p: np.ndarray, new: np.ndarray, x: np.ndarray, wor
     first = np.flatnonzero(np.diff(at, prepend=-1))
     size = np.diff(np.append(first, len(at)))
     fresh = np.add.reduceat(new[order].astype(np.int64), first) if len(first) else size
-    x, worst = np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)]), np.append(worst, np.float32(np.inf))
-    none = len(x) - 1
     places = np.lexsort((size, fresh))  # places of one batch are alike
     places = places[(fresh[places] > 0) & (size[places] > 1)]
     out = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]]
@@ -258,11 +268,11 @@ def _compared(at: np.ndarray, p: np.ndarray, new: np.ndarray, x: np.ndarray, wor
         here = places[off:off + TOGETHER]
         wide, r = size[here].max(), fresh[here].max()
         col = np.arange(wide)
-        ids = np.where(col < size[here, None], p[np.minimum(first[here, None] + col, len(p) - 1)], none)
+        ids = p[np.minimum(first[here, None] + col, len(p) - 1)]
+        real, late = col < size[here, None], col < fresh[here, None]
         y = x[ids]
         sims = np.matmul(y[:, :r], y.transpose(0, 2, 1))
         sims[:, np.arange(r), np.arange(r)] = -np.inf
-        real, late = ids != none, col < fresh[here, None]
         pair = late[:, :r, None] & real[:, None, :]
         g, i, j = np.nonzero((sims > worst[ids[:, :r]][:, :, None]) & pair)
         out.append((ids[g, i], ids[g, j], sims[g, i, j]))
@@ -285,12 +295,15 @@ def _round(both: DataFrame, graph: DataFrame, buckets: int, k: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([to, pa.array(np.full(len(to), g)), at], names=["g", "by", "at"])
 
     def answer(asked, held):
-        x, worst = _matrix(held.column("x").to_pylist()[:1]), _column(held, "s", np.float32).reshape(-1, k)[:, -1]
-        x, g = x.reshape(len(worst), -1), held.column("g")[0].as_py() << PLACE
-        wanted = [np.frombuffer(c, np.int32) for c in asked.column("at").to_pylist()]
-        return pa.table([asked.column("by"), *(pa.array([c.tobytes() for c in column], pa.binary()) for column in (
-            [g + at.astype(np.int64) for at in wanted], (x[at] for at in wanted), (worst[at] for at in wanted)))],
-            names=["g", "b", "x", "worst"])
+        worst = _column(held, "s", np.float32).reshape(-1, k)[:, -1]
+        x, g = _column(held, "x", np.float32).reshape(len(worst), -1), held.column("g")[0].as_py() << PLACE
+        step = max(1, CELLS // x.shape[1])
+        wanted = [(by, at[a:a + step]) for by, at in zip(
+            asked.column("by").to_pylist(), (np.frombuffer(c, np.int32) for c in asked.column("at").to_pylist()), strict=True)
+            for a in range(0, len(at), step)]
+        return pa.table([pa.array([by for by, _ in wanted], pa.int64()), *(pa.array([c.tobytes() for c in column], pa.binary())
+                         for column in ([g + at.astype(np.int64) for _, at in wanted], (x[at] for _, at in wanted),
+                                        (worst[at] for _, at in wanted)))], names=["g", "b", "x", "worst"])
 
     def compare(known, both):
         ids, worst = _column(known, "b", np.int64), _column(known, "worst", np.float32)
@@ -353,45 +366,48 @@ def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _dealt(nodes: DataFrame, buckets: int) -> DataFrame:
-    """(g, node, x): the nodes by bucket."""
+    """(g, node, x): the nodes of each bucket, in order, as bytes in one row."""
     def deal(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_bucket(b.column(0).to_numpy(), buckets)), b.column(0), b.column(1)],
                                              names=["g", "node", "x"])
 
-    return nodes.select("node", "x").mapInArrow(deal, "g long, node long, x binary")
+    def pack(rows):
+        rows = rows.sort_by("node")
+        cells = [rows.column("node").to_numpy().tobytes(), b"".join(rows.column("x").to_pylist())]
+        return pa.table([rows.column("g")[:1], *(pa.array([c], pa.binary()) for c in cells)], names=["g", "node", "x"])
+
+    return nodes.select("node", "x").mapInArrow(deal, "g long, node long, x binary").groupBy("g").applyInArrow(
+        pack, "g long, node binary, x binary")
 
 
 def _scored(pairs: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
     """(q, node, s): what is nearer to a query than its ``worst``, from (q, qx, worst, vs).
 
-    A query's candidates go to the nodes, those of one bucket in a row, not the nodes to the query."""
+    The candidates go to the nodes, those that some queries have in one bucket in a row, not the nodes to the queries."""
     def deal(batches):
         for b in batches:
-            for off in range(0, b.num_rows, 64):
-                part = b.slice(off, 64)
-                ids = part.column(3).flatten().to_numpy()
+            for off in range(0, b.num_rows, 256):
+                part = b.slice(off, 256)
+                q, worst = part.column(0).to_numpy(), part.column(2).to_numpy()
+                qx, ids = _matrix(part.column(1).to_pylist()), part.column(3).flatten().to_numpy()
                 row = np.repeat(np.arange(part.num_rows), part.column(3).value_lengths().to_numpy())
                 g = _bucket(ids, buckets)
-                order = np.lexsort((g, row))
+                order = np.lexsort((row, g))
                 ids, row, g = ids[order], row[order], g[order]
                 first = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(g, prepend=-1))
-                at = pa.array(row[first])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[first]), *(part.column(i).take(at) for i in range(3)),
-                     pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(ids))],
-                    names=["g", "q", "qx", "worst", "vs"])
+                at, many = row[first], np.diff(np.append(first, len(ids))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*_sent(g[first], q[at], qx[at], worst[at], many), _sent(g, ids)[1]],
+                                                 names=["g", "q", "qx", "worst", "many", "vs"])
 
     def compare(asked, held):
         out = []
         if asked.num_rows:
-            node = held.column("node").to_numpy()
-            order = np.argsort(node)
-            node, x = node[order], _matrix(held.column("x").to_pylist())[order]
-            q, worst = asked.column("q").to_numpy(), asked.column("worst").to_numpy()
-            qx, vs = _matrix(asked.column("qx").to_pylist()), asked.column("vs").combine_chunks()
-            at = np.searchsorted(node, vs.flatten().to_numpy())
-            row = np.repeat(np.arange(len(q)), vs.value_lengths().to_numpy())
+            node, q = _column(held, "node", np.int64), _column(asked, "q", np.int64)
+            x, qx = (_column(t, c, np.float32).reshape(m, -1) for t, c, m in ((held, "x", len(node)), (asked, "qx", len(q))))
+            worst = _column(asked, "worst", np.float32)
+            at = np.searchsorted(node, _column(asked, "vs", np.int64))
+            row = np.repeat(np.arange(len(q)), _column(asked, "many", np.int32))
             for off in range(0, len(at), 1 << 15):
                 i, r = at[off:off + (1 << 15)], row[off:off + (1 << 15)]
                 sims = np.einsum("ij,ij->i", x[i], qx[r])
@@ -402,13 +418,14 @@ def _scored(pairs: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
                         names=["q", "node", "s"])
 
     dealt = pairs.select("q", "qx", "worst", "vs").mapInArrow(
-        deal, "g long, q long, qx binary, worst float, vs array<long>")
+        deal, "g long, q binary, qx binary, worst binary, many binary, vs binary")
     return dealt.groupBy("g").cogroup(places.groupBy("g")).applyInArrow(compare, "q long, node long, s float")
 
 
 def _held(seen: DataFrame, beam: int, scratch: Scratch) -> tuple[DataFrame, int, int]:
     """Of (q, node, s, opened) the best of each query, half more than the beam, so that it may widen;
-    which of them to open next (``ask``), and how many those are and the unopened ones."""
+    which of them to open next (``ask``), if its query opens any (``moves``), and how many those are and the unopened
+    ones. ``_waits``: rows of queries that do not move, and their unopened ones."""
     most = beam + beam // 2
     w = Window.partitionBy("q")
     r = w.orderBy(F.desc("s"), "node")
@@ -419,16 +436,21 @@ def _held(seen: DataFrame, beam: int, scratch: Scratch) -> tuple[DataFrame, int,
     rows = rows.withColumn("worst", F.when(F.count("*").over(w) >= beam, F.min("s").over(w)).otherwise(
         F.lit(float("-inf"))).cast("float"))
     rows = rows.withColumn("ask", free & (F.sum(free.cast("int")).over(r) <= OPEN))
+    rows = rows.withColumn("moves", F.max("ask").over(w))
     counts = Observation()
-    rows = scratch.write(rows.select("q", "node", "s", "opened", "ask", "worst").observe(
-        counts, F.count_if("ask").alias("asked"), F.count_if(~F.col("opened")).alias("unopened")))
+    rows = scratch.write(rows.select("q", "node", "s", "opened", "ask", "worst", "moves").observe(
+        counts, F.count_if("ask").alias("asked"), F.count_if(~F.col("opened")).alias("unopened"),
+        F.count_if(~F.col("moves")).alias("rest"), F.count_if(~F.col("moves") & ~F.col("opened")).alias("waiting")))
+    rows._waits = counts.get["rest"], counts.get["waiting"]
     return rows, counts.get["asked"], counts.get["unopened"]
 
 
-def opened(seen: DataFrame, walkers: DataFrame, links: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+def opened(seen: DataFrame, walkers: DataFrame, links: DataFrame, places: DataFrame, buckets: int,
+           few: bool = False) -> DataFrame:
     """(q, node, s, opened): the nodes that were asked for are opened, their neighbours come in that
-    the query does not hold yet."""
-    asked = seen.filter("ask").select("q", "node", "worst").join(links, "node").groupBy("q").agg(
+    the query does not hold yet. ``few``: so few are asked for that they go to the links."""
+    asked = seen.filter("ask").select("q", "node", "worst")
+    asked = (F.broadcast(asked) if few else asked).join(links, "node").groupBy("q").agg(
         F.max("worst").alias("worst"), F.flatten(F.collect_list("vs")).alias("vs"))
     held = seen.groupBy("q").agg(F.collect_list("node").alias("held"))
     asked = asked.join(held, "q").withColumn("vs", F.array_except("vs", "held")).filter(F.size("vs") > 0)
@@ -479,20 +501,33 @@ def walk(walkers: DataFrame, links: DataFrame, nodes: DataFrame, n: int, k: int,
     true = {(t.q, t.node) for t in nearest(probes, nodes, k).collect()}
     few = F.broadcast(walkers.sparkSession.createDataFrame([(p.q,) for p in probes], "q long"))
     places, queries, enough = scratch.write(_dealt(nodes, buckets)), walkers.count(), False
-    seen, asked, unopened = _held(opened(start(walkers), walkers, links, places, buckets), beam, scratch)
+    seen, asked, unopened = _held(opened(start(walkers), walkers, links, places, buckets, queries <= FEW_ASKED), beam, scratch)
+    # Queries that do not move wait in the tables where they came to rest until the beam widens.
+    waits, waiting = [], 0
     while True:
+        every, widens = seen, False
+        for table in waits:
+            every = every.unionAll(table.filter(~F.col("moves")))
         if not enough and asked <= queries:
             # What is still asked for could only raise the share: it may widen a beam, never narrow it.
-            found = _top(seen.join(few, "q").filter(F.col("q") != F.col("node")), k, "q", "node")
+            found = _top(every.join(few, "q").filter(F.col("q") != F.col("node")), k, "q", "node")
             enough = sum((f.q, f.node) in true for f in found.select("q", "node").collect()) >= RECALL * len(true)
-            if not enough and unopened:
+            widens = not enough and unopened + waiting > 0
+            if widens:
                 beam += beam // WIDEN
-        if not asked and (enough or not unopened):
+        if not asked and (enough or not unopened + waiting):
             scratch.drop(places)
-            return seen, beam
-        old = seen
-        seen, asked, unopened = _held(opened(old, walkers, links, places, buckets), beam, scratch)
-        scratch.drop(old)
+            return every, beam
+        old, gone = seen, []
+        if widens:
+            gone, waits, waiting = [old, *waits], [], 0
+        elif old._waits[0]:
+            waits, waiting = [*waits, old], waiting + old._waits[1]
+        else:
+            gone = [old]
+        seen, asked, unopened = _held(opened(
+            every if widens else old.filter("moves"), walkers, links, places, buckets, asked <= FEW_ASKED), beam, scratch)
+        scratch.drop(*gone)
 
 
 def search(table: DataFrame, queries: Column, id: str = "vec_id", vector: str = "embedding",

@@ -169,3 +169,12 @@ def test_the_nearest_are_kept_each_once_and_what_was_held_is_not_new(spark):
     assert np.frombuffer(got[0].new, bool).tolist() == [False, True, False, True]
     assert (got[0].edges, got[0].fresh) == (4, 2)
     assert np.frombuffer(got[1].v, i).tolist() == [-1, -1] and (got[1].edges, got[1].fresh) == (0, 0)
+
+
+def test_a_query_with_nothing_to_open_waits(spark):
+    seen = spark.createDataFrame(
+        [(q, i, 1.0 - i / 100, q == 0 or i > 3) for q, m in ((0, 9), (1, 9)) for i in range(m)] + [(2, 0, 1.0, True)]
+        + [(3, i, 1.0 - i / 100, i < 6) for i in range(8)], "q long, node long, s float, opened boolean")
+    rows, asked, unopened = nn_descent._held(seen, 6, nn_descent.Scratch(spark, "waits"))
+    assert {(r.q, r.moves) for r in rows.collect()} == {(0, False), (1, True), (2, False), (3, False)}
+    assert (asked, unopened, rows._waits) == (4, 6, (9 + 1 + 8, 2))
